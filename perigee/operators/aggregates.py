@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -32,10 +32,14 @@ def sat_picker(mart: DataFrame) -> DataFrame:
     return mart.select("sat_id").distinct().orderBy("sat_id")
 
 
+def orbit_number(t: Column) -> Column:
+    """Number of the nominal orbit since the epoch that a time falls in."""
+    return F.floor(F.rint(X.epoch_seconds(t)) / F.lit(S.ORBIT_SECONDS)).cast("bigint")
+
+
 def orbit_mean_power(raw: DataFrame) -> DataFrame:
     """Mean net power per satellite and nominal orbit."""
-    orbit = F.floor(F.rint(X.epoch_seconds(F.col("sim_time"))) / F.lit(S.ORBIT_SECONDS))
-    return raw.groupBy("sat_id", orbit.cast("bigint").alias("orbit")).agg(
+    return raw.groupBy("sat_id", orbit_number(F.col("sim_time")).alias("orbit")).agg(
         F.avg("net_power_w").alias("net_power_w_mean"), F.count(F.lit(1)).alias("n_rows")
     )
 
