@@ -500,7 +500,7 @@ def oracle_sql() -> dict[str, str]:
         "unit_conversions": _with() + f"""SELECT sat_id, sim_time,
           {_r_as('bus_temperature_k - 273.15::double', 'temp_c')},
           {_r_as('battery_soc * 150::double', 'charge_wh')},
-          {_r_as(f'{_US} / 1000000::double / 60::double', 'epoch_minutes')} FROM raw""",
+          {_r_as("cast(extract(epoch FROM sim_time) AS bigint) % 5400 / 60::double", 'minutes_into_orbit')} FROM raw""",
         "flatten_ticks": _with() + f"""SELECT {_TELEMETRY_LIST.replace('sim_time_iso',
           "replace(sim_time_iso, '.000000+', '+') AS sim_time_iso", 1)} FROM raw""",
         "sat_minute_rollup": _with(_rollup("raw")) + roll_out,

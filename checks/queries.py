@@ -196,7 +196,7 @@ def unit_conversions(spark, sf_dir):
             "sim_time",
             X.kelvin_to_celsius(F.col("bus_temperature_k")).alias("temp_c"),
             X.soc_to_watt_hours(F.col("battery_soc")).alias("charge_wh"),
-            (X.epoch_seconds(F.col("sim_time")) / 60.0).alias("epoch_minutes"),
+            (X.seconds_into_orbit(F.col("sim_time")) / 60.0).alias("minutes_into_orbit"),
         )
     )
 
@@ -715,8 +715,9 @@ def files_per_partition(spark, sf_dir):
 
 
 def _event_stream(spark, sf_dir):
-    path = f"{sf_dir}/events.parquet"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    """The events table as a stream; a pattern, since a stream source takes no bare file."""
+    table_schema = _events(spark, sf_dir).schema
+    return spark.readStream.schema(table_schema).parquet(f"{sf_dir}/event[s].parquet")
 
 
 def _raw_stream(spark, sf_dir):

@@ -177,9 +177,9 @@ def eclipse_intervals(raw: DataFrame, slice_seconds: int = HOUR_SECONDS) -> Data
 
 def files_per_partition(stored: DataFrame) -> DataFrame:
     """Rows and files in each directory of a stored telemetry table."""
-    return stored.groupBy(*S.PARTITION_COLUMNS).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct(F.input_file_name()).alias("n_files"),
+    named = stored.select(*S.PARTITION_COLUMNS, F.input_file_name().alias("_file"))
+    return named.groupBy(*S.PARTITION_COLUMNS).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("_file").alias("n_files")
     )
 
 

@@ -53,31 +53,41 @@ def replay_directory(spark: SparkSession, path: str, max_files_per_batch: int |
     return reader.parquet(path)
 
 
-def _reject_reason(text: Column) -> Column:
-    """Null for a message that is exactly one telemetry record.
+def _judged(message: Column) -> Column:
+    """Struct of record and reject reason for a struct of parsed record and field names.
 
-    Field names are compared both ways, since ``from_json`` alone would fill in missing
-    fields and drop extra ones. A field that is null after parsing had the wrong type.
+    The reason is null for a message that is exactly one telemetry record. Field names are
+    compared both ways, since parsing alone would fill in missing fields and drop extra
+    ones. A field that is null after parsing had the wrong type.
     """
+    record, names = message["record"], message["names"]
     expected = F.array(*[F.lit(c) for c in S.TELEMETRY_COLUMNS])
-    names = F.json_object_keys(text)
     any_null = F.lit(False)
     for name in S.TELEMETRY_COLUMNS:
-        any_null = any_null | F.col("_record")[name].isNull()
-    return (
+        any_null = any_null | record[name].isNull()
+    reason = (
         F.when(names.isNull(), "bad_json")
         .when(F.size(F.array_except(expected, names)) > 0, "missing")
         .when(F.size(F.array_except(names, expected)) > 0, "extra")
         .when(any_null, "bad_type")
-        .when(X.try_parse_iso(F.col("_record")["sim_time_iso"]).isNull(), "bad_time")
+        .when(X.try_parse_iso(record["sim_time_iso"]).isNull(), "bad_time")
     )
+    return F.struct(record.alias("_record"), reason.alias("reject_reason"))
 
 
 def parsed(messages: DataFrame) -> DataFrame:
-    """Add ``_record`` (the parsed struct) and ``reject_reason`` to (key, value) rows."""
+    """Add ``_record`` (the parsed struct) and ``reject_reason`` to (key, value) rows.
+
+    Parsing sits in a generator over a one-element array: what later filters and
+    projections refer to is then its output, so the optimizer cannot copy the JSON parse
+    into each of them and every message is parsed once.
+    """
     text = F.try_validate_utf8(F.col("value").cast("string"))
-    record = F.from_json(text, S.TELEMETRY_SCHEMA)
-    return messages.withColumn("_record", record).withColumn("reject_reason", _reject_reason(text))
+    message = F.struct(
+        F.from_json(text, S.TELEMETRY_SCHEMA).alias("record"),
+        F.json_object_keys(text).alias("names"),
+    )
+    return messages.select("*", F.inline(F.transform(F.array(message), _judged)))
 
 
 def decoded(messages: DataFrame) -> DataFrame:
