@@ -48,13 +48,17 @@ _DOUBLES = [
 ]
 
 
+# See TIE_SHIFT in checks/queries.py.
+_SHIFT = "1.234567e-8::double"
+
+
 def _r(*names: str) -> str:
-    """Select list of columns rounded to six digits, negative zero folded into zero."""
-    return ", ".join(f"round({n}, 6) + 0::double AS {n}" for n in names)
+    """Select list of columns rounded to six digits."""
+    return ", ".join(_r_as(n, n) for n in names)
 
 
 def _r_as(expr: str, name: str) -> str:
-    return f"round({expr}, 6) + 0::double AS {name}"
+    return f"round({expr} + {_SHIFT}, 6) AS {name}"
 
 
 _TELEMETRY_LIST = f"sat_id, sim_time_iso, eclipsed, {_r(*_DOUBLES)}"

@@ -87,18 +87,26 @@ def unusable_rows(mart: DataFrame) -> DataFrame:
     return mart.select(*columns, missing.alias("null_columns")).where(F.size("null_columns") > 0)
 
 
+# Spark applies a row-number limit on the map side up to this many rows per key (default of
+# spark.sql.optimizer.windowGroupLimitThreshold).
+MAP_SIDE_LIMIT = 1000
+
+
 def _fade_baseline(rows: DataFrame, window: int) -> DataFrame:
     """Ceiling of each satellite's first ``window`` rows, absent for shorter histories.
 
     The row-number filter is applied on the map side (WindowGroupLimit), so only about
-    ``window`` rows per satellite and input partition are shuffled.
+    ``window`` rows per satellite and input partition are shuffled. Windows too long for
+    that take positions from the sliced numbering instead, which gathers no whole history.
     """
-    w = W.partitionBy("sat_id").orderBy("minute_bucket")
-    first = rows.select(
-        "sat_id", "battery_soc_mean", "minute_bucket", F.row_number().over(w).alias("_rn")
-    ).where(F.col("_rn") <= window)
+    if window <= MAP_SIDE_LIMIT:
+        w = W.partitionBy("sat_id").orderBy("minute_bucket")
+        placed = rows.withColumn("seq", F.row_number().over(w))
+    else:
+        placed = number_rows(rows, "sat_id", "minute_bucket")
     return (
-        first.groupBy("sat_id")
+        placed.where(F.col("seq") <= window)
+        .groupBy("sat_id")
         .agg(F.max("battery_soc_mean").alias("baseline"), F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") == window)
         .drop("_n")

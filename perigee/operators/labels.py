@@ -62,38 +62,56 @@ def bind_labels(labels: DataFrame, sim_start: DataFrame | Column) -> DataFrame:
     return labels.withColumn("start", F.coalesce(absolute, relative))
 
 
-def _ordered_labels(bound: DataFrame) -> DataFrame:
-    """One row per labelled satellite: its labels in list order, and when it first sticks.
+def _elapsed(label: Column) -> Column:
+    """Seconds since a label's start at the row's time."""
+    return (F.col("_us") - label["start_us"]) / F.lit(1e6)
 
-    Labels are a hand-written configuration; a satellite has a few of them.
-    """
-    params = F.col("params")
-    label = F.struct(
-        "ordinal",
-        "start",
-        "fault_type",
-        # Parameter names and defaults.
-        X.param(params, "fade_rate_per_day", 0.02).alias("fade_rate"),
-        X.param(params, "floor", 0.5).alias("fade_floor"),
-        X.param(params, "rate_k_per_hour", 2.0).alias("heat_rate"),
-        X.param(params, "cap_k", 50.0).alias("heat_cap"),
-    )
-    sticks = F.col("fault_type") == S.STUCK_SENSOR
-    return bound.groupBy("sat_id").agg(
-        F.array_sort(F.collect_list(label)).alias("_labels"),
-        F.min(F.when(sticks, F.col("start"))).alias("_stuck_start"),
-    )
+
+def _is_active(label: Column) -> Column:
+    return F.col("_us") >= label["start_us"]
 
 
 def _runaway_bias(label: Column) -> Column:
-    hours = X.seconds_between(F.col("sim_time"), label["start"]) / F.lit(3600.0)
-    return F.least(label["heat_cap"], label["heat_rate"] * F.greatest(F.lit(0.0), hours))
+    hours = _elapsed(label) / F.lit(3600.0)
+    return F.least(label["cap"], label["rate"] * F.greatest(F.lit(0.0), hours))
 
 
 def _fade_factor(label: Column) -> Column:
-    days = X.seconds_between(F.col("sim_time"), label["start"]) / F.lit(86400.0)
-    loss = label["fade_rate"] * F.greatest(F.lit(0.0), days)
-    return F.greatest(label["fade_floor"], F.lit(1.0) - loss)
+    days = _elapsed(label) / F.lit(86400.0)
+    return F.greatest(label["floor"], F.lit(1.0) - label["rate"] * F.greatest(F.lit(0.0), days))
+
+
+def _ordered_labels(bound: DataFrame) -> DataFrame:
+    """One row per labelled satellite: its labels in list order, fades apart from the rest.
+
+    ``_fades`` scale charge and ``_thermals`` change temperature; the two never interact.
+    Also when each group first becomes active, so that earlier rows skip it. Labels are a
+    hand-written configuration; a satellite has a few of them.
+    """
+    kind, params = F.col("fault_type"), F.col("params")
+    start = F.unix_micros("start")
+    # Parameter names and defaults.
+    fade = F.struct(
+        "ordinal",
+        start.alias("start_us"),
+        X.param(params, "fade_rate_per_day", 0.02).alias("rate"),
+        X.param(params, "floor", 0.5).alias("floor"),
+    )
+    thermal = F.struct(
+        "ordinal",
+        start.alias("start_us"),
+        (kind == S.STUCK_SENSOR).alias("sticks"),
+        X.param(params, "rate_k_per_hour", 2.0).alias("rate"),
+        X.param(params, "cap_k", 50.0).alias("cap"),
+    )
+    is_fade = kind == S.CAPACITY_FADE
+    return bound.groupBy("sat_id").agg(
+        F.array_sort(F.collect_list(F.when(is_fade, fade))).alias("_fades"),
+        F.array_sort(F.collect_list(F.when(~is_fade, thermal))).alias("_thermals"),
+        F.min(F.when(is_fade, start)).alias("_fade_us"),
+        F.min(F.when(~is_fade, start)).alias("_thermal_us"),
+        F.min(F.when(kind == S.STUCK_SENSOR, start)).alias("_stuck_us"),
+    )
 
 
 def _held_temperatures(raw: DataFrame, labelled: DataFrame, labels_fit: bool) -> DataFrame:
@@ -104,37 +122,32 @@ def _held_temperatures(raw: DataFrame, labelled: DataFrame, labels_fit: bool) ->
     row is found by a map-side combined aggregation, so a satellite with many rows sends
     one row per input partition.
     """
-    stuck = labelled.where(F.col("_stuck_start").isNotNull())
+    stuck = labelled.where(F.col("_stuck_us").isNotNull())
+    us = F.unix_micros("sim_time")
     first = (
         join_keyed(
-            raw.select("sat_id", "sim_time", "bus_temperature_k"),
-            stuck.select("sat_id", "_stuck_start"),
+            raw.select("sat_id", us.alias("_us"), F.col("bus_temperature_k").alias("_k")),
+            stuck.select("sat_id", "_stuck_us"),
             "sat_id",
             "inner",
-            F.col("sim_time"),
+            F.col("_us"),
             labels_fit,
         )
-        .where(F.col("sim_time") >= F.col("_stuck_start"))
+        .where(F.col("_us") >= F.col("_stuck_us"))
         .groupBy("sat_id")
-        .agg(
-            F.min_by("bus_temperature_k", "sim_time").alias("bus_temperature_k"),
-            F.min("sim_time").alias("sim_time"),
-        )
+        .agg(F.min_by("_k", "_us").alias("_k"), F.min("_us").alias("_us"))
     )
 
     def step(acc: Column, label: Column) -> Column:
-        active = F.col("sim_time") >= label["start"]
-        is_stuck = label["fault_type"] == S.STUCK_SENSOR
-        is_runaway = label["fault_type"] == S.THERMAL_RUNAWAY
-        warmer = active & is_runaway & ~acc["frozen"]
+        warmer = _is_active(label) & ~label["sticks"] & ~acc["frozen"]
         return F.struct(
             F.when(warmer, acc["k"] + _runaway_bias(label)).otherwise(acc["k"]).alias("k"),
-            (acc["frozen"] | (active & is_stuck)).alias("frozen"),
+            (acc["frozen"] | (_is_active(label) & label["sticks"])).alias("frozen"),
         )
 
-    start = F.struct(F.col("bus_temperature_k").alias("k"), F.lit(False).alias("frozen"))
-    frozen_at = F.aggregate("_labels", start, step)["k"]
-    return first.join(stuck.select("sat_id", "_labels"), "sat_id").select(
+    start = F.struct(F.col("_k").alias("k"), F.lit(False).alias("frozen"))
+    frozen_at = F.aggregate("_thermals", start, step)["k"]
+    return first.join(stuck.select("sat_id", "_thermals"), "sat_id").select(
         "sat_id", frozen_at.alias("_held")
     )
 
@@ -149,49 +162,57 @@ def inject(raw: DataFrame, bound: DataFrame) -> DataFrame:
     labels_fit = is_small(bound)
     ordered = _ordered_labels(bound)
     held = _held_temperatures(raw, ordered, labels_fit)
-    labelled = ordered.join(held, "sat_id", "left").drop("_stuck_start")
-    rows = join_keyed(raw, labelled, "sat_id", "left", F.col("sim_time"), labels_fit)
-
-    def step(acc: Column, label: Column) -> Column:
-        active = F.col("sim_time") >= label["start"]
-        fades = active & (label["fault_type"] == S.CAPACITY_FADE)
-        sticks = active & (label["fault_type"] == S.STUCK_SENSOR)
-        warms = active & (label["fault_type"] == S.THERMAL_RUNAWAY)
-        factor = F.when(fades, _fade_factor(label))
-        return F.struct(
-            F.coalesce(acc["soc"] * factor, acc["soc"]).alias("soc"),
-            F.coalesce(acc["wh"] * factor, acc["wh"]).alias("wh"),
-            F.when(sticks, F.col("_held"))
-            .when(warms, acc["k"] + _runaway_bias(label))
-            .otherwise(acc["k"])
-            .alias("k"),
-            (acc["thermal"] | sticks | warms).alias("thermal"),
+    labelled = ordered.join(held, "sat_id", "left").drop("_stuck_us")
+    timed = raw.withColumn("_us", F.unix_micros("sim_time"))
+    rows = join_keyed(timed, labelled, "sat_id", "left", F.col("sim_time"), labels_fit)
+
+    def faded(acc: Column, label: Column) -> Column:
+        return F.when(_is_active(label), acc * _fade_factor(label)).otherwise(acc)
+
+    def heated(acc: Column, label: Column) -> Column:
+        return (
+            F.when(~_is_active(label), acc)
+            .when(label["sticks"], F.col("_held"))
+            .otherwise(acc + _runaway_bias(label))
         )
 
-    start = F.struct(
-        F.col("battery_soc").alias("soc"),
-        F.col("battery_charge_wh").alias("wh"),
-        F.col("bus_temperature_k").alias("k"),
-        F.lit(False).alias("thermal"),
+    def fold(labels: str, start: Column, step) -> Column:
+        """Fold over the labels; the usual single label needs no loop and is compiled."""
+        one = step(start, F.element_at(labels, 1))
+        return F.when(F.size(labels) == 1, one).otherwise(F.aggregate(labels, start, step))
+
+    k = F.col("bus_temperature_k")
+    fading = F.col("_us") >= F.col("_fade_us")
+    heating = F.col("_us") >= F.col("_thermal_us")
+    rows = rows.withColumns(
+        {
+            "_factor": F.when(fading, fold("_fades", F.lit(1.0), faded)),
+            "_observed_k": F.when(heating, fold("_thermals", k, heated)),
+        }
     )
-    seen = F.when(F.col("_labels").isNotNull(), F.aggregate("_labels", start, step))
-    rows = rows.withColumn("_seen", seen)
+
+    def scaled(c: str) -> Column:
+        return F.coalesce(F.col(c) * F.col("_factor"), F.col(c))
+
     observed = {
-        "battery_soc": F.coalesce("_seen.soc", "battery_soc"),
-        "battery_charge_wh": F.coalesce("_seen.wh", "battery_charge_wh"),
-        "bus_temperature_c": F.when(
-            F.col("_seen.thermal"), X.kelvin_to_celsius(F.col("_seen.k"))
-        ).otherwise(F.col("bus_temperature_c")),
-        "bus_temperature_k": F.coalesce("_seen.k", "bus_temperature_k"),
+        "battery_soc": scaled("battery_soc"),
+        "battery_charge_wh": scaled("battery_charge_wh"),
+        "bus_temperature_k": F.coalesce("_observed_k", "bus_temperature_k"),
+        "bus_temperature_c": F.coalesce(
+            X.kelvin_to_celsius(F.col("_observed_k")), F.col("bus_temperature_c")
+        ),
     }
     return rows.withColumns(observed).select(*raw.columns)
 
 
 def active_labels(raw: DataFrame, bound: DataFrame) -> DataFrame:
     """Telemetry keys with the ordinals of the labels active at that time, in list order."""
+    per_sat = bound.groupBy("sat_id").agg(
+        F.array_sort(F.collect_list(F.struct("ordinal", "start"))).alias("_labels")
+    )
     rows = join_keyed(
         raw.select("sat_id", "sim_time"),
-        _ordered_labels(bound),
+        per_sat,
         "sat_id",
         "left",
         F.col("sim_time"),

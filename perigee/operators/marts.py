@@ -56,9 +56,8 @@ ROLLUP_MEASURES = [
 
 
 def rollup_input(raw: DataFrame) -> DataFrame:
-    """Rows the rollup aggregates: every subsystem's columns side by side, keys not null."""
-    keyed = raw.where(F.col("sat_id").isNotNull() & F.col("sim_time").isNotNull())
-    return add_geometry(add_eps(keyed))
+    """Rows the rollup aggregates: every subsystem's columns side by side."""
+    return add_geometry(add_eps(raw.where(F.col("sat_id").isNotNull())))
 
 
 def sat_minute_rollup(raw: DataFrame) -> DataFrame:
@@ -68,9 +67,14 @@ def sat_minute_rollup(raw: DataFrame) -> DataFrame:
     (sat_id, sim_time) would only rebuild what one row already holds. Aggregation is
     partial on the map side, so a satellite with a large share of the rows is reduced to
     its minutes before the shuffle.
+
+    Rows without a time belong to no minute. Their group is dropped by its count, since a
+    null filter would be pushed down to the scan and parse every time text once more.
     """
     minute = F.date_trunc("minute", F.col("sim_time")).alias("minute_bucket")
-    return rollup_input(raw).groupBy("sat_id", minute).agg(*rollup_measures())
+    timed = F.count("sim_time").alias("_timed")
+    rolled = rollup_input(raw).groupBy("sat_id", minute).agg(*rollup_measures(), timed)
+    return rolled.where(F.col("_timed") > 0).drop("_timed")
 
 
 def rollup_from_subsystems(eps: DataFrame, thermal: DataFrame, geometry: DataFrame) -> DataFrame:
@@ -130,9 +134,12 @@ def fleet_health_snapshot(raw: DataFrame) -> DataFrame:
     satellite with many rows sends only a few of them.
     """
     w = W.partitionBy("sat_id").orderBy(F.col("latest_sim_time").desc())
-    state = raw.where(F.col("sat_id").isNotNull() & F.col("sim_time").isNotNull()).select(
+    state = raw.where(F.col("sat_id").isNotNull()).select(
         F.col("sim_time").alias("latest_sim_time"),
         *[c for c in SNAPSHOT_COLUMNS if c != "latest_sim_time" and not c.endswith("_band")],
     )
-    latest = state.withColumn("_rank", F.rank().over(w)).where("_rank = 1")
+    # Null times sort last, so one ranks first only where a satellite has no other.
+    latest = state.withColumn("_rank", F.rank().over(w)).where(
+        (F.col("_rank") == 1) & F.col("latest_sim_time").isNotNull()
+    )
     return with_bands(latest).select(*SNAPSHOT_COLUMNS)

@@ -25,7 +25,7 @@ def rollup_stream(raw: DataFrame, max_delay: str = "10 minutes") -> DataFrame:
     telemetry table still has them.
     """
     return (
-        rollup_input(raw)
+        rollup_input(raw.where(F.col("sim_time").isNotNull()))
         .withWatermark("sim_time", max_delay)
         .groupBy("sat_id", F.window("sim_time", "1 minute").alias("_minute"))
         .agg(*rollup_measures())

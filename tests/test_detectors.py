@@ -178,6 +178,13 @@ def test_one_pass_equals_single_detectors(spark):
     assert together == apart
 
 
+def test_long_windows_take_another_way_to_the_baseline(spark, monkeypatch):
+    m = mart(spark, random_samples(4))
+    usual = as_result(D.detect(m, SETTINGS))
+    monkeypatch.setattr(D, "MAP_SIDE_LIMIT", 10)
+    assert as_result(D.detect(m, SETTINGS)) == usual
+
+
 def test_null_rows_are_left_out_and_reported(spark):
     samples = [{"minute": i, "heat": 5.0, "temp_k": 290.0} for i in range(12)]
     samples[4]["soc"] = None

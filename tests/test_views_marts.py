@@ -90,10 +90,12 @@ def test_rollup_equals_the_join_of_the_subsystem_views(spark):
 
 
 def test_rollup_ignores_rows_without_keys(spark):
-    raw = raw_of(spark, fleet()).unionByName(
-        raw_of(spark, [record()]).withColumn("sat_id", F.lit(None).cast("string"))
-    )
+    raw = raw_of(spark, fleet())
+    for key, kind in (("sat_id", "string"), ("sim_time", "timestamp")):
+        odd = raw_of(spark, [record("X")]).withColumn(key, F.lit(None).cast(kind))
+        raw = raw.unionByName(odd)
     assert marts.sat_minute_rollup(raw).count() == 40
+    assert marts.fleet_health_snapshot(raw).count() == 2
 
 
 def test_rollup_shuffles_once_after_partial_aggregation(spark):
