@@ -669,6 +669,8 @@ def oracle_sql() -> dict[str, str]:
         "json_decoded_good": _with() + f"SELECT {_TELEMETRY_LIST} FROM raw WHERE {_US} % 10 > 5",
         "partitioned_roundtrip": _with() + f"""SELECT {_TELEMETRY_LIST},
           cast(sim_time AS date) AS date, extract(hour FROM sim_time) AS hour FROM raw""",
+        "ingest_totals": _with()
+        + "SELECT sat_id, count(*) AS rows_flushed FROM raw GROUP BY sat_id",
         "partition_pruned_read": _with() + f"""SELECT sat_id, sim_time_iso, {_r('battery_soc')}
           FROM raw WHERE sat_id = 'SAT-03' AND sim_time >= TIMESTAMP '1970-06-14 10:00:00'
           AND sim_time < TIMESTAMP '1970-06-14 12:30:00'""",

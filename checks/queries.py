@@ -708,6 +708,15 @@ def partition_pruned_read(spark, sf_dir):
     return edge(rows.select("sat_id", "sim_time_iso", "battery_soc"))
 
 
+@query
+def ingest_totals(spark, sf_dir):
+    """Rows of the stored table counted file by file, per satellite."""
+    root = scratch_dir(spark, "telemetry")
+    store.write_telemetry(_telemetry(spark, sf_dir), root)
+    files = store.written_files(spark, root)
+    return files.groupBy("sat_id").agg(F.sum("n_rows").alias("rows_flushed"))
+
+
 @query
 def files_per_partition(spark, sf_dir):
     root = scratch_dir(spark, "telemetry")

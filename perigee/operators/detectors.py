@@ -141,7 +141,9 @@ def detector_signals(
     numbered = number_rows(rows, "sat_id", "minute_bucket", per_key=per_sat)
     blocks = split_blocks(numbered, halo, settings.block_rows)
 
-    # Look-back signals: need the halo, so they come before it is dropped.
+    # Look-back signals: need the halo, so they come before it is dropped. They are window
+    # functions over stored columns only: the block summary below reads the same shuffled
+    # rows, and Spark reuses that shuffle as long as nothing else is computed before it.
     w = in_block("sat_id", "minute_bucket")
     look_back: dict[str, Column] = {}
     if fade:
@@ -154,12 +156,7 @@ def detector_signals(
             "bus_temperature_k_mean"
         ).over(w)
     if runaway:
-        temp_c = X.kelvin_to_celsius(F.col("bus_temperature_k_mean"))
-        oldest = F.lag("bus_temperature_k_mean", runaway.slope_window - 1).over(w)
-        look_back["temp_c"] = temp_c
-        look_back["slope"] = (temp_c - X.kelvin_to_celsius(oldest)) / F.lit(
-            runaway.slope_window - 1
-        )
+        look_back["_oldest"] = F.lag("bus_temperature_k_mean", runaway.slope_window - 1).over(w)
     signals = blocks.withColumns(look_back).where("own").drop("own")
 
     # Running signals: inside the block first, then with what earlier blocks hand over.
@@ -209,6 +206,11 @@ def detector_signals(
         final["run_length"] = F.col("seq") - F.coalesce("_reset", "_reset_in", F.lit(0))
         out += ["residual_k", "run_length"]
     if runaway:
+        temp_c = X.kelvin_to_celsius(F.col("bus_temperature_k_mean"))
+        final["temp_c"] = temp_c
+        final["slope"] = (temp_c - X.kelvin_to_celsius(F.col("_oldest"))) / F.lit(
+            runaway.slope_window - 1
+        )
         out += ["temp_c", "slope"]
     return signals.withColumns(final).select(*out)
 

@@ -50,6 +50,29 @@ def read_telemetry(spark: SparkSession, root: str) -> DataFrame:
     return df.select(*S.TELEMETRY_COLUMNS, "date", "hour")
 
 
+def written_files(spark: SparkSession, root: str) -> DataFrame:
+    """One row per file of the stored table: its directory keys, rows and bytes.
+
+    The totals are the writer's counters (rows flushed, files and bytes written), taken
+    from what is actually stored.
+    """
+    stored = spark.read.schema(S.STORED_TELEMETRY_SCHEMA).option("basePath", root).parquet(root)
+    return stored.groupBy(
+        *S.PARTITION_COLUMNS,
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_size").alias("n_bytes"),
+    ).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def write_totals(files: DataFrame) -> DataFrame:
+    """One row: rows, files and bytes written."""
+    return files.agg(
+        F.sum("n_rows").alias("rows_flushed"),
+        F.count(F.lit(1)).alias("files_written"),
+        F.sum("n_bytes").alias("bytes_written"),
+    )
+
+
 def between_times(stored: DataFrame, start=None, end=None) -> DataFrame:
     """Rows with ``start <= time < end``, with the matching range on the ``date`` directory.
 

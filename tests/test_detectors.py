@@ -4,7 +4,7 @@ import pytest
 
 from perigee.operators import detectors as D
 from perigee.operators.detectors import CapacityFade, DetectorSettings, StuckSensor, ThermalRunaway
-from helpers import mart
+from helpers import mart, plan_of
 
 
 def events(df):
@@ -204,3 +204,20 @@ def test_extra_detector_and_stats(spark):
     assert ev.count() == 2
     row = D.run_stats(m, ev).first()
     assert (row["rows_consumed"], row["sats_processed"], row["events_emitted"]) == (50, 1, 2)
+
+
+def test_block_summary_reuses_the_shuffled_rows(spark, tmp_path):
+    """On data too large to broadcast, mart rows are shuffled by block once, not twice."""
+    mart(spark, random_samples(2)).write.parquet(str(tmp_path / "m"))
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        events = D.detect(spark.read.parquet(str(tmp_path / "m")), SETTINGS)
+        events.collect()
+        plan = plan_of(events)
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+    final = plan[: plan.index("Initial Plan")]
+    assert any("ReusedExchange" in x and "baseline" in x and "block" in x for x in final.split("\n"))

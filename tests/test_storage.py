@@ -1,5 +1,7 @@
 from datetime import UTC, datetime, timedelta
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -35,6 +37,26 @@ def test_one_directory_per_satellite_and_hour(spark, tmp_path):
     assert sum(r["n_rows"] for r in counts) == 33
 
 
+def test_write_counters_come_from_the_stored_files(spark, tmp_path):
+    root = tmp_path / "t"
+    recs = [record(f"S{i % 2}", T0 + timedelta(minutes=i)) for i in range(30)]
+    store.write_telemetry(telemetry(spark, recs), str(root))
+    totals = store.write_totals(store.written_files(spark, str(root))).first()
+    on_disk = sum(p.stat().st_size for p in root.rglob("*.parquet"))
+    assert tuple(totals) == (30, 2, on_disk)
+
+
+def test_files_that_repeat_the_key_columns_are_read(spark, tmp_path):
+    """Tables of other writers may hold sat_id in the file as well as in the path."""
+    part = tmp_path / "t" / "sat_id=007" / "date=2026-05-24" / "hour=09"
+    part.mkdir(parents=True)
+    at = datetime(2026, 5, 24, 9, 15, tzinfo=UTC)
+    pq.write_table(pa.Table.from_pylist([record("007", at)]), part / "part-0000.parquet")
+    (row,) = store.read_telemetry(spark, str(tmp_path / "t")).collect()
+    assert (row["sat_id"], row["hour"], str(row["date"])) == ("007", 9, "2026-05-24")
+    assert row["battery_soc"] == 0.85
+
+
 def test_late_rows_are_appended_to_their_hour(spark, tmp_path):
     root = str(tmp_path / "t")
     store.write_telemetry(telemetry(spark, [record(at=T0), record(at=T0 + timedelta(hours=1))]), root)
