@@ -57,11 +57,13 @@ def number_rows(
     )
     if per_key is not None:
         offsets = offsets.join(per_key, key, "left")
+    # Positions inside a slice come first: the join then finds the rows already sorted.
     local = F.row_number().over(W.partitionBy(key, "_slice").orderBy(time))
     return (
-        sliced.join(offsets, [key, "_slice"])
-        .withColumn(seq, F.col("_before") + local)
-        .drop("_slice", "_before")
+        sliced.withColumn("_local", local)
+        .join(offsets, [key, "_slice"])
+        .withColumn(seq, F.col("_before") + F.col("_local"))
+        .drop("_slice", "_before", "_local")
     )
 
 

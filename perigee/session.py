@@ -25,6 +25,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, shuffled_bytes: int, partition_bytes: int = 128 << 20) -> int:
+    """Set the number of shuffle partitions for a job that shuffles about that many bytes.
+
+    Meant to err on the high side: adaptive execution merges partitions that turn out
+    small, but only spilling helps against ones that are too large. Returns the number set.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    partitions = max(cores, -(-shuffled_bytes // partition_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return partitions
+
+
 def local_session(cores: int | str = "*", app: str = "perigee", **conf: str) -> SparkSession:
     """Build a local session for tests and benchmarks. Clusters pass their own session in."""
     builder = (

@@ -32,6 +32,8 @@ def start_ingest(
     after a failure of the driver or of executors. Bad messages never stop the stream.
     Directories come from event time, so a late row is appended to its own hour and
     nothing already written is replaced. ``every=None`` drains the source and stops.
+    Adaptive execution, on for stateless streams, splits a directory that gets a large
+    share of a batch. Messages are decoded once by each of the two queries.
     """
     parsed = wire.counted(wire.parsed(messages))
     good = parsed.where(F.col("reject_reason").isNull()).select("_record.*")
