@@ -21,6 +21,22 @@ from perigee.functions import scalars as X
 from perigee.functions.sequence import BLOCK_ROWS, before, in_block, number_rows, split_blocks
 
 
+# Event severities and texts (printf formats, for Spark and Python alike).
+SEVERITY = {"capacity_fade": "warning", "stuck_sensor": "critical", "thermal_runaway": "critical"}
+EVENT_TEXT = {
+    "capacity_fade": (
+        "Battery SoC ceiling drifted by %.3f from baseline %.3f; consistent with capacity fade."
+    ),
+    "stuck_sensor": (
+        "Temperature held while heat balance predicts movement; "
+        "residual %.2f K sustained for %d minutes."
+    ),
+    "thermal_runaway": (
+        "Bus temperature %.1f C exceeds ceiling %.1f C with positive slope %.2f K/min."
+    ),
+}
+
+
 # Default detector parameters.
 @dataclass(frozen=True)
 class CapacityFade:
@@ -231,38 +247,19 @@ def _firing(name: str, settings: DetectorSettings) -> Column:
 
 def _payload(name: str, settings: DetectorSettings) -> dict[str, Column]:
     """Severity, score and text of a detector's event."""
-    if name == "capacity_fade":
-        return {
-            "severity": F.lit("warning"),
-            "score": F.col("cusum"),
-            "description": F.format_string(
-                "Battery SoC ceiling drifted by %.3f from baseline %.3f; "
-                "consistent with capacity fade.",
-                F.col("cusum"),
-                F.col("baseline"),
-            ),
-        }
-    if name == "stuck_sensor":
-        return {
-            "severity": F.lit("critical"),
-            "score": F.col("residual_k"),
-            "description": F.format_string(
-                "Temperature held while heat balance predicts movement; "
-                "residual %.2f K sustained for %d minutes.",
-                F.col("residual_k"),
-                F.col("run_length"),
-            ),
-        }
-    ceiling = settings.thermal_runaway.ceiling_c
-    return {
-        "severity": F.lit("critical"),
-        "score": F.col("temp_c") - F.lit(ceiling),
-        "description": F.format_string(
-            "Bus temperature %.1f C exceeds ceiling %.1f C with positive slope %.2f K/min.",
-            F.col("temp_c"),
-            F.lit(float(ceiling)),
-            F.col("slope"),
+    ceiling = F.lit(float(settings.thermal_runaway.ceiling_c))
+    score, values = {
+        "capacity_fade": (F.col("cusum"), [F.col("cusum"), F.col("baseline")]),
+        "stuck_sensor": (F.col("residual_k"), [F.col("residual_k"), F.col("run_length")]),
+        "thermal_runaway": (
+            F.col("temp_c") - ceiling,
+            [F.col("temp_c"), ceiling, F.col("slope")],
         ),
+    }[name]
+    return {
+        "severity": F.lit(SEVERITY[name]),
+        "score": score,
+        "description": F.format_string(EVENT_TEXT[name], *values),
     }
 
 

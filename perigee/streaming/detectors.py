@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from perigee import schema as S
-from perigee.operators.detectors import DetectorSettings, detector_input
-from perigee.streaming.ingest import _trigger
+from perigee.operators.detectors import EVENT_TEXT, SEVERITY, DetectorSettings, detector_input
+from perigee.streaming.ingest import with_trigger
 
 # Per satellite: how many samples were seen, the tails the look-back windows need, and the
 # running values. Its size does not depend on the length of the history.
@@ -31,7 +31,7 @@ def _make_update(settings: DetectorSettings):
     per_watt, limit_k = stuck.step_seconds / stuck.thermal_mass, stuck.residual_k
     need, min_expected = stuck.consecutive, stuck.min_expected_k
     ceiling, span, min_slope = runaway.ceiling_c, runaway.slope_window, runaway.min_slope
-    kelvin = S.KELVIN_OFFSET
+    kelvin, texts, severities = S.KELVIN_OFFSET, dict(EVENT_TEXT), dict(SEVERITY)
     columns = ["sat_id", "kind", "detector_name", "sim_time_iso", "severity", "score", "description"]
 
     def first_true(mask):
@@ -85,18 +85,15 @@ def _make_update(settings: DetectorSettings):
             expected = samples["net_heat_w_mean"].to_numpy(float) * per_watt
             fired = list(fired)
 
-            def emit(slot, name, severity, i, score, text):
+            def emit(slot, name, i, score, *values):
                 fired[slot] = True
-                rows.append((key[0], "event", name, stamp[i], severity, float(score), text))
+                text = texts[name] % values
+                rows.append((key[0], "event", name, stamp[i], severities[name], float(score), text))
 
             score, baseline = fade_scores(seen, soc, np.array(soc_tail, float), baseline, cusum)
             i = first_true(np.nan_to_num(score, nan=-1.0) >= threshold)
             if i is not None and not fired[0]:
-                emit(
-                    0, "capacity_fade", "warning", i, score[i],
-                    f"Battery SoC ceiling drifted by {score[i]:.3f} from baseline "
-                    f"{baseline:.3f}; consistent with capacity fade.",
-                )
+                emit(0, "capacity_fade", i, score[i], score[i], baseline)
 
             temps = np.concatenate([np.array(temp_tail, float), temp])
             before = len(temp_tail)
@@ -109,11 +106,7 @@ def _make_update(settings: DetectorSettings):
             runs = run_lengths((residual > limit_k) & (np.abs(expected) > min_expected), run)
             i = first_true(runs >= need)
             if i is not None and not fired[1]:
-                emit(
-                    1, "stuck_sensor", "critical", i, residual[i],
-                    "Temperature held while heat balance predicts movement; "
-                    f"residual {residual[i]:.2f} K sustained for {int(runs[i])} minutes.",
-                )
+                emit(1, "stuck_sensor", i, residual[i], residual[i], int(runs[i]))
 
             celsius = temps - kelvin
             slope = np.full(len(temps), np.nan)
@@ -124,11 +117,8 @@ def _make_update(settings: DetectorSettings):
             celsius, slope = celsius[before:], slope[before:]
             i = first_true((celsius > ceiling) & (np.nan_to_num(slope, nan=-np.inf) >= min_slope))
             if i is not None and not fired[2]:
-                emit(
-                    2, "thermal_runaway", "critical", i, celsius[i] - ceiling,
-                    f"Bus temperature {celsius[i]:.1f} C exceeds ceiling {ceiling:.1f} C "
-                    f"with positive slope {slope[i]:.2f} K/min.",
-                )
+                above = celsius[i] - ceiling
+                emit(2, "thermal_runaway", i, above, celsius[i], ceiling, slope[i])
 
             soc_tail = np.concatenate([np.array(soc_tail, float), soc])[-(window - 1):]
             keep = max(span - 1, 1)
@@ -189,7 +179,7 @@ def start_detectors(
         .partitionBy("kind")
         .outputMode("append")
     )
-    return _trigger(writer, every).start()
+    return with_trigger(writer, every).start()
 
 
 def read_stream_output(spark, path: str) -> DataFrame:

@@ -11,7 +11,7 @@ from perigee.sources import telemetry as store
 from perigee.sources import wire
 
 
-def _trigger(writer, every: str | None):
+def with_trigger(writer, every: str | None):
     """Process what is there and stop, or keep running with a trigger interval."""
     if every is None:
         return writer.trigger(availableNow=True)
@@ -55,7 +55,7 @@ def start_ingest(
         .option("compression", "zstd")
         .outputMode("append")
     )
-    return [_trigger(w, every).start() for w in (table_writer, rejects_writer)]
+    return [with_trigger(w, every).start() for w in (table_writer, rejects_writer)]
 
 
 def drain(queries: list[StreamingQuery]) -> None:

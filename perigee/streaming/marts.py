@@ -13,7 +13,7 @@ from perigee.operators.marts import (
     rollup_measures,
     with_bands,
 )
-from perigee.streaming.ingest import _trigger
+from perigee.streaming.ingest import with_trigger
 
 
 def rollup_stream(raw: DataFrame, max_delay: str = "10 minutes") -> DataFrame:
@@ -44,7 +44,7 @@ def start_rollup(
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
     )
-    return _trigger(writer, every).start()
+    return with_trigger(writer, every).start()
 
 
 def snapshot_stream(raw: DataFrame) -> DataFrame:
@@ -66,7 +66,8 @@ def start_snapshot(raw: DataFrame, root: str, checkpoint: str, every: str | None
     """Publish the whole snapshot after each batch as a new version directory.
 
     The version is the batch number, so a batch repeated after a failure overwrites its
-    own directory, and readers of an older version are not disturbed.
+    own directory, and readers of an older version are not disturbed. Superseded versions
+    stay until the storage's retention rule removes them.
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
@@ -78,7 +79,7 @@ def start_snapshot(raw: DataFrame, root: str, checkpoint: str, every: str | None
         .option("checkpointLocation", checkpoint)
         .foreachBatch(publish)
     )
-    return _trigger(writer, every).start()
+    return with_trigger(writer, every).start()
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame:

@@ -38,7 +38,7 @@ NOMINAL = {
 }
 
 
-def record(sat: str = "SKYSAT-1", at: datetime = T0, **over) -> dict:
+def record(sat: str = "BIRD-1", at: datetime = T0, **over) -> dict:
     return {"sat_id": sat, "sim_time_iso": at.isoformat(), **NOMINAL, **over}
 
 

@@ -26,11 +26,11 @@ def scores(ev, labels):
     return {r["detector_name"]: r for r in E.scorecard(ev, labels).collect()}
 
 
-FADE = ("SKYSAT-1", S.CAPACITY_FADE, "2026-05-01T00:00:00+00:00")
+FADE = ("BIRD-1", S.CAPACITY_FADE, "2026-05-01T00:00:00+00:00")
 
 
 def test_event_in_the_window_is_a_true_positive(spark):
-    sc = scores(events(spark, ("SKYSAT-1", "capacity_fade", "2026-05-02T00:00:00+00:00")), bound(spark, FADE))
+    sc = scores(events(spark, ("BIRD-1", "capacity_fade", "2026-05-02T00:00:00+00:00")), bound(spark, FADE))
     r = sc["capacity_fade"]
     assert (r["true_positives"], r["false_positives"], r["false_negatives"]) == (1, 0, 0)
     assert (r["recall"], r["precision"]) == (1.0, 1.0)
@@ -38,8 +38,8 @@ def test_event_in_the_window_is_a_true_positive(spark):
 
 
 def test_event_before_the_start_is_false_and_the_fault_missed(spark):
-    late = ("SKYSAT-1", S.CAPACITY_FADE, "2026-05-05T00:00:00+00:00")
-    r = scores(events(spark, ("SKYSAT-1", "capacity_fade", "2026-05-01 00:00:00")), bound(spark, late))[
+    late = ("BIRD-1", S.CAPACITY_FADE, "2026-05-05T00:00:00+00:00")
+    r = scores(events(spark, ("BIRD-1", "capacity_fade", "2026-05-01 00:00:00")), bound(spark, late))[
         "capacity_fade"
     ]
     assert (r["true_positives"], r["false_positives"], r["false_negatives"]) == (0, 1, 1)
@@ -47,16 +47,16 @@ def test_event_before_the_start_is_false_and_the_fault_missed(spark):
 
 
 def test_event_on_another_satellite_is_false(spark):
-    other = ("SKYSAT-2", S.CAPACITY_FADE, "2026-05-01T00:00:00+00:00")
-    r = scores(events(spark, ("SKYSAT-1", "capacity_fade", "2026-05-02 00:00:00")), bound(spark, other))[
+    other = ("BIRD-2", S.CAPACITY_FADE, "2026-05-01T00:00:00+00:00")
+    r = scores(events(spark, ("BIRD-1", "capacity_fade", "2026-05-02 00:00:00")), bound(spark, other))[
         "capacity_fade"
     ]
     assert (r["true_positives"], r["false_positives"], r["false_negatives"]) == (0, 1, 1)
 
 
 def test_fault_without_event_is_missed_once_per_label(spark):
-    hot = ("SKYSAT-1", S.THERMAL_RUNAWAY, "2026-05-01T00:00:00+00:00")
-    again = ("SKYSAT-1", S.THERMAL_RUNAWAY, "2026-05-03T00:00:00+00:00")
+    hot = ("BIRD-1", S.THERMAL_RUNAWAY, "2026-05-01T00:00:00+00:00")
+    again = ("BIRD-1", S.THERMAL_RUNAWAY, "2026-05-03T00:00:00+00:00")
     sc = scores(events(spark), bound(spark, hot, again))
     assert sc["thermal_runaway"]["false_negatives"] == 2
     assert sc["thermal_runaway"]["mean_latency_seconds"] is None
@@ -64,26 +64,26 @@ def test_fault_without_event_is_missed_once_per_label(spark):
 
 
 def test_latency_counts_from_the_earliest_start(spark):
-    later = ("SKYSAT-1", S.CAPACITY_FADE, "2026-05-01T02:00:00+00:00")
-    ev = events(spark, ("SKYSAT-1", "capacity_fade", "2026-05-01 03:00:00"))
+    later = ("BIRD-1", S.CAPACITY_FADE, "2026-05-01T02:00:00+00:00")
+    ev = events(spark, ("BIRD-1", "capacity_fade", "2026-05-01 03:00:00"))
     assert scores(ev, bound(spark, later, FADE))["capacity_fade"]["mean_latency_seconds"] == 10_800.0
 
 
 def test_zero_latency_stays_distinct_from_none(spark):
-    ev = events(spark, ("SKYSAT-1", "capacity_fade", "2026-05-01 00:00:00"))
+    ev = events(spark, ("BIRD-1", "capacity_fade", "2026-05-01 00:00:00"))
     rows = {r["detector_name"]: r["latency_min"]
             for r in E.summary(E.scorecard(ev, bound(spark, FADE))).collect()}
     assert rows == {"capacity_fade": 0.0, "stuck_sensor": None, "thermal_runaway": None}
 
 
 def test_other_time_zones_are_converted_for_hits_and_misses_alike(spark):
-    ev = events(spark, ("SKYSAT-1", "capacity_fade", "2026-05-01T01:00:00+02:00"))
+    ev = events(spark, ("BIRD-1", "capacity_fade", "2026-05-01T01:00:00+02:00"))
     r = scores(ev, bound(spark, FADE))["capacity_fade"]
     assert (r["true_positives"], r["false_positives"], r["false_negatives"]) == (0, 1, 1)
 
 
 def test_unknown_detector_is_an_error(spark):
-    ev = events(spark, ("SKYSAT-1", "attitude", "2026-05-02 00:00:00"))
+    ev = events(spark, ("BIRD-1", "attitude", "2026-05-02 00:00:00"))
     assert E.unknown_detectors(ev).count() == 1
     with pytest.raises(Exception, match="unknown detector attitude"):
         scores(ev, bound(spark, FADE))

@@ -21,7 +21,7 @@ def bound(spark, rows, start=START):
     )
 
 
-def fault(kind, sat="SKYSAT-1", start=START, **params):
+def fault(kind, sat="BIRD-1", start=START, **params):
     return {"sat_id": sat, "fault_type": kind, "start_iso": start.isoformat(), "params": params}
 
 
@@ -41,10 +41,10 @@ def test_no_labels_change_nothing(spark):
 
 
 def test_label_not_started_or_on_another_satellite(spark):
-    recs = [record(at=at(hours=12)), record("SKYSAT-2", at(hours=12))]
+    recs = [record(at=at(hours=12)), record("BIRD-2", at(hours=12))]
     rows = [
         fault(S.CAPACITY_FADE, start=at(days=1), fade_rate_per_day=0.5),
-        fault(S.THERMAL_RUNAWAY, sat="SKYSAT-7"),
+        fault(S.THERMAL_RUNAWAY, sat="BIRD-7"),
     ]
     for r in observe(spark, recs, rows).values():
         assert (r["battery_soc"], r["bus_temperature_k"]) == (0.85, 288.0)

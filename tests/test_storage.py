@@ -20,14 +20,14 @@ def files(root):
 def test_partition_layout(spark, tmp_path):
     root = tmp_path / "t"
     at = datetime(2026, 5, 24, 9, 15, tzinfo=UTC)
-    store.write_telemetry(telemetry(spark, [record("SKYSAT-7", at)]), str(root))
-    assert files(root) == ["sat_id=SKYSAT-7/date=2026-05-24/hour=09"]
+    store.write_telemetry(telemetry(spark, [record("BIRD-7", at)]), str(root))
+    assert files(root) == ["sat_id=BIRD-7/date=2026-05-24/hour=09"]
 
 
 def test_one_directory_per_satellite_and_hour(spark, tmp_path):
     root = tmp_path / "t"
-    recs = [record(f"SKYSAT-{i % 3 + 1}", T0 + timedelta(minutes=i)) for i in range(30)]
-    recs += [record(f"SKYSAT-{i + 1}", T0 + timedelta(hours=1)) for i in range(3)]
+    recs = [record(f"BIRD-{i % 3 + 1}", T0 + timedelta(minutes=i)) for i in range(30)]
+    recs += [record(f"BIRD-{i + 1}", T0 + timedelta(hours=1)) for i in range(3)]
     store.write_telemetry(telemetry(spark, recs), str(root))
     assert len(files(root)) == 6
     back = store.read_telemetry(spark, str(root))
@@ -112,12 +112,12 @@ def test_reads_are_pruned_by_directory_and_column(spark, tmp_path):
 
 
 def test_fleet_selection(spark):
-    sats = ["SKYSAT-2", "SKYSAT-1", "DOVE-1", "skysat-3"]
+    sats = ["BIRD-2", "BIRD-1", "KITE-1", "bird-3"]
     t = telemetry(spark, [record(s, T0 + timedelta(minutes=i)) for s in sats for i in range(2)])
-    got = store.select_fleet(t, "skysat", 2)
-    assert {r["sat_id"] for r in got.collect()} == {"SKYSAT-1", "SKYSAT-2"}
+    got = store.select_fleet(t, "bird", 2)
+    assert {r["sat_id"] for r in got.collect()} == {"BIRD-1", "BIRD-2"}
     assert got.count() == 4
-    assert store.select_fleet(t, "Skysat").select("sat_id").distinct().count() == 3
+    assert store.select_fleet(t, "Bird").select("sat_id").distinct().count() == 3
     with pytest.raises(ValueError, match="no satellites match"):
         store.select_fleet(t, "nothing")
 

@@ -48,7 +48,7 @@ def body(**over):
 def test_ingest_splits_good_and_bad_and_resumes(spark, tmp_path):
     feed = Feed(tmp_path / "in")
     hour = lambda h, m=0: (T0 + timedelta(hours=h, minutes=m)).isoformat()
-    feed.add(message_rows(spark, [body(), b"not valid json {", b'{"sat_id": "SKYSAT-1"}',
+    feed.add(message_rows(spark, [body(), b"not valid json {", b'{"sat_id": "BIRD-1"}',
                                   body(sim_time_iso=hour(1))]))
     first = run_ingest(spark, tmp_path, feed)
     assert ingest.ingest_counters(first[0]) == {
@@ -65,7 +65,7 @@ def test_ingest_splits_good_and_bad_and_resumes(spark, tmp_path):
     assert [r["reject_reason"] for r in reasons.collect()] == ["bad_json", "missing"]
     parts = {p.parent.relative_to(tmp_path / "table").as_posix()
              for p in (tmp_path / "table").rglob("*.parquet")}
-    assert "sat_id=SKYSAT-1/date=2026-05-24/hour=14" in parts
+    assert "sat_id=BIRD-1/date=2026-05-24/hour=14" in parts
 
 
 def test_ingest_bounds_file_size(spark, tmp_path):

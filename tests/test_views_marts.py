@@ -22,7 +22,7 @@ def fleet(sats=2, minutes=20):
             dark = i % 20 < 6
             out.append(
                 record(
-                    f"SKYSAT-{s + 1}", T0 + timedelta(minutes=i), eclipsed=dark,
+                    f"BIRD-{s + 1}", T0 + timedelta(minutes=i), eclipsed=dark,
                     battery_soc=0.85 + (-0.001 if dark else 0.0005) * i,
                     net_power_w=-60.0 if dark else 110.0,
                 )
@@ -228,12 +228,12 @@ def test_dashboard_reads(spark):
     rollup = marts.sat_minute_rollup(raw)
     view = dashboards.fleet_view(marts.fleet_health_snapshot(raw))
     assert view.columns == dashboards.FLEET_COLUMNS
-    assert [r["sat_id"] for r in view.collect()] == ["SKYSAT-1", "SKYSAT-2"]
-    series = dashboards.temperature_series(rollup, "SKYSAT-2")
+    assert [r["sat_id"] for r in view.collect()] == ["BIRD-1", "BIRD-2"]
+    series = dashboards.temperature_series(rollup, "BIRD-2")
     assert series.columns == ["time", "temp_c"]
     times = [r["time"] for r in series.collect()]
     assert len(times) == 20 and times == sorted(times)
-    assert [r[0] for r in dashboards.satellite_names(rollup).collect()] == ["SKYSAT-1", "SKYSAT-2"]
+    assert [r[0] for r in dashboards.satellite_names(rollup).collect()] == ["BIRD-1", "BIRD-2"]
 
 
 def test_event_feeds_are_newest_first_and_limited(spark):
@@ -254,6 +254,6 @@ def test_event_feeds_are_newest_first_and_limited(spark):
 def test_counts_and_their_approximation(spark):
     raw = raw_of(spark, fleet() + fleet(1, 5))
     exact = {r["sat_id"]: (r["n_rows"], r["n_distinct_times"]) for r in aggregates.row_counts(raw).collect()}
-    assert exact == {"SKYSAT-1": (25, 20), "SKYSAT-2": (20, 20)}
-    near = aggregates.row_counts(raw, approximate=True).where("sat_id = 'SKYSAT-2'").first()
+    assert exact == {"BIRD-1": (25, 20), "BIRD-2": (20, 20)}
+    near = aggregates.row_counts(raw, approximate=True).where("sat_id = 'BIRD-2'").first()
     assert abs(near["n_distinct_times"] - 20) <= 2

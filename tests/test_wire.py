@@ -11,7 +11,7 @@ from helpers import T0, record, telemetry
 
 
 def messages(spark, values):
-    rows = [(b"SKYSAT-1", v if isinstance(v, bytes) else v.encode()) for v in values]
+    rows = [(b"BIRD-1", v if isinstance(v, bytes) else v.encode()) for v in values]
     return spark.createDataFrame(rows, "key binary, value binary")
 
 
@@ -21,7 +21,7 @@ def body(**over):
 
 def test_bad_messages_are_counted_not_fatal(spark):
     good = [body(), body(sim_time_iso=(T0 + timedelta(hours=1)).isoformat())]
-    m = messages(spark, [good[0], "not valid json {", json.dumps({"sat_id": "SKYSAT-1"}), good[1]])
+    m = messages(spark, [good[0], "not valid json {", json.dumps({"sat_id": "BIRD-1"}), good[1]])
     assert wire.decoded(m).count() == 2
     assert wire.rejected(m).count() == 2
 
@@ -45,7 +45,7 @@ def test_bad_messages_are_counted_not_fatal(spark):
 def test_reject_reasons(spark, value, reason):
     (row,) = wire.rejected(messages(spark, [value])).collect()
     assert row["reject_reason"] == reason
-    assert row["key"] == b"SKYSAT-1"
+    assert row["key"] == b"BIRD-1"
 
 
 def test_encode_decode_round_trip(spark):
