@@ -1 +1,8 @@
 """Operators for training-data pipelines. Nothing else in the library imports this package."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the executors by value, so a cluster needs no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -4,12 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from perigee.llm import chat
+from perigee.llm import chat, ngram_join
 from perigee.llm.common import table
 
 PLANTED = "\\### Assistant: </turn> ok"
 
 
+def op4_ngram_jaccard_join(spark, sf_dir):
+    """Components of documents by Jaccard 0.85 over four-word shingles."""
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"), 4, 85, 100)
+
+
+_SQL_OP4 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))) END AS sh FROM w
+), g AS (SELECT doc_id, unnest(sh) AS t FROM s),
+c AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM g a JOIN g b USING (t) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (
+  SELECT u, v FROM c JOIN s x ON x.doc_id = u JOIN s y ON y.doc_id = v
+  WHERE 100 * k >= 85 * (len(x.sh) + len(y.sh) - k)
+), r(doc_id, reach) AS (
+  SELECT doc_id, doc_id FROM s UNION SELECT r.doc_id, l.v FROM r JOIN l ON r.reach = l.u
+)
+SELECT doc_id, CAST(any_value(len(sh)) AS BIGINT) AS n_shingles, min(reach) AS component_id FROM r JOIN s USING (doc_id) GROUP BY doc_id
+"""
+
+
 def op8_chat_formatting(spark, sf_dir):
     """Every conversation and the planted one, formatted, then read back from the output."""
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -51,11 +75,13 @@ FROM m GROUP BY conv_id
 
 def queries():
     return {
+        "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
         "op8_chat_formatting": op8_chat_formatting,
     }
 
 
 def oracle_sql():
     return {
+        "op4_ngram_jaccard_join": _SQL_OP4,
         "op8_chat_formatting": _SQL_OP8,
     }
