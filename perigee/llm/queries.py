@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from perigee.llm import chat, decontamination, ngram_join, toxicity
+from perigee.llm import chat, decontamination, ngram_join, pii, token_counts, toxicity
 from perigee.llm.common import table
 
 PLANTED = "\\### Assistant: </turn> ok"
@@ -16,6 +17,11 @@ def op2_toxicity(spark, sf_dir):
     return toxicity.probabilities(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_pii(spark, sf_dir):
+    """Personal data in every document."""
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op4_ngram_jaccard_join(spark, sf_dir):
     """Components of documents by Jaccard 0.85 over four-word shingles."""
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"), 4, 85, 100)
@@ -67,6 +73,11 @@ def op8_chat_formatting(spark, sf_dir):
     )
 
 
+def op9_token_counts(spark, sf_dir):
+    """Exact token counts of every document."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
+
+
 _ESCAPED = "replace(replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '#', '&num;'), ':', '&colon;')"
 
 _SQL_OP8 = f"""
@@ -87,9 +98,11 @@ FROM m GROUP BY conv_id
 def queries():
     return {
         "op2_toxicity": op2_toxicity,
+        "op3_pii": op3_pii,
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
         "op5_benchmark_decontamination": op5_benchmark_decontamination,
         "op8_chat_formatting": op8_chat_formatting,
+        "op9_token_counts": op9_token_counts,
     }
 
 
