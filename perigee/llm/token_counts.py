@@ -89,7 +89,7 @@ class PrefixCounter:
         offsets = np.array(e.offsets, np.int64).reshape(-1, 2)
         owner = np.array([-1 if w is None else w for w in e.word_ids])
         last = np.flatnonzero(np.append((owner[1:] != owner[:-1]) | (owner[1:] < 0), True)) if len(owner) else np.zeros(0, np.int64)
-        last = last[np.append(offsets[last[1:], 1] != offsets[last[:-1], 1], True)] if len(last) else last  # words that share a character
+        last = last[np.append(offsets[last[:-1] + 1, 0] >= offsets[last[:-1], 1], True)] if len(last) else last  # not inside a character
         first = np.concatenate([[0], last[:-1] + 1]) if len(last) else last
         return offsets[first, 0], offsets[last, 1], last + 1
 
