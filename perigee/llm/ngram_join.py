@@ -44,6 +44,9 @@ FREQUENT_TOKENS = 1 << 17
 FREQUENT_FROM = 8
 #: Rows of one frequent token that go to one task while buckets are looked through.
 ROWS_PER_SALT = 1 << 16
+#: Size of the filter of ids by which documents are chosen for comparison where they lie, as a
+#: power of two: 2 MB broadcast. It only saves work; ids it lets through wrongly are joined away.
+FILTER_BITS = 24
 
 
 def token_sets(texts: list, n: int):
@@ -188,11 +191,30 @@ def _overlaps(batches):
         yield pa.RecordBatch.from_arrays([u, v, pa.array([len(x) for x in a], pa.int64()), pa.array([len(x) for x in b], pa.int64()), pa.array(common, pa.int64())], schema=schema)
 
 
-def _sets(n: int):
+def _places(ids: np.ndarray) -> np.ndarray:
+    return (mix64(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _marked(batches):
+    """For the filter of ids: words of 63 bits with the bits of the ids that are not null."""
+    schema = pa.schema([("word", pa.int64()), ("bits", pa.int64())])
+    for batch in batches:
+        at = _places(batch.column("id").drop_null().to_numpy(zero_copy_only=False))
+        yield pa.RecordBatch.from_arrays([pa.array(at // 63), pa.array(np.int64(1) << (at % 63))], schema=schema)
+
+
+def _sets(n: int, wanted):
+    """The sets of the documents whose ids the filter lets through, and of those without an id."""
     schema = pa.schema([("doc_id", pa.int64()), ("found", pa.int64()), ("tokens", pa.binary())])
 
     def run(batches):
-        for ids, texts in _batches(batches):
+        bits = wanted.value
+        for batch in batches:
+            ids = batch.column("doc_id")
+            at = _places(ids.fill_null(0).to_numpy(zero_copy_only=False))
+            passes = (bits[at // 63] >> (at % 63)) & 1 == 1
+            batch = batch.filter(pa.array(passes | ids.is_null().to_numpy(zero_copy_only=False)))
+            ids, texts = batch.column("doc_id").to_pylist(), [t or "" for t in batch.column("text").to_pylist()]
             rows = {c: [] for c in schema.names}
             for doc_id, s in zip(ids, token_sets(texts, n), strict=True):
                 rows["doc_id"].append(doc_id)
@@ -247,8 +269,12 @@ class _Join:
 
     def sets_of(self, sids: DataFrame, classes: DataFrame) -> DataFrame:
         need = classes.join(sids.distinct(), "sid", "left_semi").select("sid", F.col("first_id").alias("id"))
-        texts = self.docs.join(need, self.docs["doc_id"].eqNullSafe(need["id"])).select("doc_id", "text")
-        found = texts.mapInArrow(_sets(self.n), "doc_id long, found long, tokens binary")
+        need = stored(need, "ngram-needed")
+        marked = need.mapInArrow(_marked, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+        bits = np.zeros((1 << FILTER_BITS) // 63 + 1, np.int64)
+        bits[marked.column("word").to_numpy()] = marked.column("bits").to_numpy()
+        wanted = self.spark.sparkContext.broadcast(bits)
+        found = self.docs.mapInArrow(_sets(self.n, wanted), "doc_id long, found long, tokens binary")
         back = found.join(need, (found["found"] == need["sid"]) & found["doc_id"].eqNullSafe(need["id"]))
         return stored(back.select("sid", "tokens").dropDuplicates(["sid"]), "ngram-sets")
 
