@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from perigee.llm import chat, decontamination, ngram_join, pii, token_counts, toxicity, warc
+from perigee.llm import chat, decontamination, html_text, ngram_join, pii, token_counts, toxicity, warc
 from perigee.llm.common import table
 from perigee.session import scratch_dir
 
@@ -78,6 +78,11 @@ FROM w
 """
 
 
+def op7_html_extraction(spark, sf_dir):
+    """Main text of every page."""
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
 def op8_chat_formatting(spark, sf_dir):
     """Every conversation and the planted one, formatted, then read back from the output."""
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -129,6 +134,7 @@ def queries():
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
         "op5_benchmark_decontamination": op5_benchmark_decontamination,
         "op6_warc": op6_warc,
+        "op7_html_extraction": op7_html_extraction,
         "op8_chat_formatting": op8_chat_formatting,
         "op9_token_counts": op9_token_counts,
     }
