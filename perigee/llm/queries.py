@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from perigee.llm import chat, decontamination, html_text, ngram_join, pii, token_counts, toxicity, warc
+from perigee.llm import chat, decontamination, html_text, neighbours, ngram_join, pii, token_counts, toxicity, warc
 from perigee.llm.common import table
 from perigee.session import scratch_dir
 
@@ -110,6 +110,11 @@ def op9_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
 
 
+def op10_nearest_neighbours(spark, sf_dir):
+    """The ten nearest found of every hundredth embedding."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), 100, 10)
+
+
 _ESCAPED = "replace(replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '#', '&num;'), ':', '&colon;')"
 
 _SQL_OP8 = f"""
@@ -137,6 +142,7 @@ def queries():
         "op7_html_extraction": op7_html_extraction,
         "op8_chat_formatting": op8_chat_formatting,
         "op9_token_counts": op9_token_counts,
+        "op10_nearest_neighbours": op10_nearest_neighbours,
     }
 
 
