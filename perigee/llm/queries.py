@@ -5,13 +5,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from perigee.llm import chat, decontamination, html_text, neighbours, ngram_join, pii, token_counts, toxicity, warc
+from perigee.llm import chat, decontamination, html_text, neighbours, ngram_join, packing, pii, token_counts, toxicity, warc
 from perigee.llm.common import table
 from perigee.session import scratch_dir
 
 PLANTED = "\\### Assistant: </turn> ok"
 
 
+def op1_best_fit_packing(spark, sf_dir):
+    """Every document in bins of 2048 words; no bin holds a source or copies of a text twice."""
+    docs = table(spark, sf_dir, "documents")
+    return packing.packed(docs, packing.words(), F.col("source"), packing.copies(), 2048)
+
+
 def op2_toxicity(spark, sf_dir):
     """Category probabilities of every document by the chain fitted on ``labels``."""
     docs = table(spark, sf_dir, "documents")
@@ -134,6 +140,7 @@ FROM m GROUP BY conv_id
 
 def queries():
     return {
+        "op1_best_fit_packing": op1_best_fit_packing,
         "op2_toxicity": op2_toxicity,
         "op3_pii": op3_pii,
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
