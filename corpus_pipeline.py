@@ -1,12 +1,58 @@
-"""A corpus in five stages: toxicity, near duplicates, decontamination, personal data, packing."""
+"""A corpus in five stages: toxicity, near duplicates, decontamination, personal data, packing.
+
+Every stage works on all rows that its predecessor kept and returns the columns of documents;
+the last returns the packed pieces. Rows without a doc_id can't be named by a decision about
+duplicates and stay.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from perigee.llm import decontamination, ngram_join, packing, pii, toxicity
 from perigee.llm.common import stored, table
 
-STAGES = []
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier chain doesn't reject."""
+    return toxicity.without_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each group of near duplicates: five-word shingles, similarity 0.8 or more."""
+    found = stored(ngram_join.ngram_components(docs, 5, 80, 100), "pipeline-groups")
+    others = found.where("component_id < doc_id").select("doc_id").distinct()
+    kept = docs.join(others, "doc_id", "left_anti")
+    repeated = stored(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "pipeline-repeated")
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(repeated, "doc_id", "left_anti").unionByName(once)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark passage."""
+    return decontamination.without_passages(docs, table(spark, sf_dir, "benchmark"), 0.1)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind."""
+    return pii.redacted(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in bins of 2048 words."""
+    return packing.packed(docs, packing.words(), F.col("source"), packing.copies(), 2048)
+
+
+STAGES = [
+    ("toxicity", reject_toxic),
+    ("ngram_jaccard_join", one_of_each_group),
+    ("benchmark_decontamination", without_benchmark),
+    ("pii", mask_personal_data),
+    ("best_fit_packing", pack),
+]
 
 ORACLE_SQL = None  # SQL can't express the trained classifier or best-fit packing
 
