@@ -48,36 +48,51 @@ _DOUBLES = [
 ]
 
 
-# See TIE_SHIFT in checks/queries.py.
-_SHIFT = "1.234567e-8::double"
-
-
 def _r(*names: str) -> str:
     """Select list of columns rounded to six digits."""
     return ", ".join(_r_as(n, n) for n in names)
 
 
 def _r_as(expr: str, name: str) -> str:
-    return f"round({expr} + {_SHIFT}, 6) AS {name}"
+    return (
+        f"CASE WHEN isnan(({expr})::double) OR abs({expr}) >= 1e9 THEN ({expr})::double "
+        f"ELSE floor(({expr})::double * 1e6::double + 0.5::double) / 1e6::double END AS {name}"
+    )
+
+
+def _mean(expr: str, name: str) -> str:
+    """A mean by whole numbers and billionths, which does not depend on the order of rows."""
+    whole = f"CASE WHEN isfinite({expr}) THEN CAST(floor({expr}) AS BIGINT) END"
+    part = f"CASE WHEN isfinite({expr}) THEN CAST(floor((({expr}) - floor({expr})) * 1e9::double + 0.5::double) AS BIGINT) END"
+    return (
+        f"CASE WHEN bool_or(NOT isfinite({expr})) THEN sum(CASE WHEN NOT isfinite({expr}) THEN {expr} END) "
+        f"ELSE (sum({whole})::double + sum({part})::double / 1e9::double) / count({expr})::double END AS {name}"
+    )
 
 
 _TELEMETRY_LIST = f"sat_id, sim_time_iso, eclipsed, {_r(*_DOUBLES)}"
 
-_MEASURES = """
-    avg(battery_soc) AS battery_soc_mean, min(battery_soc) AS battery_soc_min,
-    max(battery_soc) AS battery_soc_max, avg(solar_power_w) AS solar_power_w_mean,
-    avg(bus_power_w) AS bus_power_w_mean, avg(net_power_w) AS net_power_w_mean,
-    sum(CASE WHEN net_power_w > 0 THEN 1 ELSE 0 END) / count(*)::double AS charging_fraction,
-    avg(bus_temperature_k) AS bus_temperature_k_mean,
-    min(bus_temperature_k) AS bus_temperature_k_min,
-    max(bus_temperature_k) AS bus_temperature_k_max, avg(net_heat_w) AS net_heat_w_mean,
-    sum(CASE WHEN eclipsed THEN 1 ELSE 0 END) / count(*)::double AS eclipse_fraction,
-    avg(altitude_km) AS altitude_km_mean,
-    avg(sqrt(position_eci_km_x * position_eci_km_x + position_eci_km_y * position_eci_km_y
-      + position_eci_km_z * position_eci_km_z)) AS position_magnitude_km_mean,
-    avg(sqrt(velocity_eci_km_s_x * velocity_eci_km_s_x
-      + velocity_eci_km_s_y * velocity_eci_km_s_y
-      + velocity_eci_km_s_z * velocity_eci_km_s_z)) AS orbital_speed_km_s_mean"""
+def _norm(stem: str) -> str:
+    return "sqrt(" + " + ".join(f"{stem}_{a} * {stem}_{a}" for a in "xyz") + ")"
+
+
+_MEASURES = ", ".join([
+    _mean("battery_soc", "battery_soc_mean"),
+    "min(battery_soc) AS battery_soc_min",
+    "max(battery_soc) AS battery_soc_max",
+    _mean("solar_power_w", "solar_power_w_mean"),
+    _mean("bus_power_w", "bus_power_w_mean"),
+    _mean("net_power_w", "net_power_w_mean"),
+    "sum(CASE WHEN net_power_w > 0 THEN 1 ELSE 0 END) / count(*)::double AS charging_fraction",
+    _mean("bus_temperature_k", "bus_temperature_k_mean"),
+    "min(bus_temperature_k) AS bus_temperature_k_min",
+    "max(bus_temperature_k) AS bus_temperature_k_max",
+    _mean("net_heat_w", "net_heat_w_mean"),
+    "sum(CASE WHEN eclipsed THEN 1 ELSE 0 END) / count(*)::double AS eclipse_fraction",
+    _mean("altitude_km", "altitude_km_mean"),
+    _mean(_norm("position_eci_km"), "position_magnitude_km_mean"),
+    _mean(_norm("velocity_eci_km_s"), "orbital_speed_km_s_mean"),
+])
 
 _MEASURE_NAMES = [
     "battery_soc_mean", "battery_soc_min", "battery_soc_max", "solar_power_w_mean",
@@ -94,18 +109,26 @@ def _rollup(source: str, name: str = "roll", where: str = "true") -> str:
   FROM {source} WHERE {where} GROUP BY sat_id, date_trunc('minute', sim_time))"""
 
 
-_SNAPSHOT = """
-latest AS (SELECT sat_id, max(sim_time) AS latest_sim_time FROM raw GROUP BY sat_id),
-snap AS (
-  SELECT r.sat_id, r.sim_time AS latest_sim_time, r.battery_soc, r.bus_temperature_k,
-    r.bus_temperature_c, r.eclipsed, r.latitude_deg, r.longitude_deg, r.altitude_km,
-    r.solar_power_w, r.net_power_w,
-    CASE WHEN r.battery_soc < 0.25 THEN 'critical' WHEN r.battery_soc < 0.50 THEN 'degraded'
-         ELSE 'nominal' END AS battery_health_band,
-    CASE WHEN r.bus_temperature_c < -20 OR r.bus_temperature_c > 50 THEN 'critical'
-         WHEN r.bus_temperature_c < -10 OR r.bus_temperature_c > 40 THEN 'degraded'
-         ELSE 'nominal' END AS thermal_health_band
-  FROM raw r JOIN latest l ON r.sat_id = l.sat_id AND r.sim_time = l.latest_sim_time)"""
+_LIMITS = """
+bands(channel, below, above, band, severity) AS (VALUES
+  ('soc', 0.25, NULL, 'critical', 2), ('soc', 0.50, NULL, 'degraded', 1),
+  ('temp', -20, 50, 'critical', 2), ('temp', -10, 40, 'degraded', 1))"""
+
+
+def _band(channel: str, value: str) -> str:
+    """The most severe band whose limits a value is outside of."""
+    return (
+        f"coalesce((SELECT arg_max(band, severity) FROM bands WHERE channel = '{channel}' "
+        f"AND ({value} < below OR {value} > above)), 'nominal')"
+    )
+
+
+_SNAPSHOT = f"""
+{_LIMITS},
+placed AS (SELECT *, rank() OVER (PARTITION BY sat_id ORDER BY sim_time DESC) AS place
+  FROM raw WHERE sim_time IS NOT NULL AND sat_id IS NOT NULL),
+snap AS (SELECT *, sim_time AS latest_sim_time, {_band('soc', 'battery_soc')} AS battery_health_band,
+  {_band('temp', 'bus_temperature_c')} AS thermal_health_band FROM placed WHERE place = 1)"""
 
 _SNAPSHOT_OUT = f"""SELECT sat_id, latest_sim_time, eclipsed, battery_health_band,
   thermal_health_band, {_r('battery_soc', 'bus_temperature_k', 'bus_temperature_c',
@@ -328,8 +351,8 @@ lab AS (
   FROM events),
 judged AS (
   SELECT *, CASE
-    WHEN (start_iso IS NULL) = (start_offset IS NULL) THEN 'fault entry for ' || sat_id
-      || ' must have exactly one of start_iso or start_offset'
+    WHEN (start_iso IS NULL) = (start_offset IS NULL) THEN 'label of ' || sat_id
+      || ': give start_iso or start_offset, and not both'
     WHEN fault_type = 'attitude_excursion' THEN 'unknown fault_type attitude_excursion'
     WHEN start_offset IS NOT NULL AND offset_s IS NULL THEN 'bad start_offset ' || start_offset
     END AS problem FROM lab),
@@ -340,10 +363,6 @@ bound AS (
   FROM judged, start_of WHERE problem IS NULL)"""
 
 _US = "epoch_us(sim_time)"
-_CLOSED = (
-    "date_trunc('minute', sim_time) + INTERVAL 1 MINUTE <= "
-    "(SELECT max(sim_time) - INTERVAL 10 MINUTE FROM raw)"
-)
 _REASON = f"""CASE {_US} % 10 WHEN 0 THEN 'bad_json' WHEN 1 THEN 'missing' WHEN 2 THEN 'extra'
   WHEN 3 THEN 'bad_type' WHEN 4 THEN 'bad_time' WHEN 5 THEN 'bad_json' END"""
 
@@ -359,9 +378,8 @@ def _series(expr: str, name: str) -> str:
     )
 
 
-def _detected(rows: list[str], *more: str, closed: bool = False) -> str:
-    where = _CLOSED if closed else "true"
-    return _with(_bound(rows), _INJECT, _rollup("inj", where=where), _DETECT, *more)
+def _detected(rows: list[str], *more: str) -> str:
+    return _with(_bound(rows), _INJECT, _rollup("inj"), _DETECT, *more)
 
 
 def _model_checks() -> str:
@@ -616,10 +634,19 @@ def oracle_sql() -> dict[str, str]:
         "detect_thermal_runaway": _detected(faults)
         + _EVENT_OUT + " WHERE detector_name = 'thermal_runaway'",
         "detect_all": _detected(faults) + _EVENT_OUT,
-        "unusable_mart_rows": _with(_rollup("raw")) + """SELECT sat_id, minute_bucket,
-          CASE WHEN extract(hour FROM minute_bucket) = 9 THEN 'battery_soc_mean'
-            ELSE 'net_heat_w_mean' END AS null_columns
-          FROM roll WHERE extract(hour FROM minute_bucket) IN (9, 12)""",
+        "unusable_mart_rows": _with(_rollup("raw"), """
+          holed AS (SELECT sat_id, minute_bucket, extract(hour FROM minute_bucket) AS h,
+            CASE WHEN h <> 9 THEN battery_soc_mean END AS soc,
+            CASE WHEN h = 12 THEN 'nan'::double ELSE bus_temperature_k_mean END AS temp,
+            CASE WHEN h <> 12 THEN net_heat_w_mean END AS heat FROM roll),
+          named AS (SELECT sat_id, minute_bucket,
+            concat_ws(',', CASE WHEN soc IS NULL THEN 'battery_soc_mean' END,
+              CASE WHEN temp IS NULL THEN 'bus_temperature_k_mean' END,
+              CASE WHEN heat IS NULL THEN 'net_heat_w_mean' END) AS null_columns,
+            concat_ws(',', CASE WHEN isnan(soc) THEN 'battery_soc_mean' END,
+              CASE WHEN isnan(temp) THEN 'bus_temperature_k_mean' END,
+              CASE WHEN isnan(heat) THEN 'net_heat_w_mean' END) AS nan_columns FROM holed)""")
+        + "SELECT * FROM named WHERE null_columns <> '' OR nan_columns <> ''",
         "run_stats": _detected(faults) + """SELECT count(*) AS rows_consumed,
           count(DISTINCT sat_id) AS sats_processed, (SELECT count(*) FROM ev) AS events_emitted
           FROM roll""",
@@ -677,9 +704,32 @@ def oracle_sql() -> dict[str, str]:
         "stream_ingest_table": _with() + f"SELECT {_TELEMETRY_LIST} FROM raw WHERE {_US} % 10 > 5",
         "stream_dead_letter": _with() + f"""SELECT sat_id, {_REASON} AS reject_reason,
           count(*) AS n_messages FROM raw WHERE {_US} % 10 <= 5 GROUP BY ALL""",
-        "stream_rollup": _with(_rollup("raw", where=_CLOSED)) + roll_out,
+        "stream_rollup": _with(_rollup("raw")) + roll_out,
+        "marts_refreshed_in_full": _with(_rollup("raw")) + roll_out,
+        "replayed_messages": _with() + f"SELECT {_TELEMETRY_LIST} FROM raw",
+        "bounded_files": _with() + "SELECT sat_id, count(*) AS n_rows, true AS bounded FROM raw GROUP BY sat_id",
+        "round_trip_report": _with() + f"""SELECT sat_id, count(*) AS n_rows,
+          count(DISTINCT sim_time_iso) AS n_distinct_times,
+          count(*) FILTER ({_US} % 10 <> 0) AS n_rows_after,
+          count(DISTINCT CASE WHEN {_US} % 10 <> 0 THEN sim_time_iso END) AS n_distinct_times_after
+          FROM raw WHERE sat_id = 'SAT-03' GROUP BY sat_id""",
+        "fleet_approx_distinct": _with() + "SELECT sat_id, count(*) AS n_rows, true AS close FROM raw GROUP BY sat_id",
+        "label_file_windows": _with(_bound(faults), _WINDOWS)
+        + "SELECT sat_id, detector_name, earliest_start, n_specs FROM wins",
+        "unknown_detector_events": _detected(faults)
+        + "SELECT sat_id, 'attitude' AS detector_name, sim_time_iso, severity FROM ev WHERE sat_id = 'SAT-13'",
+        "stream_rollup_late_rows": _with(_rollup("raw")) + roll_out,
         "stream_snapshot": _with(_SNAPSHOT) + _SNAPSHOT_OUT,
-        "stream_detectors_events": _detected(faults, closed=True) + _EVENT_OUT,
+        "stream_snapshot_ties": _with(
+            "hourly AS (SELECT * REPLACE (date_trunc('hour', sim_time) AS sim_time) FROM raw)",
+            _SNAPSHOT.replace("FROM raw", "FROM hourly"),
+        ) + _SNAPSHOT_OUT,
+        "stream_ingest_counters": _with() + f"""SELECT count(*) AS messages_seen,
+          count(*) FILTER ({_US} % 10 > 5) AS messages_received,
+          count(*) FILTER ({_US} % 10 <= 5) AS decode_errors FROM raw""",
+        "files_per_partition": _with() + """SELECT sat_id, cast(sim_time AS date) AS date,
+          extract(hour FROM sim_time) AS hour, count(*) AS n_rows, true AS has_files FROM raw GROUP BY ALL""",
+        "stream_detectors_events": _detected(faults) + _EVENT_OUT,
     }
     for name, (rows, columns) in inject_columns.items():
         sql[name] = (

@@ -21,19 +21,13 @@ from perigee.plans import adapter, dashboards, pipeline
 from perigee.session import configure, materialize, scratch_dir
 from perigee.sources import telemetry as store
 from perigee.sources import wire
-from perigee.sources.labels import labels_from_rows
+from perigee.sources.labels import labels_from_rows, load_labels
 from perigee.streaming import detectors as stream_detectors
 from perigee.streaming import ingest as stream_ingest
 from perigee.streaming import marts as stream_marts
 
 SERIES_SAT = "SAT-03"
 EVENTS_SAT = "SAT-13"
-STREAM_DELAY = "10 minutes"
-
-# Added before rounding on both sides. Means of 16 three-digit values end in an exact 5 at
-# the seventh digit, where a last-bit difference in summation order would flip the rounding;
-# the shift moves such values off the tie.
-TIE_SHIFT = 1.234567e-8
 
 # Labels with one that no detector can catch, and labels that overlap on one satellite.
 WITH_MISS = [
@@ -72,9 +66,13 @@ _REGISTRY: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    """Register a query under its function name, with the session settings applied."""
+    """Register a query under its function name, with the session settings applied.
+
+    Tables that a query stores and reads several times are its own: each run starts anew.
+    """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        _stored.clear()
         return fn(configure(spark), sf_dir)
 
     _REGISTRY[fn.__name__] = run
@@ -108,7 +106,7 @@ _stored: dict[tuple, DataFrame] = {}
 
 
 def _once(spark, sf_dir, name, build):
-    """A stored mart of this session: built on first use, then read by every query."""
+    """A stored mart of the running query: built on first use."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
         _stored[key] = build()
@@ -135,13 +133,20 @@ def _observed_events(spark, sf_dir):
     return _once(spark, sf_dir, "observed_events", build)
 
 
+def rounded(c, digits: int = 6):
+    """Half up, in double arithmetic that every engine does alike."""
+    scale = float(10**digits)
+    scaled = c * F.lit(scale)
+    return F.when(F.isnan(c) | (F.abs(c) >= 1e9), c).otherwise(F.floor(scaled + F.lit(0.5)).cast("double") / F.lit(scale))
+
+
 def edge(df: DataFrame) -> DataFrame:
     """Publish: doubles rounded to six digits, timestamps naive."""
     out = []
     for f in df.schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.DoubleType):
-            c = F.round(c + F.lit(TIE_SHIFT), 6)
+            c = rounded(c)
         elif isinstance(f.dataType, T.TimestampType):
             c = X.as_naive(c)
         out.append(c.alias(f.name))
@@ -293,7 +298,8 @@ def sat_series_annotated(spark, sf_dir):
 @query
 def sat_series_recent(spark, sf_dir):
     """Charge series restricted to the panel's time range: the newest two hours."""
-    series = dashboards.soc_series(_rollup(spark, sf_dir), SERIES_SAT)
+    rollup = materialize(_rollup(spark, sf_dir), "rollup")
+    series = dashboards.soc_series(rollup, SERIES_SAT)
     return edge(store.within_last(series, "time", F.expr("interval 2 hours")))
 
 
@@ -556,17 +562,18 @@ def detect_all(spark, sf_dir):
 
 @query
 def unusable_mart_rows(spark, sf_dir):
-    """Mart rows set aside because a channel is null, after blanking a channel by hour."""
+    """Mart rows set aside because a channel is null or not a number, after blanking channels by hour."""
     hour = F.hour("minute_bucket")
     holed = _rollup(spark, sf_dir).withColumns(
         {
             "battery_soc_mean": F.when(hour != 9, F.col("battery_soc_mean")),
             "net_heat_w_mean": F.when(hour != 12, F.col("net_heat_w_mean")),
+            "bus_temperature_k_mean": F.when(hour == 12, F.lit(float("nan"))).otherwise(F.col("bus_temperature_k_mean")),
         }
     )
     out = detectors.unusable_rows(holed)
-    named = F.array_join("null_columns", ",").alias("null_columns")
-    return edge(out.select("sat_id", "minute_bucket", named))
+    named = [F.array_join(c, ",").alias(c) for c in ("null_columns", "nan_columns")]
+    return edge(out.select("sat_id", "minute_bucket", *named))
 
 
 @query
@@ -611,7 +618,9 @@ def missed_faults(spark, sf_dir):
 @query
 def dq_model_checks(spark, sf_dir):
     raw = _raw(spark, sf_dir)
-    return quality.model_report(raw, marts.sat_minute_rollup(raw), marts.fleet_health_snapshot(raw))
+    rollup = materialize(marts.sat_minute_rollup(raw), "rollup")
+    snapshot = materialize(marts.fleet_health_snapshot(raw), "snapshot")
+    return quality.model_report(raw, rollup, snapshot)
 
 
 @query
@@ -719,10 +728,67 @@ def ingest_totals(spark, sf_dir):
 
 @query
 def files_per_partition(spark, sf_dir):
+    """Rows of each directory of the stored table, and whether it has any file (their number is the writer's choice)."""
     root = scratch_dir(spark, "telemetry")
     store.write_telemetry(_telemetry(spark, sf_dir), root)
-    counts = aggregates.files_per_partition(store.read_telemetry(spark, root))
-    return counts.withColumn("hour", F.col("hour").cast("bigint"))
+    out = aggregates.files_per_partition(store.read_telemetry(spark, root))
+    return out.select("sat_id", "date", F.col("hour").cast("bigint").alias("hour"), "n_rows", (F.col("n_files") > 0).alias("has_files"))
+
+
+@query
+def bounded_files(spark, sf_dir):
+    """Rows of each satellite in files that may hold fifty rows, and whether all of them keep to that."""
+    root = scratch_dir(spark, "telemetry")
+    store.write_telemetry(_telemetry(spark, sf_dir), root, max_rows_per_file=50)
+    files = store.written_files(spark, root)
+    return files.groupBy("sat_id").agg(F.sum("n_rows").alias("n_rows"), F.bool_and(F.col("n_rows") <= 50).alias("bounded"))
+
+
+@query
+def round_trip_report(spark, sf_dir):
+    """Satellites that differ after a table lost a tenth of one satellite's rows."""
+    telemetry = _telemetry(spark, sf_dir)
+    lost = (F.col("sat_id") == SERIES_SAT) & (F.unix_micros(X.parse_iso(F.col("sim_time_iso"))) % 10 == 0)
+    root = scratch_dir(spark, "telemetry")
+    store.write_telemetry(telemetry.where(~lost), root)
+    return quality.round_trip_report(telemetry, store.read_telemetry(spark, root))
+
+
+@query
+def fleet_approx_distinct(spark, sf_dir):
+    """Approximate distinct times per satellite, as rows and whether within a tenth of the exact number."""
+    raw = _raw(spark, sf_dir)
+    near = aggregates.row_counts(raw, approximate=True)
+    exact = aggregates.row_counts(raw).select("sat_id", F.col("n_distinct_times").alias("exact"))
+    close = F.abs(F.col("n_distinct_times") - F.col("exact")) <= 0.1 * F.col("exact")
+    return near.join(exact, "sat_id").select("sat_id", "n_rows", close.alias("close"))
+
+
+@query
+def label_file_windows(spark, sf_dir):
+    """Labels written as JSON lines, loaded, bound to the data, and summed up as windows."""
+    path = scratch_dir(spark, "label-file")
+    labels_from_rows(spark, adapter.FAULTS).write.json(path)
+    bound = pipeline.bind_to_data(_raw(spark, sf_dir), load_labels(spark, path))
+    return edge(evaluation.fault_windows(bound))
+
+
+@query
+def unknown_detector_events(spark, sf_dir):
+    """Events of a detector that no fault type maps to."""
+    events = _observed_events(spark, sf_dir)
+    renamed = F.when(F.col("sat_id") == EVENTS_SAT, F.lit("attitude")).otherwise(F.col("detector_name"))
+    out = evaluation.unknown_detectors(events.withColumn("detector_name", renamed))
+    return edge(out.select("sat_id", "detector_name", "sim_time_iso", "severity"))
+
+
+@query
+def marts_refreshed_in_full(spark, sf_dir):
+    """Rollup of a full mart refresh from the stored table."""
+    base = scratch_dir(spark, "refresh")
+    store.write_telemetry(_telemetry(spark, sf_dir), f"{base}/telemetry")
+    pipeline.refresh_marts(spark, f"{base}/telemetry", f"{base}/marts")
+    return edge(store.read_mart(spark, f"{base}/marts/sat_minute_rollup"))
 
 
 # ---- streaming --------------------------------------------------------------------------
@@ -744,7 +810,7 @@ def _ingested(spark, sf_dir):
     started = stream_ingest.start_ingest(
         messages, f"{base}/table", f"{base}/rejects", f"{base}/checkpoint"
     )
-    stream_ingest.drain(started)
+    stream_ingest.drain([started])
     return base
 
 
@@ -757,25 +823,55 @@ def stream_ingest_table(spark, sf_dir):
 
 @query
 def stream_dead_letter(spark, sf_dir):
-    base = _ingested(spark, sf_dir)
-    rejects = spark.read.parquet(f"{base}/rejects")
+    rejects = stream_ingest.read_dead_letters(spark, f"{_ingested(spark, sf_dir)}/rejects")
     return rejects.groupBy(F.col("key").cast("string").alias("sat_id"), "reject_reason").agg(
         F.count(F.lit(1)).alias("n_messages")
     )
 
 
-def _streamed_rollup(spark, sf_dir, raw=None):
+@query
+def replayed_messages(spark, sf_dir):
+    """Messages stored as tables, replayed as a stream, decoded and stored."""
+    base = scratch_dir(spark, "replay")
+    wire.encoded(_telemetry(spark, sf_dir)).write.parquet(f"{base}/messages")
+    messages = wire.replay_directory(spark, f"{base}/messages")
+    stream_ingest.drain([stream_ingest.start_ingest(messages, f"{base}/table", f"{base}/rejects", f"{base}/checkpoint")])
+    return edge(store.read_telemetry(spark, f"{base}/table").select(*S.TELEMETRY_COLUMNS))
+
+
+@query
+def stream_ingest_counters(spark, sf_dir):
+    """Lifetime counters of the ingest query."""
+    return stream_ingest.ingest_counters(spark, f"{_ingested(spark, sf_dir)}/checkpoint")
+
+
+@query
+def stream_rollup(spark, sf_dir):
+    """Streaming rollup after a drain: every minute, complete."""
     base = scratch_dir(spark, "rollup_stream")
-    raw = _raw_stream(spark, sf_dir) if raw is None else raw
-    started = stream_marts.start_rollup(raw, f"{base}/rollup", f"{base}/checkpoint", STREAM_DELAY)
+    started = stream_marts.start_rollup(_raw_stream(spark, sf_dir), f"{base}/sums", f"{base}/checkpoint")
     stream_ingest.drain([started])
-    return f"{base}/rollup"
+    return edge(stream_marts.read_rollup(spark, f"{base}/sums"))
+
+
+def _in_two_batches(spark, sf_dir):
+    """Raw-view stream of the telemetry in two batches, each with about half of the rows of every minute."""
+    base = scratch_dir(spark, "batches")
+    telemetry = _telemetry(spark, sf_dir)
+    early = F.pmod(F.xxhash64("sim_time_iso"), F.lit(2)) == 0
+    for part in (early, ~early):
+        telemetry.where(part).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    source = spark.readStream.schema(S.TELEMETRY_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    return base, staging.raw_telemetry(source)
 
 
 @query
-def stream_rollup(spark, sf_dir):
-    """Closed minutes of the streaming rollup."""
-    return edge(store.read_mart(spark, _streamed_rollup(spark, sf_dir), _rollup(spark, sf_dir).schema))
+def stream_rollup_late_rows(spark, sf_dir):
+    """Rollup when half of the rows of every minute arrive after all others, in a batch of their own."""
+    base, raw = _in_two_batches(spark, sf_dir)
+    started = stream_marts.start_rollup(raw, f"{base}/sums", f"{base}/checkpoint")
+    stream_ingest.drain([started])
+    return edge(stream_marts.read_rollup(spark, f"{base}/sums"))
 
 
 @query
@@ -788,15 +884,23 @@ def stream_snapshot(spark, sf_dir):
     return edge(stream_marts.read_snapshot(spark, f"{base}/snapshot"))
 
 
+@query
+def stream_snapshot_ties(spark, sf_dir):
+    """Snapshot over times cut to the hour, in two batches: all rows tied on the latest hour stay."""
+    base, raw = _in_two_batches(spark, sf_dir)
+    hourly = raw.withColumn("sim_time", F.date_trunc("hour", F.col("sim_time")))
+    started = stream_marts.start_snapshot(hourly, f"{base}/snapshot", f"{base}/checkpoint")
+    stream_ingest.drain([started])
+    return edge(stream_marts.read_snapshot(spark, f"{base}/snapshot"))
+
+
 @query
 def stream_detectors_events(spark, sf_dir):
-    """Observed telemetry stream to rollup stream to stateful detectors."""
+    """Observed telemetry stream to rollup sums and events."""
     base = scratch_dir(spark, "detector_stream")
     observed = labels.inject(_raw(spark, sf_dir), _bound(spark, sf_dir))
     observed.select(*S.TELEMETRY_COLUMNS).write.parquet(f"{base}/observed")
     source = spark.readStream.schema(S.TELEMETRY_SCHEMA).parquet(f"{base}/observed")
-    rollup_path = _streamed_rollup(spark, sf_dir, staging.raw_telemetry(source))
-    rollup = spark.readStream.schema(_rollup(spark, sf_dir).schema).parquet(rollup_path)
-    started = stream_detectors.start_detectors(rollup, f"{base}/out", f"{base}/checkpoint")
+    started = stream_detectors.start_detectors(staging.raw_telemetry(source), f"{base}/out", f"{base}/checkpoint")
     stream_ingest.drain([started])
     return edge(stream_detectors.read_stream_events(spark, f"{base}/out"))

@@ -75,58 +75,35 @@ class DetectorSettings:
     block_rows: int = BLOCK_ROWS
 
 
-def detector_input(mart: DataFrame) -> DataFrame:
-    """The five mart columns detectors read, without rows they cannot use.
-
-    See :func:`unusable_rows` for the rows left out.
-    """
-    columns = [
-        "sat_id",
-        "minute_bucket",
-        "battery_soc_mean",
-        "bus_temperature_k_mean",
-        "net_heat_w_mean",
-    ]
-    return mart.select(*columns).dropna(subset=columns)
+INPUT_COLUMNS = [
+    "sat_id",
+    "minute_bucket",
+    "battery_soc_mean",
+    "bus_temperature_k_mean",
+    "net_heat_w_mean",
+]
 
 
-def unusable_rows(mart: DataFrame) -> DataFrame:
-    """Mart rows with a null that no detector can work with, and which column it is in."""
-    columns = [
-        "sat_id",
-        "minute_bucket",
-        "battery_soc_mean",
-        "bus_temperature_k_mean",
-        "net_heat_w_mean",
-    ]
-    missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in columns]))
-    return mart.select(*columns, missing.alias("null_columns")).where(F.size("null_columns") > 0)
+def _null_and_nan() -> tuple[Column, Column]:
+    """Names of the input columns that are null, and of those that are not a number."""
+    null = [F.when(F.col(c).isNull(), F.lit(c)) for c in INPUT_COLUMNS]
+    nan = [F.when(F.isnan(c), F.lit(c)) for c in INPUT_COLUMNS[2:]]
+    return F.array_compact(F.array(*null)), F.array_compact(F.array(*nan))
 
 
-# Spark applies a row-number limit on the map side up to this many rows per key (default of
-# spark.sql.optimizer.windowGroupLimitThreshold).
-MAP_SIDE_LIMIT = 1000
+def detector_input(mart: DataFrame) -> DataFrame:
+    """The five mart columns detectors read, without rows they cannot use.
 
+    Every other row is listed by :func:`unusable_rows`, so that input = usable + unusable.
+    """
+    return mart.select(*INPUT_COLUMNS).dropna(subset=INPUT_COLUMNS)
 
-def _fade_baseline(rows: DataFrame, window: int) -> DataFrame:
-    """Ceiling of each satellite's first ``window`` rows, absent for shorter histories.
 
-    The row-number filter is applied on the map side (WindowGroupLimit), so only about
-    ``window`` rows per satellite and input partition are shuffled. Windows too long for
-    that take positions from the sliced numbering instead, which gathers no whole history.
-    """
-    if window <= MAP_SIDE_LIMIT:
-        w = W.partitionBy("sat_id").orderBy("minute_bucket")
-        placed = rows.withColumn("seq", F.row_number().over(w))
-    else:
-        placed = number_rows(rows, "sat_id", "minute_bucket")
-    return (
-        placed.where(F.col("seq") <= window)
-        .groupBy("sat_id")
-        .agg(F.max("battery_soc_mean").alias("baseline"), F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") == window)
-        .drop("_n")
-    )
+def unusable_rows(mart: DataFrame) -> DataFrame:
+    """Mart rows with a null or a value that is not a number, and which columns these are in."""
+    null, nan = _null_and_nan()
+    rows = mart.select(*INPUT_COLUMNS, null.alias("null_columns"), nan.alias("nan_columns"))
+    return rows.where((F.size("null_columns") > 0) | (F.size("nan_columns") > 0))
 
 
 def detector_signals(
@@ -153,9 +130,7 @@ def detector_signals(
         1 if stuck else 0,
         runaway.slope_window - 1 if runaway else 0,
     )
-    per_sat = _fade_baseline(rows, fade.window) if fade else None
-    numbered = number_rows(rows, "sat_id", "minute_bucket", per_key=per_sat)
-    blocks = split_blocks(numbered, halo, settings.block_rows)
+    blocks = split_blocks(number_rows(rows, "sat_id", "minute_bucket"), halo, settings.block_rows)
 
     # Look-back signals: need the halo, so they come before it is dropped. They are window
     # functions over stored columns only: the block summary below reads the same shuffled
@@ -175,6 +150,14 @@ def detector_signals(
         look_back["_oldest"] = F.lag("bus_temperature_k_mean", runaway.slope_window - 1).over(w)
     signals = blocks.withColumns(look_back).where("own").drop("own")
 
+    # The baseline is the rolling maximum of the first full window; the block that has it
+    # tells all others of its satellite, by way of a table with one row per block.
+    if fade:
+        first_full = F.max(F.when(F.col("seq") == fade.window, F.col("rolling_max")))
+        found = signals.groupBy("sat_id", "block").agg(first_full.alias("_found"))
+        known = found.select("sat_id", "block", F.max("_found").over(W.partitionBy("sat_id")).alias("baseline"))
+        signals = signals.join(known, ["sat_id", "block"])
+
     # Running signals: inside the block first, then with what earlier blocks hand over.
     so_far = w.rowsBetween(W.unboundedPreceding, 0)
     handed_over: list[Column] = []

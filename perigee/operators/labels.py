@@ -20,9 +20,9 @@ def label_problems(labels: DataFrame) -> DataFrame:
         .when(
             has_iso == has_offset,
             F.concat(
-                F.lit("fault entry for "),
+                F.lit("label of "),
                 F.col("sat_id"),
-                F.lit(" must have exactly one of start_iso or start_offset"),
+                F.lit(": give start_iso or start_offset, and not both"),
             ),
         )
         .when(

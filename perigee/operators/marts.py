@@ -3,37 +3,78 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from perigee.functions import scalars as X
 from perigee.operators.staging import add_eps, add_geometry
 
 
-def _share(flag: Column) -> Column:
-    """Share of rows where ``flag`` holds; a null flag counts as not holding."""
-    return F.avg(F.when(flag, 1.0).otherwise(0.0))
-
-
-def rollup_measures() -> list[Column]:
-    """The 15 per-minute measures, shared by the batch and the streaming rollup."""
-    return [
-        F.avg("battery_soc").alias("battery_soc_mean"),
-        F.min("battery_soc").alias("battery_soc_min"),
-        F.max("battery_soc").alias("battery_soc_max"),
-        F.avg("solar_power_w").alias("solar_power_w_mean"),
-        F.avg("bus_power_w").alias("bus_power_w_mean"),
-        F.avg("net_power_w").alias("net_power_w_mean"),
-        _share(F.col("is_charging") == 1).alias("charging_fraction"),
-        F.avg("bus_temperature_k").alias("bus_temperature_k_mean"),
-        F.min("bus_temperature_k").alias("bus_temperature_k_min"),
-        F.max("bus_temperature_k").alias("bus_temperature_k_max"),
-        F.avg("net_heat_w").alias("net_heat_w_mean"),
-        _share(F.col("eclipsed")).alias("eclipse_fraction"),
-        F.avg("altitude_km").alias("altitude_km_mean"),
-        F.avg("position_magnitude_km").alias("position_magnitude_km_mean"),
-        F.avg("orbital_speed_km_s").alias("orbital_speed_km_s_mean"),
-    ]
+def _holds(flag: str) -> Column:
+    """Whether a flag holds; a null flag counts as not holding."""
+    return F.col(flag).cast("int") == 1
+
+
+# Mean measures of the rollup and the columns they average.
+MEANS = {
+    "battery_soc_mean": "battery_soc",
+    "solar_power_w_mean": "solar_power_w",
+    "bus_power_w_mean": "bus_power_w",
+    "net_power_w_mean": "net_power_w",
+    "bus_temperature_k_mean": "bus_temperature_k",
+    "net_heat_w_mean": "net_heat_w",
+    "altitude_km_mean": "altitude_km",
+    "position_magnitude_km_mean": "position_magnitude_km",
+    "orbital_speed_km_s_mean": "orbital_speed_km_s",
+}
+SHARES = {"charging_fraction": "is_charging", "eclipse_fraction": "eclipsed"}
+EXTREMES = ("battery_soc", "bus_temperature_k")
+# Parts of a value below one are summed in these units.
+UNITS = 1e9
+
+
+def rollup_sums() -> list[Column]:
+    """Mergeable sums behind the 15 measures: see :func:`merged_sums` and :func:`from_sums`.
+
+    Values are split into a whole number and billionths, and both are summed as integers, so
+    a mean does not depend on the order of its rows. Values that are not finite are summed
+    apart; if there are any, they make the mean.
+    """
+    out = [F.count(F.lit(1)).alias("n_rows")]
+    for name, column in MEANS.items():
+        x = F.col(column)
+        finite = ~F.isnan(x) & (F.abs(x) < float("inf"))
+        out += [
+            F.sum(F.when(finite, F.floor(x))).alias(f"{name}_whole"),
+            F.sum(F.when(finite, F.floor((x - F.floor(x)) * UNITS + 0.5))).alias(f"{name}_part"),
+            F.count(x).alias(f"{name}_n"),
+            F.sum(F.when(~finite, x)).alias(f"{name}_odd"),
+        ]
+    out += [F.count(F.when(_holds(c), 1)).alias(f"{name}_n") for name, c in SHARES.items()]
+    out += [f(c).alias(f"{c}_{n}") for c in EXTREMES for n, f in (("min", F.min), ("max", F.max))]
+    return out
+
+
+def merged_sums() -> list[Column]:
+    """Sums of sums: what several parts of the rows of a minute add up to."""
+    out = [F.sum("n_rows").alias("n_rows")]
+    for name in MEANS:
+        out += [F.sum(f"{name}_{part}").alias(f"{name}_{part}") for part in ("whole", "part", "n", "odd")]
+    out += [F.sum(f"{name}_n").alias(f"{name}_n") for name in SHARES]
+    out += [f(f"{c}_{n}").alias(f"{c}_{n}") for c in EXTREMES for n, f in (("min", F.min), ("max", F.max))]
+    return out
+
+
+def from_sums(sums: DataFrame) -> DataFrame:
+    """The rollup of a table of sums, one row per satellite and minute."""
+    measures = {}
+    for name in MEANS:
+        whole, part, n = (F.col(f"{name}_{p}") for p in ("whole", "part", "n"))
+        mean = (whole.cast("double") + part.cast("double") / UNITS) / n
+        measures[name] = F.when(F.col(f"{name}_odd").isNotNull(), F.col(f"{name}_odd")).when(n > 0, mean)
+    for name in SHARES:
+        measures[name] = F.col(f"{name}_n") / F.col("n_rows")
+    columns = [measures.get(m, F.col(m)).alias(m) for m in ROLLUP_MEASURES]
+    return sums.select("sat_id", "minute_bucket", *columns)
 
 
 ROLLUP_MEASURES = [
@@ -73,8 +114,8 @@ def sat_minute_rollup(raw: DataFrame) -> DataFrame:
     """
     minute = F.date_trunc("minute", F.col("sim_time")).alias("minute_bucket")
     timed = F.count("sim_time").alias("_timed")
-    rolled = rollup_input(raw).groupBy("sat_id", minute).agg(*rollup_measures(), timed)
-    return rolled.where(F.col("_timed") > 0).drop("_timed")
+    rolled = rollup_input(raw).groupBy("sat_id", minute).agg(*rollup_sums(), timed)
+    return from_sums(rolled.where(F.col("_timed") > 0))
 
 
 def rollup_from_subsystems(eps: DataFrame, thermal: DataFrame, geometry: DataFrame) -> DataFrame:
@@ -96,7 +137,7 @@ def rollup_from_subsystems(eps: DataFrame, thermal: DataFrame, geometry: DataFra
         )
     )
     minute = F.date_trunc("minute", F.col("sim_time")).alias("minute_bucket")
-    return joined.groupBy("sat_id", minute).agg(*rollup_measures())
+    return from_sums(joined.groupBy("sat_id", minute).agg(*rollup_sums()))
 
 
 SNAPSHOT_COLUMNS = [
@@ -129,17 +170,13 @@ def with_bands(state: DataFrame) -> DataFrame:
 def fleet_health_snapshot(raw: DataFrame) -> DataFrame:
     """Latest state per satellite with health bands; rows tied on the latest time all stay.
 
-    ``rank() = 1`` lets Spark cut each input partition to its own latest rows before the
-    shuffle (WindowGroupLimit), so one scan suffices, nothing is broadcast, and a
-    satellite with many rows sends only a few of them.
+    A hash aggregation of two columns finds each satellite's latest time, one row per
+    satellite, which then selects its rows by a join. Spark broadcasts those times if their
+    measured size allows; nothing is sorted for that, and no history is gathered.
     """
-    w = W.partitionBy("sat_id").orderBy(F.col("latest_sim_time").desc())
-    state = raw.where(F.col("sat_id").isNotNull()).select(
+    state = raw.where(F.col("sat_id").isNotNull() & F.col("sim_time").isNotNull()).select(
         F.col("sim_time").alias("latest_sim_time"),
         *[c for c in SNAPSHOT_COLUMNS if c != "latest_sim_time" and not c.endswith("_band")],
     )
-    # Null times sort last, so one ranks first only where a satellite has no other.
-    latest = state.withColumn("_rank", F.rank().over(w)).where(
-        (F.col("_rank") == 1) & F.col("latest_sim_time").isNotNull()
-    )
-    return with_bands(latest).select(*SNAPSHOT_COLUMNS)
+    newest = state.groupBy("sat_id").agg(F.max("latest_sim_time").alias("latest_sim_time"))
+    return with_bands(state.join(newest, ["sat_id", "latest_sim_time"])).select(*SNAPSHOT_COLUMNS)

@@ -37,20 +37,9 @@ FAULTS = [
 ]
 
 
-# Tables of fewer input splits than this (about 1 GB) may be spread over all cores.
-FEW_SPLITS = 8
-
-
 def read_events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table; one too small to occupy the cores by itself is spread over them.
-
-    A table with enough splits is returned as scanned, without a shuffle.
-    """
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if events.rdd.getNumPartitions() < min(FEW_SPLITS, cores):
-        return events.repartition(cores)
-    return events
+    """The events table, as scanned."""
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
 def telemetry_from_events(events: DataFrame) -> DataFrame:

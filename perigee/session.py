@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -54,16 +55,40 @@ def local_session(cores: int | str = "*", app: str = "perigee", **conf: str) ->
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the shared folder named by ``spark.checkpoint.dir``.
 
-    Where that is unset (tests on one machine) a temporary folder is chosen once and
-    recorded in the session, so all jobs of the session share it.
+    Where that is unset, a local master gets a temporary folder, chosen once per session.
+    On a cluster executors would each write to their own disk, so that is an error.
+    What is written below the path is removed when the driver ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.conf.get("perigee.scratch.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("perigee.scratch.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="perigee-")
         spark.conf.set("perigee.scratch.dir", root)
-    return f"{root.rstrip('/')}/perigee/{purpose}-{uuid.uuid4().hex}"
+    base = f"{root.rstrip('/')}/perigee"
+    path = f"{base}/{purpose}-{uuid.uuid4().hex}"
+    _scratch.append((spark, path))
+    return path
+
+
+_scratch: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def remove_scratch() -> None:
+    """Remove all scratch paths of sessions that still run."""
+    while _scratch:
+        spark, path = _scratch.pop()
+        try:
+            remove_path(spark, path)
+        except Exception:  # noqa: BLE001 - the session may have ended; nothing else depends on this
+            return
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, on whatever file system it is, if it exists."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

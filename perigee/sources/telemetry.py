@@ -74,19 +74,19 @@ def write_totals(files: DataFrame) -> DataFrame:
 
 
 def between_times(stored: DataFrame, start=None, end=None) -> DataFrame:
-    """Rows with ``start <= time < end``, with the matching range on the ``date`` directory.
+    """Rows with ``start <= time < end``, with the matching range on the directories of day and hour.
 
     Catalyst cannot derive the directory range from a filter on the time text, so it is
     stated as well. Bounds are aware or naive-UTC datetimes.
     """
     t = X.parse_iso(F.col("sim_time_iso"))
     for bound, keep_time, keep_day in (
-        (start, lambda b: t >= b, lambda d: F.col("date") >= d),
-        (end, lambda b: t < b, lambda d: F.col("date") <= d),
+        (start, lambda b: t >= b, lambda d, h: (F.col("date") > d) | ((F.col("date") == d) & (F.col("hour") >= h))),
+        (end, lambda b: t < b, lambda d, h: (F.col("date") < d) | ((F.col("date") == d) & (F.col("hour") <= h))),
     ):
         if bound is not None:
             instant = F.lit(bound).cast("timestamp")
-            stored = stored.where(keep_day(F.to_date(instant)) & keep_time(instant))
+            stored = stored.where(keep_day(F.to_date(instant), X.hour_text(instant)) & keep_time(instant))
     return stored
 
 
@@ -144,9 +144,8 @@ def select_fleet(
     if name_contains is not None:
         chosen = chosen.where(F.upper("sat_id").contains(name_contains.upper()))
     if limit is not None:
-        # At most ``limit`` ids, so this side may be broadcast.
         first = chosen.select("sat_id").distinct().orderBy("sat_id").limit(limit)
-        chosen = chosen.join(F.broadcast(first), "sat_id", "left_semi")
+        chosen = chosen.join(first, "sat_id", "left_semi")
     if require_match and chosen.isEmpty():
         raise ValueError(f"no satellites match filter={name_contains!r}, limit={limit}")
     return chosen

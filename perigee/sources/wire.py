@@ -112,12 +112,16 @@ def counted(messages: DataFrame, observation: Observation | str = "ingest") -> D
     Read them from the Observation after a batch action, or from a streaming query's
     progress under the observation's name.
     """
-    return messages.observe(
-        observation,
+    return messages.observe(observation, *counters())
+
+
+def counters() -> list[Column]:
+    """Counters of parsed messages."""
+    return [
         F.count(F.lit(1)).alias("messages_seen"),
         F.count_if(F.col("reject_reason").isNull()).alias("messages_received"),
         F.count_if(F.col("reject_reason").isNotNull()).alias("decode_errors"),
-    )
+    ]
 
 
 def encoded(telemetry: DataFrame) -> DataFrame:

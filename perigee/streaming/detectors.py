@@ -1,195 +1,47 @@
-"""Stateful streaming detectors over the minute-rollup stream."""
+"""Streaming detectors: events kept up to date over the streaming rollup.
+
+Each batch adds its sums to the rollup and detects anew for the satellites it touches, with
+the batch detectors. Those split every history into blocks, so the work spreads over all
+tasks whatever a satellite's share, and a late row corrects the events that depend on it.
+"""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from perigee import schema as S
-from perigee.operators.detectors import EVENT_TEXT, SEVERITY, DetectorSettings, detector_input
+from perigee.operators.detectors import DetectorSettings, detect
 from perigee.streaming.ingest import with_trigger
-
-# Per satellite: how many samples were seen, the tails the look-back windows need, and the
-# running values. Its size does not depend on the length of the history.
-STATE_SCHEMA = (
-    "seen bigint, last_minute_us bigint, soc_tail array<double>, temp_tail array<double>, "
-    "baseline double, cusum double, run bigint, fired array<boolean>"
-)
-OUTPUT_SCHEMA = (
-    "sat_id string, kind string, detector_name string, sim_time_iso string, severity string, "
-    "score double, description string"
-)
-
-
-def _make_update(settings: DetectorSettings):
-    """Build the state function. It captures plain numbers only, so it ships by value."""
-    fade, stuck, runaway = settings.capacity_fade, settings.stuck_sensor, settings.thermal_runaway
-    threshold, slack, window = fade.threshold, fade.slack, fade.window
-    per_watt, limit_k = stuck.step_seconds / stuck.thermal_mass, stuck.residual_k
-    need, min_expected = stuck.consecutive, stuck.min_expected_k
-    ceiling, span, min_slope = runaway.ceiling_c, runaway.slope_window, runaway.min_slope
-    kelvin, texts, severities = S.KELVIN_OFFSET, dict(EVENT_TEXT), dict(SEVERITY)
-    columns = ["sat_id", "kind", "detector_name", "sim_time_iso", "severity", "score", "description"]
-
-    def first_true(mask):
-        hits = np.flatnonzero(mask)
-        return int(hits[0]) if len(hits) else None
-
-    def fade_scores(seen, soc, tail, baseline, cusum):
-        """Cumulative score of each new sample (nan during warm-up) and the new baseline."""
-        score = np.full(len(soc), np.nan)
-        history = np.concatenate([tail, soc])
-        if len(history) < window:
-            return score, baseline
-        ceilings = np.lib.stride_tricks.sliding_window_view(history, window).max(axis=1)
-        # With a full tail there is one window per sample; else the first windows are missing.
-        known = len(ceilings)
-        if baseline is None:
-            baseline = float(ceilings[0])
-            ceilings, known = ceilings[1:], known - 1
-        total = np.cumsum(baseline - ceilings - slack)
-        floor = np.minimum(np.minimum.accumulate(total), -cusum) if known else total
-        score[len(soc) - known:] = total - floor
-        return score, baseline
-
-    def run_lengths(bad, run):
-        """Consecutive true values ending at each position, continuing ``run``."""
-        at = np.arange(1, len(bad) + 1)
-        last_good = np.maximum.accumulate(np.where(bad, 0, at))
-        return at - last_good + np.where(last_good == 0, run, 0)
-
-    def update(key, batches, state):
-        samples = pd.concat(list(batches), ignore_index=True).sort_values("minute_bucket")
-        micros = samples["minute_bucket"].to_numpy("datetime64[us]").astype("int64")
-        if state.exists:
-            seen, last_minute_us, soc_tail, temp_tail, baseline, cusum, run, fired = state.get
-        else:
-            seen, last_minute_us, soc_tail, temp_tail = 0, None, [], []
-            baseline, cusum, run, fired = None, 0.0, 0, [False, False, False]
-        # A sample not later than one already used cannot be placed in order any more.
-        in_order = np.diff(micros, prepend=micros[0] - 1) > 0
-        if last_minute_us is not None:
-            in_order &= micros > last_minute_us
-        late, samples, micros = samples[~in_order], samples[in_order], micros[in_order]
-        stamp = samples["minute_bucket"].dt.strftime("%Y-%m-%d %H:%M:%S").to_numpy()
-        rows = [
-            (key[0], "late", None, m, None, None, "sample older than the last one used")
-            for m in late["minute_bucket"].dt.strftime("%Y-%m-%d %H:%M:%S")
-        ]
-        if len(samples):
-            soc = samples["battery_soc_mean"].to_numpy(float)
-            temp = samples["bus_temperature_k_mean"].to_numpy(float)
-            expected = samples["net_heat_w_mean"].to_numpy(float) * per_watt
-            fired = list(fired)
-
-            def emit(slot, name, i, score, *values):
-                fired[slot] = True
-                text = texts[name] % values
-                rows.append((key[0], "event", name, stamp[i], severities[name], float(score), text))
-
-            score, baseline = fade_scores(seen, soc, np.array(soc_tail, float), baseline, cusum)
-            i = first_true(np.nan_to_num(score, nan=-1.0) >= threshold)
-            if i is not None and not fired[0]:
-                emit(0, "capacity_fade", i, score[i], score[i], baseline)
-
-            temps = np.concatenate([np.array(temp_tail, float), temp])
-            before = len(temp_tail)
-            step = np.full(len(temp), np.nan)
-            if before:
-                step[:] = np.diff(temps)[before - 1:]
-            else:
-                step[1:] = np.diff(temp)
-            residual = np.abs(expected - step)
-            runs = run_lengths((residual > limit_k) & (np.abs(expected) > min_expected), run)
-            i = first_true(runs >= need)
-            if i is not None and not fired[1]:
-                emit(1, "stuck_sensor", i, residual[i], residual[i], int(runs[i]))
-
-            celsius = temps - kelvin
-            slope = np.full(len(temps), np.nan)
-            if len(temps) >= span:
-                slope[span - 1:] = (celsius[span - 1:] - celsius[: len(temps) - span + 1]) / (
-                    span - 1
-                )
-            celsius, slope = celsius[before:], slope[before:]
-            i = first_true((celsius > ceiling) & (np.nan_to_num(slope, nan=-np.inf) >= min_slope))
-            if i is not None and not fired[2]:
-                above = celsius[i] - ceiling
-                emit(2, "thermal_runaway", i, above, celsius[i], ceiling, slope[i])
-
-            soc_tail = np.concatenate([np.array(soc_tail, float), soc])[-(window - 1):]
-            keep = max(span - 1, 1)
-            last_score = score[-1]
-            state.update(
-                (
-                    int(seen + len(samples)),
-                    int(micros[-1]),
-                    [float(x) for x in soc_tail],
-                    [float(x) for x in temps[-keep:]],
-                    baseline,
-                    cusum if np.isnan(last_score) else float(last_score),
-                    int(runs[-1]),
-                    [bool(x) for x in fired],
-                )
-            )
-        yield pd.DataFrame(rows, columns=columns).astype({"score": "float64"})
-
-    return update
-
-
-def detector_stream(rollup: DataFrame, settings: DetectorSettings | None = None) -> DataFrame:
-    """Events and late samples of a rollup stream, state kept per satellite.
-
-    ``kind`` is 'event' or 'late'. Each detector fires at most once per satellite over the
-    life of the checkpoint. The input must be the table written by
-    ``streaming.marts.start_rollup``, whose later batches hold later minutes.
-    """
-    return (
-        detector_input(rollup)
-        .groupBy("sat_id")
-        .applyInPandasWithState(
-            _make_update(settings or DetectorSettings()),
-            OUTPUT_SCHEMA,
-            STATE_SCHEMA,
-            "append",
-            "NoTimeout",
-        )
-    )
+from perigee.streaming.marts import add_sums, read_rollup
+from perigee.streaming.versions import newest_version, publish, read_version
 
 
 def start_detectors(
-    rollup: DataFrame,
-    path: str,
+    raw: DataFrame,
+    root: str,
     checkpoint: str,
     settings: DetectorSettings | None = None,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Append events and late samples of the rollup stream to one partitioned table.
-
-    ``kind`` is the directory level; :func:`read_stream_events` reads the events.
-    """
-    writer = (
-        detector_stream(rollup, settings)
-        .writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("kind")
-        .outputMode("append")
-    )
+    """Keep rollup sums (``root``/sums) and events (``root``/events, a version per batch) of a raw-view stream."""
+
+    def update(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        add_sums(batch, batch_id, f"{root}/sums")
+        touched = batch.where("sat_id is not null").select("sat_id").distinct()
+        history = read_rollup(spark, f"{root}/sums").join(touched, "sat_id", "left_semi")
+        before = newest_version(spark, f"{root}/events")
+        if before is not None and before >= batch_id:  # this batch was published already
+            before = batch_id - 1 if batch_id else None
+        old = spark.createDataFrame([], S.EVENT_SCHEMA) if before is None else read_version(spark, f"{root}/events", S.EVENT_SCHEMA, before)
+        events = old.join(touched, "sat_id", "left_anti").unionByName(detect(history, settings))
+        publish(events.select(*S.EVENT_SCHEMA.fieldNames()), f"{root}/events", batch_id)
+
+    writer = raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(update)
     return with_trigger(writer, every).start()
 
 
-def read_stream_output(spark, path: str) -> DataFrame:
-    """Everything the detector stream wrote, with ``kind``."""
-    return spark.read.schema(OUTPUT_SCHEMA).option("basePath", path).parquet(path)
-
-
-def read_stream_events(spark, path: str) -> DataFrame:
-    return (
-        read_stream_output(spark, path)
-        .where(F.col("kind") == "event")
-        .select(*S.EVENT_SCHEMA.fieldNames())
-    )
+def read_stream_events(spark: SparkSession, root: str) -> DataFrame:
+    """The newest events."""
+    return read_version(spark, f"{root}/events", S.EVENT_SCHEMA)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import functions as F
 
@@ -25,37 +26,37 @@ def start_ingest(
     checkpoint_root: str,
     every: str | None = None,
     max_rows_per_file: int = store.MAX_ROWS_PER_FILE,
-) -> list[StreamingQuery]:
-    """Start the table writer and the dead-letter writer over one (key, value) stream.
-
-    Each is a plain file sink with its own checkpoint, which gives exactly-once files
-    after a failure of the driver or of executors. Bad messages never stop the stream.
-    Directories come from event time, so a late row is appended to its own hour and
-    nothing already written is replaced. ``every=None`` drains the source and stops.
-    Adaptive execution, on for stateless streams, splits a directory that gets a large
-    share of a batch. Messages are decoded once by each of the two queries.
+) -> StreamingQuery:
+    """Write good messages to the telemetry table and bad ones to the dead letters, in one query.
+
+    Every batch is decoded once and kept while its outputs are written, all under the batch's
+    number (directory level ``batch``, which readers don't see): a batch repeated after a
+    failure replaces its own output. Bad messages never stop the stream. Directories come
+    from event time, so a late row goes to its own hour and nothing already written is
+    replaced. ``every=None`` drains the source and stops. Counters: :func:`ingest_counters`.
     """
-    parsed = wire.counted(wire.parsed(messages))
-    good = parsed.where(F.col("reject_reason").isNull()).select("_record.*")
-    table = store.gathered_by_partition(store.with_partition_columns(good))
-    table_writer = (
-        table.writeStream.format("parquet")
-        .option("path", table_root)
-        .option("checkpointLocation", f"{checkpoint_root}/table")
-        .option("compression", "zstd")
-        .option("maxRecordsPerFile", max_rows_per_file)
-        .partitionBy(*S.PARTITION_COLUMNS)
-        .outputMode("append")
-    )
-    rejects_writer = (
-        wire.rejected(messages)
-        .writeStream.format("parquet")
-        .option("path", dead_letter_root)
-        .option("checkpointLocation", f"{checkpoint_root}/dead_letter")
-        .option("compression", "zstd")
-        .outputMode("append")
-    )
-    return [with_trigger(w, every).start() for w in (table_writer, rejects_writer)]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        decoded = wire.parsed(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            good = decoded.where(F.col("reject_reason").isNull()).select("_record.*")
+            (
+                store.gathered_by_partition(store.with_partition_columns(good))
+                .write.mode("overwrite")
+                .option("compression", "zstd")
+                .option("maxRecordsPerFile", max_rows_per_file)
+                .partitionBy(*S.PARTITION_COLUMNS)
+                .parquet(f"{table_root}/batch={batch_id}")
+            )
+            bad = decoded.where(F.col("reject_reason").isNotNull()).select("key", "value", "reject_reason")
+            bad.write.mode("overwrite").option("compression", "zstd").parquet(f"{dead_letter_root}/batch={batch_id}")
+            counters = decoded.agg(*wire.counters())
+            counters.write.mode("overwrite").parquet(f"{checkpoint_root}/counters/batch={batch_id}")
+        finally:
+            decoded.unpersist()
+
+    writer = messages.writeStream.option("checkpointLocation", f"{checkpoint_root}/query").foreachBatch(write)
+    return with_trigger(writer, every).start()
 
 
 def drain(queries: list[StreamingQuery]) -> None:
@@ -64,12 +65,13 @@ def drain(queries: list[StreamingQuery]) -> None:
         query.awaitTermination()
 
 
-def ingest_counters(query: StreamingQuery) -> dict[str, int]:
-    """Totals of the table writer's counters over the batches its progress still holds."""
-    totals: dict[str, int] = {}
-    for progress in query.recentProgress:
-        row = progress.observedMetrics.get("ingest")
-        if row is not None:
-            for name, value in row.asDict().items():
-                totals[name] = totals.get(name, 0) + value
-    return totals
+def ingest_counters(spark: SparkSession, checkpoint_root: str) -> DataFrame:
+    """One row: messages seen, received and failed to decode in all batches so far, over all restarts."""
+    names = ["messages_seen", "messages_received", "decode_errors"]
+    per_batch = spark.read.schema(", ".join(f"{c} bigint" for c in names)).parquet(f"{checkpoint_root}/counters")
+    return per_batch.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
+
+
+def read_dead_letters(spark: SparkSession, dead_letter_root: str) -> DataFrame:
+    stored = spark.read.schema("key binary, value binary, reject_reason string").parquet(dead_letter_root)
+    return stored.select("key", "value", "reject_reason")

@@ -7,83 +7,87 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from perigee.operators.marts import (
-    ROLLUP_MEASURES,
+    EXTREMES,
+    MEANS,
+    SHARES,
     SNAPSHOT_COLUMNS,
+    fleet_health_snapshot,
+    from_sums,
+    merged_sums,
     rollup_input,
-    rollup_measures,
+    rollup_sums,
     with_bands,
 )
 from perigee.streaming.ingest import with_trigger
+from perigee.streaming.versions import newest_version, publish, read_version
 
+SUMS_SCHEMA = ", ".join(
+    ["sat_id string", "minute_bucket timestamp", "n_rows bigint"]
+    + [f"{n}_{p} {'double' if p == 'odd' else 'bigint'}" for n in MEANS for p in ("whole", "part", "n", "odd")]
+    + [f"{n}_n bigint" for n in SHARES]
+    + [f"{c}_{n} double" for c in EXTREMES for n in ("min", "max")]
+)
+_STATE = [c for c in SNAPSHOT_COLUMNS if not c.endswith("_band")]
+SNAPSHOT_SCHEMA = ", ".join(
+    f"{c} {'string' if c == 'sat_id' or c.endswith('_band') else 'timestamp' if c == 'latest_sim_time' else 'boolean' if c == 'eclipsed' else 'double'}"
+    for c in SNAPSHOT_COLUMNS
+)
 
-def rollup_stream(raw: DataFrame, max_delay: str = "10 minutes") -> DataFrame:
-    """Minute rollup of a raw-view stream, each minute emitted once, when it is closed.
 
-    A minute closes when the watermark (newest event time minus ``max_delay``) passes its
-    end; until then it stays open, so the newest minutes are not in the output yet. Rows
-    later than that are dropped and counted by the query (numRowsDroppedByWatermark); the
-    telemetry table still has them.
-    """
-    return (
-        rollup_input(raw.where(F.col("sim_time").isNotNull()))
-        .withWatermark("sim_time", max_delay)
-        .groupBy("sat_id", F.window("sim_time", "1 minute").alias("_minute"))
-        .agg(*rollup_measures())
-        .select("sat_id", F.col("_minute.start").alias("minute_bucket"), *ROLLUP_MEASURES)
+def add_sums(batch: DataFrame, batch_id: int, path: str) -> None:
+    """Store the sums of a batch's minutes under its number; a repeated batch replaces its own."""
+    minute = F.date_trunc("minute", F.col("sim_time")).alias("minute_bucket")
+    timed = batch.where(F.col("sat_id").isNotNull() & F.col("sim_time").isNotNull())
+    sums = rollup_input(timed).groupBy("sat_id", minute).agg(*rollup_sums())
+    (
+        sums.withColumn("date", F.to_date("minute_bucket"))
+        .repartition("date", "sat_id")
+        .write.mode("overwrite")
+        .option("compression", "zstd")
+        .partitionBy("date")
+        .parquet(f"{path}/batch={batch_id}")
     )
 
 
-def start_rollup(
-    raw: DataFrame, path: str, checkpoint: str, max_delay: str = "10 minutes", every: str | None = None
-) -> StreamingQuery:
-    """Append closed minutes to a Parquet table, which the detector stream reads."""
-    writer = (
-        rollup_stream(raw, max_delay)
-        .writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
+def start_rollup(raw: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Keep the minute rollup of a raw-view stream, as mergeable sums per batch and minute.
+
+    Every row counts as soon as its batch is done, so there are no open minutes to flush,
+    and a late row corrects its minute, however late. Memory doesn't grow with the stream.
+    """
+    writer = raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+        lambda batch, batch_id: add_sums(batch, batch_id, path)
     )
     return with_trigger(writer, every).start()
 
 
-def snapshot_stream(raw: DataFrame) -> DataFrame:
-    """Latest state per satellite, kept as one state row per satellite."""
-    columns = [c for c in SNAPSHOT_COLUMNS if c not in ("sat_id", "latest_sim_time")]
-    columns = [c for c in columns if not c.endswith("_band")]
-    keyed = raw.where(F.col("sat_id").isNotNull() & F.col("sim_time").isNotNull())
-    latest = F.max_by(F.struct(F.col("sim_time").alias("latest_sim_time"), *columns), "sim_time")
-    return (
-        keyed.groupBy("sat_id")
-        .agg(latest.alias("_state"))
-        .select("sat_id", "_state.*")
-        .transform(with_bands)
-        .select(*SNAPSHOT_COLUMNS)
-    )
+def read_rollup(spark: SparkSession, path: str) -> DataFrame:
+    """The rollup of all batches so far: the sums of each minute merged."""
+    parts = spark.read.schema(SUMS_SCHEMA + ", date date, batch bigint").option("basePath", path).parquet(path)
+    return from_sums(parts.groupBy("sat_id", "minute_bucket").agg(*merged_sums()))
 
 
 def start_snapshot(raw: DataFrame, root: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Publish the whole snapshot after each batch as a new version directory.
+    """Publish the whole snapshot after each batch as a new version; ties on the latest time all stay.
 
-    The version is the batch number, so a batch repeated after a failure overwrites its
-    own directory, and readers of an older version are not disturbed. Superseded versions
-    stay until the storage's retention rule removes them.
+    A version is made of the one before and the batch's own latest rows.
     """
 
-    def publish(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/version={batch_id}")
-
-    writer = (
-        snapshot_stream(raw)
-        .writeStream.outputMode("complete")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(publish)
-    )
+    def update(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = newest_version(spark, root)
+        if before is not None and before >= batch_id:  # this batch was published already
+            before = batch_id - 1 if batch_id else None
+        old = spark.createDataFrame([], SNAPSHOT_SCHEMA) if before is None else read_version(spark, root, SNAPSHOT_SCHEMA, before)
+        rows = old.select(*_STATE).unionByName(fleet_health_snapshot(batch).select(*_STATE))
+        newest = rows.groupBy("sat_id").agg(F.max("latest_sim_time").alias("latest_sim_time"))
+        latest = rows.join(newest, ["sat_id", "latest_sim_time"])
+        publish(with_bands(latest).select(*SNAPSHOT_COLUMNS), root, batch_id)
+
+    writer = raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(update)
     return with_trigger(writer, every).start()
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
     """The newest published version of the streaming snapshot."""
-    versions = spark.read.option("basePath", root).parquet(root)
-    newest = versions.agg(F.max("version"))
-    return versions.where(F.col("version") == newest.scalar()).select(*SNAPSHOT_COLUMNS)
+    return read_version(spark, root, SNAPSHOT_SCHEMA)

@@ -1,0 +1,41 @@
+"""Tables that a streaming job replaces as a whole, one version per batch."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from perigee.session import remove_path
+
+VERSIONS_KEPT = 2
+
+
+def newest_version(spark: SparkSession, root: str) -> int | None:
+    """The newest complete version, from the small list that is written after each of them."""
+    if not path_exists(spark, f"{root}/complete"):
+        return None
+    return spark.read.schema("version bigint").parquet(f"{root}/complete").agg(F.max("version")).first()[0]
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def publish(df: DataFrame, root: str, version: int) -> None:
+    """Write a version, then list it as complete, then remove those too old to be in use.
+
+    A batch repeated after a failure writes the same version again.
+    """
+    spark = df.sparkSession
+    df.write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/version={version}")
+    spark.range(version, version + 1).select(F.col("id").alias("version")).write.mode("append").parquet(f"{root}/complete")
+    remove_path(spark, f"{root}/version={version - VERSIONS_KEPT}")
+
+
+def read_version(spark: SparkSession, root: str, schema, version: int | None = None) -> DataFrame:
+    """A version, by default the newest; no rows if there is none."""
+    version = newest_version(spark, root) if version is None else version
+    if version is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{root}/version={version}")

@@ -8,33 +8,26 @@ import pyarrow as pa
 
 from perigee import schema as S
 
-T0 = datetime(2026, 5, 24, 14, 0, 0, tzinfo=UTC)
-
-NOMINAL = {
-    "position_eci_km_x": 7000.0,
-    "position_eci_km_y": 0.0,
-    "position_eci_km_z": 0.0,
-    "velocity_eci_km_s_x": 0.0,
-    "velocity_eci_km_s_y": 7.5,
-    "velocity_eci_km_s_z": 0.0,
-    "sun_vector_eci_x": 1.0,
-    "sun_vector_eci_y": 0.0,
-    "sun_vector_eci_z": 0.0,
+T0 = datetime(2031, 3, 9, 5, 0, 0, tzinfo=UTC)
+
+# One quiet satellite state; numbers are arbitrary but distinct, so that swapped columns show.
+_AXES = {"position_eci_km": (-4100.0, 5200.0, 1350.0), "velocity_eci_km_s": (-5.1, -4.4, 3.25), "sun_vector_eci": (0.36, 0.48, 0.8)}
+NOMINAL = {f"{stem}_{axis}": value for stem, values in _AXES.items() for axis, value in zip("xyz", values, strict=True)} | {
     "eclipsed": False,
-    "latitude_deg": 0.0,
-    "longitude_deg": 0.0,
-    "altitude_km": 550.0,
-    "solar_power_w": 200.0,
-    "bus_power_w": 90.0,
-    "net_power_w": 110.0,
-    "battery_soc": 0.85,
-    "battery_charge_wh": 127.5,
-    "bus_temperature_k": 288.0,
-    "bus_temperature_c": 14.85,
-    "solar_heat_input_w": 190.0,
-    "earth_ir_input_w": 100.0,
-    "radiative_heat_output_w": 320.0,
-    "net_heat_w": 0.0,
+    "latitude_deg": 11.5,
+    "longitude_deg": -73.25,
+    "altitude_km": 412.0,
+    "solar_power_w": 171.0,
+    "bus_power_w": 58.0,
+    "net_power_w": 113.0,
+    "battery_soc": 0.62,
+    "battery_charge_wh": 93.0,
+    "bus_temperature_k": 301.0,
+    "bus_temperature_c": 27.85,
+    "solar_heat_input_w": 140.0,
+    "earth_ir_input_w": 77.0,
+    "radiative_heat_output_w": 217.5,
+    "net_heat_w": -0.5,
 }
 
 

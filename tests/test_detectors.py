@@ -1,4 +1,5 @@
 import random
+from dataclasses import replace
 
 import pytest
 
@@ -11,69 +12,59 @@ def events(df):
     return [r.asDict() for r in df.orderBy("sat_id", "detector_name").collect()]
 
 
-# ---- quiet / fires once / suppressed, per detector ---------------------------------------
+# ---- one history per satellite, all detectors at once -------------------------------------
 
-
-def test_fade_quiet_on_constant_charge(spark):
-    m = mart(spark, [{"minute": i} for i in range(60)])
-    assert events(D.capacity_fade(m, window=10, threshold=0.05)) == []
-
-
-def test_fade_fires_on_sustained_drift(spark):
-    soc = [0.95] * 10 + [0.95 - 0.01 * i for i in range(20)]
-    m = mart(spark, [{"minute": i, "soc": s} for i, s in enumerate(soc)])
-    (e,) = events(D.capacity_fade(m, window=10, threshold=0.05, slack=0.0))
-    assert e["detector_name"] == "capacity_fade"
-    assert e["severity"] == "warning"
-    assert e["score"] >= 0.05
-    assert e["sim_time_iso"].startswith("2026-05-01 00:")
-    assert "drifted by" in e["description"]
-
-
-def test_fade_fires_only_once(spark):
-    soc = [0.95] * 10 + [0.50] * 90
-    m = mart(spark, [{"minute": i, "soc": s} for i, s in enumerate(soc)])
-    assert len(events(D.capacity_fade(m, window=10, threshold=0.03, slack=0.0))) == 1
+QUICK = DetectorSettings(
+    capacity_fade=CapacityFade(threshold=0.2, slack=0.002, window=4),
+    stuck_sensor=StuckSensor(thermal_mass=600.0, residual_k=0.5, consecutive=3, min_expected_k=0.05),
+    thermal_runaway=ThermalRunaway(ceiling_c=31.0, slope_window=3, min_slope=0.25),
+)
 
 
-STUCK = {"thermal_mass": 100.0, "residual_k": 1.0, "consecutive": 3}
+def history(sat, count, **series):
+    """Samples of one satellite; a series is a function of the minute."""
+    return [{"sat": sat, "minute": i, **{name: f(i) for name, f in series.items()}} for i in range(count)]
 
 
-def test_stuck_quiet_when_temperature_follows_heat(spark):
-    m = mart(
-        spark, [{"minute": i, "temp_k": 290.0 + 0.6 * (i + 1), "heat": 1.0} for i in range(20)]
+def test_each_detector_reports_its_own_satellite_once(spark):
+    samples = (
+        history("calm", 40, soc=lambda i: 0.7 + 0.01 * (i % 3), temp_k=lambda i: 281.0)
+        # ceilings 0.8 to minute 9, then 0.7: 0.098 a minute, past 0.2 with the third low window
+        + history("fading", 40, soc=lambda i: 0.8 if i < 10 else 0.7)
+        # 12 W on 600 J/K is 1.2 K a minute, but nothing moves from minute 6 on
+        + history("held", 40, temp_k=lambda i: 270.0 + 1.2 * min(i, 5), heat=lambda i: 12.0)
+        # 0.5 K a minute from 29 C: above 31 C at minute 5
+        + history("hot", 40, temp_k=lambda i: 302.15 + 0.5 * i, heat=lambda i: 5.0)
     )
-    assert events(D.stuck_sensor(m, **STUCK)) == []
-
-
-def test_stuck_fires_when_temperature_is_held(spark):
-    m = mart(spark, [{"minute": i, "heat": 5.0 if i else 0.0} for i in range(10)])
-    (e,) = events(D.stuck_sensor(m, **STUCK))
-    assert e["sim_time_iso"] == "2026-05-01 00:03:00"
-    assert e["severity"] == "critical"
-    assert e["score"] == pytest.approx(3.0)
-
-
-def test_stuck_suppressed_for_tiny_heat(spark):
-    m = mart(spark, [{"minute": i, "heat": 0.01} for i in range(20)])
-    assert events(D.stuck_sensor(m, **STUCK)) == []
-
-
-def test_runaway_quiet_below_ceiling(spark):
-    m = mart(spark, [{"minute": i, "temp_k": 303.15} for i in range(50)])
-    assert events(D.thermal_runaway(m)) == []
-
-
-def test_runaway_fires_on_climb(spark):
-    m = mart(spark, [{"minute": i, "temp_k": 303.15 + 0.5 * i} for i in range(50)])
-    (e,) = events(D.thermal_runaway(m, min_slope=0.5))
-    assert e["detector_name"] == "thermal_runaway"
-    assert e["score"] > 0
+    found = {(e["sat_id"], e["detector_name"]): e for e in events(D.detect(mart(spark, samples), QUICK))}
+    assert set(found) == {("fading", "capacity_fade"), ("held", "stuck_sensor"), ("hot", "thermal_runaway")}
+    fade, stuck, hot = (found[k] for k in sorted(found))
+    assert (fade["sim_time_iso"], fade["severity"]) == ("2026-05-01 00:15:00", "warning")
+    assert fade["score"] == pytest.approx(3 * 0.098 - 3 * 0.0 - 0.0) and "drifted by 0.294 from baseline 0.800" in fade["description"]
+    assert (stuck["sim_time_iso"], stuck["severity"]) == ("2026-05-01 00:08:00", "critical")
+    assert stuck["score"] == pytest.approx(1.2) and "1.20 K sustained for 3 minutes" in stuck["description"]
+    assert hot["sim_time_iso"] == "2026-05-01 00:05:00" and hot["score"] == pytest.approx(0.5)
+
+
+def test_rules_that_must_not_fire(spark):
+    samples = (
+        history("tiny heat", 30, heat=lambda i: 0.4)  # expects 0.04 K a minute, under the floor
+        + history("interrupted", 30, temp_k=lambda i: 280.0 + 1.2 * (i % 3 == 0), heat=lambda i: 12.0 * (i % 3 != 0))
+        + history("hot but level", 30, temp_k=lambda i: 306.0 + 0.2 * (i % 2))
+        + history("too short", 3, soc=lambda i: 0.9 - 0.3 * i)
+    )
+    assert events(D.detect(mart(spark, samples), QUICK)) == []
 
 
-def test_runaway_ignores_oscillation_around_ceiling(spark):
-    m = mart(spark, [{"minute": i, "temp_k": 309.15 + 0.1 * (i % 2)} for i in range(50)])
-    assert events(D.thermal_runaway(m, min_slope=0.5)) == []
+def test_input_is_usable_plus_unusable(spark):
+    odd = [("soc", None), ("temp_k", None), ("heat", float("nan")), ("soc", float("nan"))]
+    samples = history("a", 10) + [{"sat": "b", "minute": i, name: value} for i, (name, value) in enumerate(odd)]
+    m = mart(spark, samples)
+    bad = D.unusable_rows(m).orderBy("minute_bucket").collect()
+    assert D.detector_input(m).count() + len(bad) == len(samples)
+    assert [(r["null_columns"], r["nan_columns"]) for r in bad] == [
+        (["battery_soc_mean"], []), (["bus_temperature_k_mean"], []), ([], ["net_heat_w_mean"]), ([], ["battery_soc_mean"])
+    ]
 
 
 # ---- against a direct evaluation of the rules --------------------------------------------
@@ -178,11 +169,13 @@ def test_one_pass_equals_single_detectors(spark):
     assert together == apart
 
 
-def test_long_windows_take_another_way_to_the_baseline(spark, monkeypatch):
+def test_block_size_changes_nothing(spark):
+    """Also blocks shorter than the window, so that the baseline comes from a later block."""
     m = mart(spark, random_samples(4))
     usual = as_result(D.detect(m, SETTINGS))
-    monkeypatch.setattr(D, "MAP_SIDE_LIMIT", 10)
-    assert as_result(D.detect(m, SETTINGS)) == usual
+    small = as_result(D.detect(m, replace(SETTINGS, block_rows=7)))
+    assert {k: v[0] for k, v in small.items()} == {k: v[0] for k, v in usual.items()} and usual
+    assert [small[k][1] for k in usual] == pytest.approx([v[1] for v in usual.values()], abs=1e-9)
 
 
 def test_null_rows_are_left_out_and_reported(spark):

@@ -1,3 +1,7 @@
+from pathlib import Path
+
+import pytest
+
 from perigee import session
 
 
@@ -26,3 +30,24 @@ def test_shuffle_partitions_follow_the_data(spark):
 def test_configure_sets_utc(spark):
     session.configure(spark)
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Cluster:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:  # noqa: N801
+            master = "yarn"
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.scratch_dir(Cluster(), "x")
+
+
+def test_scratch_is_removed(spark, monkeypatch):
+    monkeypatch.setattr(session, "_scratch", [])
+    kept = session.materialize(spark.range(5), "x")
+    folder = Path(kept.inputFiles()[0].removeprefix("file://")).parent
+    assert kept.count() == 5 and folder.exists()
+    session.remove_scratch()
+    assert not folder.exists()

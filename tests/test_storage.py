@@ -21,7 +21,7 @@ def test_partition_layout(spark, tmp_path):
     root = tmp_path / "t"
     at = datetime(2026, 5, 24, 9, 15, tzinfo=UTC)
     store.write_telemetry(telemetry(spark, [record("BIRD-7", at)]), str(root))
-    assert files(root) == ["sat_id=BIRD-7/date=2026-05-24/hour=09"]
+    assert files(root) == ["sat_id=BIRD-7/date=2031-03-09/hour=09"]
 
 
 def test_one_directory_per_satellite_and_hour(spark, tmp_path):
@@ -48,20 +48,20 @@ def test_write_counters_come_from_the_stored_files(spark, tmp_path):
 
 def test_files_that_repeat_the_key_columns_are_read(spark, tmp_path):
     """Tables of other writers may hold sat_id in the file as well as in the path."""
-    part = tmp_path / "t" / "sat_id=007" / "date=2026-05-24" / "hour=09"
+    part = tmp_path / "t" / "sat_id=007" / "date=2031-03-09" / "hour=09"
     part.mkdir(parents=True)
     at = datetime(2026, 5, 24, 9, 15, tzinfo=UTC)
     pq.write_table(pa.Table.from_pylist([record("007", at)]), part / "part-0000.parquet")
     (row,) = store.read_telemetry(spark, str(tmp_path / "t")).collect()
-    assert (row["sat_id"], row["hour"], str(row["date"])) == ("007", 9, "2026-05-24")
-    assert row["battery_soc"] == 0.85
+    assert (row["sat_id"], row["hour"], str(row["date"])) == ("007", 9, "2031-03-09")
+    assert row["battery_soc"] == 0.62
 
 
 def test_late_rows_are_appended_to_their_hour(spark, tmp_path):
     root = str(tmp_path / "t")
     store.write_telemetry(telemetry(spark, [record(at=T0), record(at=T0 + timedelta(hours=1))]), root)
     store.write_telemetry(telemetry(spark, [record(at=T0 + timedelta(minutes=5))]), root)
-    assert store.read_telemetry(spark, root).where("hour = 14").count() == 2
+    assert store.read_telemetry(spark, root).where("hour = 5").count() == 2
 
 
 def test_file_size_bound(spark, tmp_path):
@@ -139,10 +139,10 @@ def test_mart_refresh_full_and_by_day(spark, tmp_path):
     assert store.read_mart(spark, f"{out}/fleet_health_snapshot").count() == 2
 
     days = f"{out}/by_day"
-    pipeline.refresh_rollup_days(spark, root, days, "2026-05-24", "2026-05-25")
+    pipeline.refresh_rollup_days(spark, root, days, "2031-03-09", "2031-03-10")
     late = [record("S0", T0 + timedelta(minutes=1), battery_soc=0.1)]
     store.write_telemetry(telemetry(spark, late), root)
-    pipeline.refresh_rollup_days(spark, root, days, "2026-05-24", "2026-05-24")
+    pipeline.refresh_rollup_days(spark, root, days, "2031-03-09", "2031-03-09")
     by_day = store.read_mart(spark, days).select(*full.columns)
     assert by_day.count() == 81
     assert by_day.where("battery_soc_mean = 0.1D").count() == 1

@@ -15,16 +15,17 @@ def raw_of(spark, recs):
 
 
 def fleet(sats=2, minutes=20):
-    """Two satellites, twenty minutes, the first six of each twenty eclipsed."""
+    """Satellites whose nights start at different minutes of a twelve-minute round; charge falls by night."""
     out = []
     for s in range(sats):
+        charge = 0.71 - 0.05 * s
         for i in range(minutes):
-            dark = i % 20 < 6
+            night = (i + 5 * s) % 12 >= 8
+            charge += -0.004 if night else 0.0025
             out.append(
                 record(
-                    f"BIRD-{s + 1}", T0 + timedelta(minutes=i), eclipsed=dark,
-                    battery_soc=0.85 + (-0.001 if dark else 0.0005) * i,
-                    net_power_w=-60.0 if dark else 110.0,
+                    f"BIRD-{s + 1}", T0 + timedelta(minutes=i), eclipsed=night, battery_soc=round(charge, 6),
+                    net_power_w=-47.0 if night else 92.0,
                 )
             )
     return out
