@@ -19,7 +19,7 @@ def files(root):
 
 def test_partition_layout(spark, tmp_path):
     root = tmp_path / "t"
-    at = datetime(2026, 5, 24, 9, 15, tzinfo=UTC)
+    at = datetime(2031, 3, 9, 9, 15, tzinfo=UTC)
     store.write_telemetry(telemetry(spark, [record("BIRD-7", at)]), str(root))
     assert files(root) == ["sat_id=BIRD-7/date=2031-03-09/hour=09"]
 
@@ -50,7 +50,7 @@ def test_files_that_repeat_the_key_columns_are_read(spark, tmp_path):
     """Tables of other writers may hold sat_id in the file as well as in the path."""
     part = tmp_path / "t" / "sat_id=007" / "date=2031-03-09" / "hour=09"
     part.mkdir(parents=True)
-    at = datetime(2026, 5, 24, 9, 15, tzinfo=UTC)
+    at = datetime(2031, 3, 9, 9, 15, tzinfo=UTC)
     pq.write_table(pa.Table.from_pylist([record("007", at)]), part / "part-0000.parquet")
     (row,) = store.read_telemetry(spark, str(tmp_path / "t")).collect()
     assert (row["sat_id"], row["hour"], str(row["date"])) == ("007", 9, "2031-03-09")
@@ -101,13 +101,13 @@ def test_reads_are_pruned_by_directory_and_column(spark, tmp_path):
     store.write_telemetry(telemetry(spark, recs), root)
     read = store.between_times(
         store.for_satellite(store.read_telemetry(spark, root), "S1"),
-        datetime(2026, 5, 25, 1, tzinfo=UTC),
-        datetime(2026, 5, 25, 3, tzinfo=UTC),
+        datetime(2031, 3, 10, 1, tzinfo=UTC),
+        datetime(2031, 3, 10, 3, tzinfo=UTC),
     ).select("sat_id", "battery_soc", "sim_time_iso")
     assert read.count() == 2
     plan = plan_of(read)
     filters = plan[plan.index("PartitionFilters") :]
-    assert "sat_id" in filters and "date" in filters
+    assert "sat_id" in filters and "date" in filters and "hour" in filters
     assert "ReadSchema: struct<sim_time_iso:string,battery_soc:double>" in plan
 
 
