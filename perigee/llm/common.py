@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perigee.session import materialize
 
-stored = materialize
+
+def stored(df: DataFrame, name: str, release: bool = False) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    ``release`` then asks the driver's JVM to collect its garbage, upon which Spark removes the
+    shuffle files of plans that nothing refers to any more. Otherwise they stay until memory on
+    the driver happens to run short, which a job of many large steps can't wait for.
+    """
+    out = materialize(df, name)
+    if release:
+        gc.collect()
+        df.sparkSession.sparkContext._jvm.System.gc()
+    return out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -6,15 +6,17 @@ ascending hash and by descending hash. Buckets of the first order propose pairs;
 then also share a prefix token under the other two; only then are whole sets compared, exactly.
 
 1. Documents with equal sets form a class; classes are what is joined.
-2. Frequent tokens are those in many ascending-hash prefixes, counted over all documents. Any
-   function of the token gives a valid order, so only speed depends on this table, and its size
-   is bounded (``FREQUENT_TOKENS``): the most frequent ones enter.
-3. In a bucket of a rare token all pairs are proposed, if their positions allow the required
-   overlap. In a bucket of a frequent token, members pair with the bucket's leader, the member
-   in which that token stands first, so a group of near copies costs its size, not its square.
-4. Components are formed from the links found. Members of frequent buckets that are not in
-   their leader's component are then paired with all members of other components. Pairs inside
-   a component can't change it, so no link that matters is lost.
+2. How frequent a token is comes from a sketch of fixed size that counts the tokens of all
+   documents. Any function of the token gives a valid order, so only speed depends on it.
+3. In a bucket of a rare token all pairs are proposed whose sizes, positions and parity bitmaps
+   allow the required overlap: every token that only one of two sets has flips one bit, so more
+   differing bits than tokens may differ rule a pair out. In a bucket of a frequent token,
+   members pair with the bucket's leader, the member in which that token stands first, so a
+   group of near copies costs its size, not its square.
+4. For every class one proposed pair is compared first, and components are formed from the
+   links. Then follow the proposed pairs between components, and members of frequent buckets
+   that are not in their leader's component, paired with all members of other components. Pairs
+   inside a component can't change it, so no link that matters is lost.
 
 Tokens are 64-bit hashes of n-grams and a class is known by a 64-bit hash of its set; two of
 10**8 different sets get the same hash with probability 0.0003.
@@ -34,14 +36,18 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from perigee.llm.common import chunks_by_length, mix64, stored
 from perigee.llm.components import components
 
-#: At most so many tokens are treated as frequent (two arrays of 8 bytes each: 2 MB broadcast).
-FREQUENT_TOKENS = 1 << 17
-#: A token counts as frequent from so many hash prefixes on.
-FREQUENT_FROM = 8
+#: Counters of the sketch, as a power of two: 16 MB broadcast. With many tokens to a counter,
+#: only tokens that stand out from the rest still count as frequent.
+SKETCH_BITS = 22
+SKETCH_BLOCK = 1 << 16
+#: A token counts as frequent from so many documents on, beyond what its counter holds of others.
+FREQUENT_FROM = 32
+PARITY = [f"p{i}" for i in range(4)]
 #: Rows of one frequent token that go to one task while buckets are looked through.
 ROWS_PER_SALT = 1 << 16
 #: Size of the filter of ids by which documents are chosen for comparison where they lie, as a
@@ -89,33 +95,61 @@ def _batches(batches):
         yield cols["doc_id"], [t or "" for t in cols["text"]]
 
 
+def _parity(tokens: np.ndarray) -> np.ndarray:
+    """For each of 256 places whether an odd number of tokens falls on it, as four integers."""
+    odd = np.bincount((tokens & np.uint64(255)).astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _signatures(n: int, num: int, den: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sid", pa.int64()), ("low", pa.list_(pa.int64())), ("high", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sid", pa.int64()), ("low", pa.list_(pa.int32())), ("high", pa.list_(pa.int32()))]
+                       + [(p, pa.int64()) for p in PARITY] + [("block", pa.int32()), ("counts", pa.binary())])
 
     def run(batches):
         seen = set()  # classes of this partition
+        sketch = np.zeros(1 << SKETCH_BITS, np.int64)
         for ids, texts in _batches(batches):
             rows = {c: [] for c in schema.names}
+            cells = []
             for doc_id, s in zip(ids, token_sets(texts, n), strict=True):
                 sid = set_id(s) if len(s) else None
                 new = sid is not None and sid not in seen
                 p = prefix_length(len(s), num, den)
-                rows["doc_id"].append(doc_id)
-                rows["n"].append(len(s))
-                rows["sid"].append(sid)
-                rows["low"].append(s[:p].view(np.int64) if new else None)
-                rows["high"].append(s[-p:].view(np.int64) if new else None)
-                seen.add(sid)
+                fold = s.astype(np.uint32).view(np.int32)
+                for c, v in zip(schema.names, (doc_id, len(s), sid, fold[:p] if new else None, fold[-p:] if new else None,
+                                               *(_parity(s).tolist() if new else [None] * len(PARITY)), None, None), strict=True):
+                    rows[c].append(v)
+                if new:
+                    seen.add(sid)
+                    cells.append((s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64))
+            if cells:
+                sketch += np.bincount(np.concatenate(cells), minlength=len(sketch))
+            yield pa.RecordBatch.from_pydict(rows, schema=schema)
+        if seen:
+            blocks = np.minimum(sketch, 0xFFFFFFFF).astype("<u4").reshape(-1, SKETCH_BLOCK)
+            rows = {c: [None] * len(blocks) for c in schema.names}
+            rows["block"], rows["counts"] = list(range(len(blocks))), [b.tobytes() for b in blocks]
             yield pa.RecordBatch.from_pydict(rows, schema=schema)
 
     return run
 
 
+def _added(batches):
+    """The sums of the sketch blocks of one partition."""
+    schema = pa.schema([("block", pa.int32()), ("counts", pa.binary())])
+    sums: dict = {}
+    for batch in batches:
+        for block, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            more = np.frombuffer(counts, "<u4").astype(np.uint64)
+            sums[block] = np.minimum(sums[block] + more, 0xFFFFFFFF) if block in sums else more
+    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([c.astype("<u4").tobytes() for c in sums.values()], pa.binary())], schema=schema)
+
+
 def _postings(n: int, num: int, den: int, frequent):
     schema = pa.schema([("token", pa.int64()), ("salt", pa.int32()), ("sid", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
 
     def run(batches):
-        tokens, counts = frequent.value  # tokens ascending
+        sketch, often = frequent.value
         seen = set()
         for _, texts in _batches(batches):
             out = [[] for _ in schema.names]
@@ -129,14 +163,15 @@ def _postings(n: int, num: int, den: int, frequent):
                     continue
                 seen.add(sid)
                 p = prefix_length(len(s), num, den)
-                at = np.minimum(np.searchsorted(tokens, s), max(0, len(tokens) - 1))
-                hot = tokens[at] == s if len(tokens) else np.zeros(len(s), bool)
+                level = sketch[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+                hot = level >= often
                 rare = s[~hot][:p]
                 salt = np.full(len(rare), -1, np.int32)
                 if len(rare) < p:
-                    often = np.lexsort((s[hot], counts[at[hot]]))[: p - len(rare)]
-                    rare = np.concatenate([rare, s[hot][often]])
-                    split = counts[at[hot]][often] // ROWS_PER_SALT + 1
+                    level = level[hot]
+                    order = np.lexsort((s[hot], level))[: p - len(rare)]
+                    rare = np.concatenate([rare, s[hot][order]])
+                    split = level[order].astype(np.int64) // ROWS_PER_SALT + 1
                     salt = np.concatenate([salt, np.where(split > 1, 1 + sid % split, 0).astype(np.int32)])
                 k = len(rare)
                 for x, v in zip(out, (rare.view(np.int64), salt, np.full(k, sid, np.int64), np.full(k, len(s), np.int32), np.arange(k, dtype=np.int32)), strict=True):
@@ -229,21 +264,28 @@ class _Join:
     def __init__(self, docs: DataFrame, n: int, num: int, den: int):
         self.spark, self.n, self.num, self.den = docs.sparkSession, n, num, den
         self.docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        found = self.docs.mapInArrow(_signatures(n, num, den), "doc_id long, n long, sid long, low array<long>, high array<long>")
-        self.signed = stored(found, "ngram-signatures")
+        kinds = "doc_id long, n long, sid long, low array<int>, high array<int>, " + ", ".join(f"{p} long" for p in PARITY)
+        found = self.docs.mapInArrow(_signatures(n, num, den), kinds + ", block int, counts binary")
+        written = stored(found, "ngram-signatures")
+        self.signed = written.where("block is null").drop("block", "counts")
+        self.sketched = written.where("block is not null").select("block", "counts")
 
     def frequent(self):
-        counts = self.signed.select(F.explode("low").alias("token")).groupBy("token").count().where(F.col("count") >= FREQUENT_FROM)
-        top = counts.orderBy(F.col("count").desc(), "token").limit(FREQUENT_TOKENS).toPandas()
-        tokens = top["token"].to_numpy(np.int64).view(np.uint64)
-        order = np.argsort(tokens)
-        return self.spark.sparkContext.broadcast((tokens[order], top["count"].to_numpy(np.int64)[order]))
+        """The sketch of all documents' tokens, and the count from which a token is frequent, for all tasks."""
+        kinds = self.sketched.schema
+        parts = self.sketched.coalesce(32).mapInArrow(_added, kinds).repartition(32, "block").mapInArrow(_added, kinds).toArrow()
+        sketch = np.zeros((1 << SKETCH_BITS) // SKETCH_BLOCK * SKETCH_BLOCK, np.uint32)
+        for block, counts in zip(parts.column(0).to_pylist(), parts.column(1).to_pylist(), strict=True):
+            sketch[block * SKETCH_BLOCK : (block + 1) * SKETCH_BLOCK] = np.frombuffer(counts, "<u4")
+        others = float(sketch.mean())
+        return self.spark.sparkContext.broadcast((sketch, FREQUENT_FROM + others + 4 * others**0.5))
 
     def feasible(self, x: str, y: str):
-        """Whether sets of which the first common token stands at these positions can overlap enough."""
+        """Whether sets of which the first common token stands at these positions, with these parities, can overlap enough."""
         both = F.col(f"{x}.n") + F.col(f"{y}.n")
         most = F.least(F.col(f"{x}.n") - F.col(f"{x}.pos"), F.col(f"{y}.n") - F.col(f"{y}.pos"))
-        return most * (self.num + self.den) >= both * self.num
+        differ = sum((F.bit_count(F.col(f"{x}.{p}").bitwiseXOR(F.col(f"{y}.{p}"))) for p in PARITY), F.lit(0))
+        return (most * (self.num + self.den) >= both * self.num) & ((both - differ) * (self.num + self.den) >= both * (2 * self.num))
 
     @staticmethod
     def pairs(joined: DataFrame) -> DataFrame:
@@ -252,20 +294,22 @@ class _Join:
 
     def agree(self, pairs: DataFrame) -> DataFrame:
         """Pairs that also share a prefix token under both hash orders."""
-        fold = lambda c: F.transform(c, lambda t: t.bitwiseAND(0xFFFFFFFF))
         ends = pairs.select(F.col("u").alias("sid")).unionByName(pairs.select(F.col("v").alias("sid"))).distinct()
-        prefixes = self.signed.where("low is not null").select("sid", fold("low").alias("low"), fold("high").alias("high"))
+        prefixes = self.signed.where("low is not null").select("sid", "low", "high")
         prefixes = prefixes.join(ends, "sid", "left_semi").dropDuplicates(["sid"])
         u = prefixes.select(F.col("sid").alias("u"), F.col("low").alias("low_u"), F.col("high").alias("high_u"))
         v = prefixes.select(F.col("sid").alias("v"), F.col("low").alias("low_v"), F.col("high").alias("high_v"))
         both = F.arrays_overlap("low_u", "low_v") & F.arrays_overlap("high_u", "high_v")
         return pairs.join(u, "u").join(v, "v").where(both).select("u", "v")
 
-    def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    def linked(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+        """The pairs whose whole sets are similar enough."""
+        ends = pairs.select(F.col("u").alias("sid")).unionByName(pairs.select(F.col("v").alias("sid")))
+        sets = self.sets_of(ends, classes)
         u = sets.select(F.col("sid").alias("u"), F.col("tokens").alias("set_u"))
         v = sets.select(F.col("sid").alias("v"), F.col("tokens").alias("set_v"))
-        counted = pairs.join(u, "u").join(v, "v").select("u", "v", "set_u", "set_v").mapInArrow(_overlaps, "u long, v long, nu long, nv long, common long")
-        return counted.where(F.col("common") * self.den >= self.num * (F.col("nu") + F.col("nv") - F.col("common")))
+        counted = pairs.join(v, "v").join(u, "u").select("u", "v", "set_u", "set_v").mapInArrow(_overlaps, "u long, v long, nu long, nv long, common long")
+        return counted.where(F.col("common") * self.den >= self.num * (F.col("nu") + F.col("nv") - F.col("common"))).select("u", "v")
 
     def sets_of(self, sids: DataFrame, classes: DataFrame) -> DataFrame:
         need = classes.join(sids.distinct(), "sid", "left_semi").select("sid", F.col("first_id").alias("id"))
@@ -275,37 +319,40 @@ class _Join:
         bits[marked.column("word").to_numpy()] = marked.column("bits").to_numpy()
         wanted = self.spark.sparkContext.broadcast(bits)
         found = self.docs.mapInArrow(_sets(self.n, wanted), "doc_id long, found long, tokens binary")
-        back = found.join(need, (found["found"] == need["sid"]) & found["doc_id"].eqNullSafe(need["id"]))
-        return stored(back.select("sid", "tokens").dropDuplicates(["sid"]), "ngram-sets")
+        back = found.join(need, found["found"] == need["sid"]).where(F.col("doc_id").eqNullSafe(F.col("id")))
+        return stored(back.select("sid", "tokens").dropDuplicates(["sid"]), "ngram-sets", release=True)
 
     def links(self, classes: DataFrame) -> DataFrame:
         """Links (u, v) between classes that span every component."""
         made = self.docs.mapInArrow(_postings(self.n, self.num, self.den, self.frequent()), "token long, salt int, sid long, n int, pos int")
         live = made.repartition("token", "salt").sortWithinPartitions("token", "salt").mapInArrow(_shared, made.schema)
-        live = stored(live.dropDuplicates(["token", "sid"]), "ngram-postings")
+        parity = self.signed.where("low is not null").select("sid", *PARITY).dropDuplicates(["sid"])
+        # the shared token before: two sets with the same one are proposed there already
+        previous = F.lag("token").over(Window.partitionBy("sid").orderBy("pos", "token"))
+        live = stored(live.join(parity, "sid").withColumn("previous", previous), "ngram-postings", release=True)
         rare, often = live.where("salt < 0"), live.where("salt >= 0")
+        same = (F.col("x.token") == F.col("y.token")) & ~F.coalesce(F.col("x.previous") == F.col("y.previous"), F.lit(False))
+        led_by = F.col("x.token") == F.col("y.token")
         x, y = rare.alias("x"), rare.alias("y")
-        near = self.pairs(x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.sid") < F.col("y.sid")) & self.feasible("x", "y")))
-        lead = often.groupBy("token").agg(F.min(F.struct("pos", "n", "sid")).alias("lead")).select("token", "lead.*")
+        near = self.pairs(x.join(y, same & (F.col("x.sid") < F.col("y.sid")) & self.feasible("x", "y")))
+        lead = often.groupBy("token").agg(F.min(F.struct("pos", "n", "sid", *PARITY)).alias("lead")).select("token", "lead.*")
         x, y = often.alias("x"), lead.alias("y")
-        led = self.pairs(x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.sid") != F.col("y.sid")) & self.feasible("x", "y")))
-        first = stored(self.agree(near.unionByName(led).distinct()), "ngram-pairs")
-        # whole sets, once, for all that may be compared: pairs, and frequent buckets that can link at all
-        joinable = often.alias("x").where((F.col("x.n") - F.col("x.pos")) * self.den >= self.num * F.col("x.n"))
-        ends = first.select(F.col("u").alias("sid")).unionByName(first.select(F.col("v").alias("sid")), ).unionByName(joinable.select("sid"))
-        sets = self.sets_of(ends, classes)
-        links = stored(self.verified(first, sets).select("u", "v"), "ngram-links")
+        led = self.pairs(x.join(y, led_by & (F.col("x.sid") != F.col("y.sid")) & self.feasible("x", "y")))
+        proposed = stored(self.agree(near.unionByName(led).distinct()), "ngram-pairs")
+        first = stored(proposed.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"), "ngram-first")
+        links = stored(self.linked(first, classes), "ngram-links", release=True)
         root = components(links)
-        often = stored(
-            often.join(root.select(F.col("node").alias("sid"), "root"), "sid", "left").withColumn("root", F.coalesce("root", "sid")), "ngram-frequent"
-        )
-        heads = lead.join(root.select(F.col("node").alias("sid"), "root"), "sid", "left").select("token", F.coalesce("root", "sid").alias("head"))
-        marked = often.join(heads, "token")
+        of = lambda name: root.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
+        between = proposed.join(of("u"), "u", "left").join(of("v"), "v", "left")
+        between = between.where(F.coalesce("root_u", "u") != F.coalesce("root_v", "v")).select("u", "v")
+        rooted = lambda rows: rows.join(of("sid"), "sid", "left").withColumn("root", F.coalesce("root_sid", "sid")).drop("root_sid")
+        heads = rooted(lead.select("token", "sid")).select("token", F.col("root").alias("head"))
+        marked = stored(rooted(often).join(heads, "token"), "ngram-frequent")
         x, y = marked.where("root <> head").alias("x"), marked.alias("y")
         apart = (F.col("x.root") != F.col("y.root")) & ((F.col("y.root") == F.col("y.head")) | (F.col("x.sid") < F.col("y.sid")))
-        rest = self.pairs(x.join(y, (F.col("x.token") == F.col("y.token")) & apart & self.feasible("x", "y")))
-        rest = self.agree(rest.join(first, ["u", "v"], "left_anti"))
-        return links.unionByName(self.verified(rest, sets).select("u", "v"))
+        rest = self.agree(self.pairs(x.join(y, same & apart & self.feasible("x", "y"))).join(proposed, ["u", "v"], "left_anti"))
+        rest = stored(rest.unionByName(between).join(first, ["u", "v"], "left_anti"), "ngram-rest", release=True)
+        return links.unionByName(self.linked(rest, classes))
 
 
 def ngram_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -> DataFrame:
