@@ -160,7 +160,9 @@ def sampled(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[lis
     # at most ``size`` rows of each combination of labels: small enough to send to every task
     texts = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id").select("text", "marks")
     got = texts.mapInArrow(_featurise, "slots array<int>, fold int, marks array<double>").toArrow()
-    rows = [np.array(r, np.int64) for r in got.column("slots").to_pylist()]
+    slots = got.column("slots").combine_chunks()
+    values, ends = slots.values.to_numpy().astype(np.int64), slots.offsets.to_numpy()
+    rows = [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
     order = sorted(range(len(rows)), key=lambda i: rows[i].tobytes())  # the same whatever the partitions
     marks = np.array(got.column("marks").to_pylist(), float).reshape(len(rows), len(CATEGORIES))
     folds = np.array(got.column("fold").to_pylist(), np.int64)
