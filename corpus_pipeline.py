@@ -22,7 +22,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group of near duplicates: five-word shingles, similarity 0.8 or more."""
     found = stored(ngram_join.ngram_components(docs, 5, 80, 100), "pipeline-groups")
-    others = found.where("component_id < doc_id").select("doc_id").distinct()
+    # stored, so that Spark knows its size before it plans the join
+    others = stored(found.where("component_id < doc_id").select("doc_id").distinct(), "pipeline-others", release=True)
     kept = docs.join(others, "doc_id", "left_anti")
     repeated = stored(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "pipeline-repeated")
     if repeated.isEmpty():
