@@ -47,8 +47,8 @@ SKETCH_BITS = 22
 SKETCH_BLOCK = 1 << 16
 #: A token counts as frequent from so many documents on, beyond what its counter holds of others.
 FREQUENT_FROM = 32
-#: Parity bitmap of a posting (256 places), and the larger one by which proposed pairs are checked.
-PARITY = [f"p{i}" for i in range(4)]
+#: Parity bitmap of a posting (384 places), and the larger one by which proposed pairs are checked.
+PARITY = [f"p{i}" for i in range(6)]
 WIDE_PARITY = 2048
 #: Rows of one frequent token that go to one task while buckets are looked through.
 ROWS_PER_SALT = 1 << 16
@@ -100,7 +100,7 @@ def _batches(batches):
 
 def _parity(tokens: np.ndarray, places: int) -> np.ndarray:
     """For each of so many places whether an odd number of tokens falls on it, as 64-bit integers."""
-    odd = np.bincount((tokens & np.uint64(places - 1)).astype(np.int64), minlength=places) & 1
+    odd = np.bincount((tokens % np.uint64(places)).astype(np.int64), minlength=places) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
