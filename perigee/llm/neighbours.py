@@ -1,10 +1,18 @@
-"""Nearest neighbours by multiprobe p-stable hashing.
-
-Each of ``TABLES`` hash tables projects vectors on ``K`` Gaussian directions and cuts the lines
-into cells of ``WIDTH`` times the root mean square vector length. A query visits, besides its
-own bucket, the buckets reached by moving some coordinates one cell up or down, in the order of
-how near it lies to those cell borders (Lv et al. 2007), ``PROBES`` in all. Every vector is
-indexed. Vectors found in any table are compared by their exact distance in double precision.
+"""Nearest neighbours by multiprobe p-stable hashing of directions, in bands of lengths.
+
+Vectors are dealt into bands by their length, each ``RATIO`` times as long as the one before. Among
+vectors of one length the nearest to a query, however long, are those nearest in direction, so
+directions are hashed. Each of ``TABLES`` hash tables projects them on ``K`` Gaussian directions
+and cuts the lines into cells of ``WIDTH``. In a band a query visits, besides its own bucket, the
+buckets reached by moving some coordinates one cell up or down, in the order of how near it lies to
+those cell borders (Lv et al. 2007), ``PROBES`` in all. Every vector is indexed. Vectors found in
+any table are compared by their exact distance in double precision.
+
+A query visits its own band first, then every other band that may hold a row nearer than its k-th
+so far. Bands of up to ``WHOLE`` vectors are compared whole. So are bands more than ``SHORT`` times
+as long as the query, where length and not direction decides: only queries with fewer than k rows
+about as long as they get that far. A query that found fewer than k rows is then compared with
+all rows of the bands that are certain to hold them.
 
 Equal vectors are indexed once, with the smallest vec_ids of their group: as many as can appear
 in a result. Buckets are dealt out in chunks: of ``CHUNK`` vectors, and of ``CHUNK`` visiting
@@ -28,13 +36,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from perigee.llm.common import stored
+from perigee.llm.common import mix64, stored
 
 TABLES = 8
 K = 6
 WIDTH = 2.0
 PROBES = 48
 CHUNK = 4096
+#: Lengths of a band's upper to its lower border.
+RATIO = 1.2
+WHOLE = 1024
+SHORT = 3.0
 
 
 def probe_order(offsets: np.ndarray, probes: int) -> list:
@@ -60,60 +72,108 @@ def probe_order(offsets: np.ndarray, probes: int) -> list:
 
 
 class Hashes:
-    """The projections of all tables for one length and scale of vectors; the same for the same seed."""
+    """The projections of all tables for one number of dimensions; the same for the same seed."""
 
-    def __init__(self, dim: int, scale: float, seed: int = 7):
+    def __init__(self, dim: int, seed: int = 7):
         rng = np.random.default_rng(seed)
-        self.a = rng.normal(size=(TABLES, dim, K)) / (WIDTH * scale)
+        self.a = rng.normal(size=(TABLES, dim, K)) / WIDTH
         self.b = rng.uniform(size=(TABLES, K))
 
     def cells(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Cells (rows x tables x K) and the places within them."""
-        p = np.einsum("nd,tdk->ntk", x, self.a) + self.b[None]
+        """Cells of the directions (rows x tables x K) and the places within them."""
+        x = x / np.abs(x).max(axis=1, keepdims=True)
+        p = np.einsum("nd,tdk->ntk", x / np.linalg.norm(x, axis=1, keepdims=True), self.a) + self.b[None]
         cell = np.floor(p)
         return cell.astype(np.int64), p - cell
 
 
+class Bands:
+    """How many vectors each band holds, and what follows from that for queries."""
+
+    def __init__(self, counts: dict, k: int):
+        self.counts = dict(sorted(counts.items()))
+        self.low = {b: RATIO ** (b - 0.5) * (1 - 1e-9) for b in counts}
+        self.high = {b: RATIO ** (b + 0.5) * (1 + 1e-9) for b in counts}
+        self.small = frozenset(b for b, n in counts.items() if n <= WHOLE)
+        # no k + 1 vectors are longer than this
+        total, self.enough = 0, float("inf")
+        for b, n in self.counts.items():
+            total += n
+            if total > k:
+                self.enough = self.high[b]
+                break
+
+    def parts(self, band: int) -> int:
+        return -(-self.counts[band] // CHUNK)
+
+    def within(self, length: float, reach: float | None) -> list:
+        """Bands that may hold one of the k nearest rows of a query that has k rows up to ``reach`` (null: fewer)."""
+        reach = min(length + self.enough, float("inf") if reach is None else reach) * (1 + 1e-9)
+        return [b for b in self.counts if max(self.low[b] - length, length - self.high[b]) <= reach]
+
+
 def _names(cells: np.ndarray) -> list:
     return [",".join(map(str, c)) for c in cells.tolist()]
 
 
-def _indexed(dim: int, scale: float):
+def _indexed(dim: int, bands: Bands, whole: frozenset):
+    """Index rows: of vectors in bands of ``whole`` one in a part of the band, of others one in each table."""
     schema = pa.schema([("cell", pa.string()), ("gid", pa.int64()), ("vector", pa.list_(pa.float64())), ("ids", pa.list_(pa.int64()))])
 
     def run(batches):
-        hashes = Hashes(dim, scale)
+        hashes = Hashes(dim)
         for batch in batches:
             if batch.num_rows:
-                x = np.array(batch.column("vector").to_pylist(), float)
-                cells, _ = hashes.cells(x)
-                for t in range(TABLES):
-                    yield pa.RecordBatch.from_arrays([pa.array([f"{t}:{n}" for n in _names(cells[:, t])]), *(batch.column(c) for c in ("gid", "vector", "ids"))], schema=schema)
+                of = batch.column("band").to_pylist()
+                flat = np.array([b in whole for b in of])
+                for part in (batch.filter(pa.array(flat)), batch.filter(pa.array(~flat))):
+                    if not part.num_rows:
+                        continue
+                    rest = [part.column(c) for c in ("gid", "vector", "ids")]
+                    of = part.column("band").to_pylist()
+                    if of[0] in whole:
+                        mixed = mix64(part.column("gid").to_numpy().view(np.uint64)).tolist()
+                        cells = [f"{b}:all:{m % bands.parts(b)}" for b, m in zip(of, mixed, strict=True)]
+                        yield pa.RecordBatch.from_arrays([pa.array(cells), *rest], schema=schema)
+                        continue
+                    cells, _ = hashes.cells(np.array(part.column("vector").to_pylist(), float))
+                    for t in range(TABLES):
+                        yield pa.RecordBatch.from_arrays([pa.array([f"{b}:{t}:{n}" for b, n in zip(of, _names(cells[:, t]), strict=True)]), *rest], schema=schema)
 
     return run
 
 
-def _visits(dim: int, scale: float):
+def _visits(dim: int, bands: Bands, step: str):
+    """Cells visited by queries. step: "own" band, "others" within reach, or "rest": large bands whole."""
     schema = pa.schema([("cell", pa.string()), ("query_id", pa.int64()), ("vector", pa.list_(pa.float64()))])
 
+    def targets(own: int, length: float, reach: float | None) -> tuple[list, list]:
+        if step == "rest":
+            return [b for b in bands.within(length, None) if b not in bands.small], []
+        near = [own] if step == "own" else [b for b in bands.within(length, reach) if b != own]
+        whole = [b for b in near if b in bands.small or (b != own and bands.low[b] > SHORT * length)]
+        return whole, [b for b in near if b not in whole]
+
     def run(batches):
-        hashes = Hashes(dim, scale)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                x = np.array(batch.column("vector").to_pylist(), float)
-                cells, offsets = hashes.cells(x)
+        hashes = Hashes(dim)
+        for every in batches:
+            for at in range(0, every.num_rows, 64):
+                batch = every.slice(at, 64)
+                cells, offsets = hashes.cells(np.array(batch.column("vector").to_pylist(), float))
                 names, rows = [], []
-                for i in range(len(x)):
-                    for t in range(TABLES):
+                for i, q in enumerate(batch.select(["band", "length", "reach"]).to_pylist()):
+                    whole, hashed = targets(q["band"], q["length"], q["reach"])
+                    names += [f"{b}:all:{j}" for b in whole for j in range(bands.parts(b))]
+                    for t in range(TABLES if hashed else 0):
                         for moves in probe_order(offsets[i, t], PROBES):
                             cell = cells[i, t].copy()
-                            for j, step in moves:
-                                cell[j] += step
-                            names.append(f"{t}:" + ",".join(map(str, cell.tolist())))
-                            rows.append(i)
+                            for j, move in moves:
+                                cell[j] += move
+                            name = ",".join(map(str, cell.tolist()))
+                            names += [f"{b}:{t}:{name}" for b in hashed]
+                    rows += [i] * (len(names) - len(rows))
                 take = pa.array(rows, pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(names), batch.column("query_id").take(take), batch.column("vector").take(take)], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), batch.column("query_id").take(take), batch.column("vector").take(take)], schema=schema)
 
     return run
 
@@ -148,24 +208,8 @@ def usable(vectors: DataFrame) -> DataFrame:
     return good.where(F.size("vector") == (sizes["dim"] if sizes else 0))
 
 
-def nearest(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest other rows found for each row with vec_id divisible by ``every``."""
-    rows = usable(vectors)
-    facts = rows.agg(F.max(F.size("vector")).alias("dim"), F.avg(F.aggregate("vector", F.lit(0.0), lambda s, e: s + e * e)).alias("square")).first()
-    if facts["dim"] is None:
-        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim, scale = facts["dim"], float(np.sqrt(facts["square"]))
-    # of each group of equal vectors the k + 1 smallest ids: the query's own may be among them
-    key = F.sha2(F.array_join(F.transform("vector", lambda e: (e + 0.0).cast("string")), ","), 256)
-    keyed = rows.select("vec_id", key.alias("key"), "vector").dropDuplicates(["vec_id", "key"])
-    by_id = Window.partitionBy("key", F.pmod(F.xxhash64("vec_id"), F.lit(64))).orderBy("vec_id")  # salted: a group may be large
-    ranked = keyed.withColumn("place", F.row_number().over(by_id))
-    part = ranked.where(F.col("place") <= k + 1).groupBy("key").agg(F.array_sort(F.collect_list("vec_id")).alias("all"), F.first("vector").alias("vector"))
-    groups = part.select(F.slice("all", 1, k + 1).alias("ids"), F.element_at("all", 1).alias("gid"), "vector")
-    index = groups.mapInArrow(_indexed(dim, scale), "cell string, gid long, vector array<double>, ids array<long>")
-    asked = rows.where(F.pmod("vec_id", F.lit(every)) == 0).withColumnRenamed("vec_id", "query_id").dropDuplicates(["query_id", "vector"])
-    visits = asked.mapInArrow(_visits(dim, scale), "cell string, query_id long, vector array<double>")
-    index, visits = stored(index, "lsh-index"), stored(visits, "lsh-visits")
+def _compared(visits: DataFrame, index: DataFrame, k: int) -> DataFrame:
+    """query_id, vec_id, score of the rows found in the visited cells, with the k nearest of each chunk at least."""
     sizes = index.groupBy("cell").agg(F.count(F.lit(1)).alias("vectors")).join(visits.groupBy("cell").agg(F.count(F.lit(1)).alias("visitors")), "cell")
     sizes = sizes.select("cell", F.ceil(F.col("vectors") / CHUNK).cast("int").alias("across"), F.ceil(F.col("visitors") / CHUNK).cast("int").alias("down"))
     chunk = lambda n, c: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
@@ -176,6 +220,50 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     found = coming.select(*where, "query_id", "vector").groupBy(*where).cogroup(dealt.select(*where, "gid", "vector", "ids").groupBy(*where)).applyInPandas(
         _nearest_in_chunk(k), "query_id long, vec_id long, score double"
     )
+    return found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+
+
+def nearest(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
+    """query_id, rank, vec_id, score: the k nearest other rows found for each row with vec_id divisible by ``every``."""
+    rows = usable(vectors)
+    # of each group of equal vectors the k + 1 smallest ids: the query's own may be among them
+    key = F.sha2(F.array_join(F.transform("vector", lambda e: (e + 0.0).cast("string")), ","), 256)
+    keyed = rows.select("vec_id", key.alias("key"), "vector").dropDuplicates(["vec_id", "key"])
+    by_id = Window.partitionBy("key", F.pmod(F.xxhash64("vec_id"), F.lit(64))).orderBy("vec_id")  # salted: a group may be large
+    ranked = keyed.withColumn("place", F.row_number().over(by_id))
+    part = ranked.where(F.col("place") <= k + 1).groupBy("key").agg(F.array_sort(F.collect_list("vec_id")).alias("all"), F.first("vector").alias("vector"))
+    most = F.array_max(F.transform("vector", F.abs))  # squares of the parts of it don't overflow
+    length = most * F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, e: s + (e / most) * (e / most)))
+    band = F.round(F.log(length) / F.lit(float(np.log(RATIO)))).cast("int")
+    groups = stored(part.select(F.slice("all", 1, k + 1).alias("ids"), F.element_at("all", 1).alias("gid"), "vector", band.alias("band")), "lsh-groups")
+    bands = Bands({r["band"]: r["count"] for r in groups.groupBy("band").count().collect()}, k)
+    if not bands.counts:
+        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    dim = len(groups.first()["vector"])
+    index_of = lambda some, whole: some.mapInArrow(_indexed(dim, bands, whole), "cell string, gid long, vector array<double>, ids array<long>")
+    index = stored(index_of(groups, bands.small), "lsh-index")
+    asked = rows.where(F.pmod("vec_id", F.lit(every)) == 0).withColumnRenamed("vec_id", "query_id").dropDuplicates(["query_id", "vector"])
+    asked = stored(asked.withColumn("length", length).withColumn("band", band), "lsh-asked")
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    merged = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    return merged.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    def ranked_k(found: DataFrame) -> DataFrame:
+        merged = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+        return merged.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    found = None
+    for step in ("own", "others", "rest"):
+        reach = F.lit(None).cast("double")
+        open_ = asked.withColumn("reach", reach)
+        if found is not None:
+            done = found.where(F.col("rank") == k).select("query_id", F.col("score").alias("reach"))
+            open_ = asked.join(done, "query_id", "left") if step == "others" else asked.join(done, "query_id", "left_anti").withColumn("reach", reach)
+        visits = stored(open_.mapInArrow(_visits(dim, bands, step), "cell string, query_id long, vector array<double>"), f"lsh-visits-{step}")
+        if visits.isEmpty():
+            continue
+        # large bands are indexed whole only where a query asks for that
+        asks = visits.where(F.col("cell").contains(":all:")).select(F.split("cell", ":")[0].cast("int").alias("band")).distinct().collect()
+        large = [r["band"] for r in asks if r["band"] not in bands.small]
+        seen = index.unionByName(index_of(groups.where(F.col("band").isin(large)), frozenset(large))) if large else index
+        got = _compared(visits, seen, k)
+        found = stored(ranked_k(got if found is None else got.unionByName(found.select("query_id", "vec_id", "score"))), f"lsh-found-{step}")
+    return found

@@ -57,3 +57,35 @@ def test_probes_come_in_order_and_differ():
     order = N.probe_order(offsets, 27)
     costs = [cost(m) for m in order]
     assert len(order) == 27 == len({tuple(sorted(m)) for m in order}) and costs == sorted(costs) and order[0] == []
+
+
+def test_every_query_of_mixed_lengths(make, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    lengths = {0: 10.0, 1: 4.0, 2: 1.5, 3: 0.5, 4: 0.02}  # of a few of the queries, others stay
+    for i in range(0, 1000, 20):
+        x[i] *= lengths[i // 20 % 5]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    monkeypatch.setattr(N, "WHOLE", 40, raising=False)
+    x = np.asarray(x, np.float32).astype(float)
+    got = by_query(N.nearest(make(rows, SCHEMA), 20, 10))
+    recall = {}
+    for q in range(0, 3000, 20):
+        d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        d[q] = np.inf
+        recall[q] = len({i for _, i in got.get(q, [])} & set(np.argsort(d, kind="stable")[:10].tolist())) / 10
+        assert len(got.get(q, [])) == 10
+    assert min(recall.values()) >= 0.6 and np.mean([r for q, r in recall.items() if q < 1000]) >= 0.9
+
+
+def test_a_query_far_in_direction_still_gets_k(make, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = np.eye(8)[0] + rng.normal(size=(300, 8)) / 1000
+    x[0] = -np.eye(8)[0]
+    monkeypatch.setattr(N, "WHOLE", 40, raising=False)
+    got = by_query(N.nearest(make([(i, v.tolist()) for i, v in enumerate(x)], SCHEMA), 1000, 10))
+    x = np.asarray(x, np.float32).astype(float)
+    d = np.sqrt(((x - x[0]) ** 2).sum(axis=1))
+    assert len(got[0]) == 10 and {i for _, i in got[0]} <= set(range(1, 300))
+    assert [i for _, i in got[0]] == np.argsort(np.where(d > 0, d, np.inf), kind="stable")[:10].tolist()
