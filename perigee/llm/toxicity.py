@@ -6,7 +6,9 @@ of fold: each row's comes from a model that has not seen the row (nor a copy of
 folds are by text). At prediction the models fitted on all sampled rows are used.
 
 The models are fitted on a bounded sample of labelled rows, ``SAMPLE`` of each combination of
-labels, those with the smallest hashed doc_id. They are a few megabytes, and every document is
+labels, those with the smallest hashed doc_id among labels that have a document. In the fit and in
+the limit each weighs as many labelled rows as it stands for, so that both follow how common the
+combinations are, whatever the size of the table. The rows are a few megabytes, and every document is
 scored where it lies, over its whole text, in one scan.
 
 Features of a text are its distinct lower-case words, their first three, four and five
@@ -31,6 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from perigee.llm.common import stored
+
 #: Rows sampled of each combination of label values.
 SAMPLE = 2000
 FOLDS = 3
@@ -74,14 +78,21 @@ def _probability(sums, dense, v, b, constant):
     return _sigmoid(b + dense @ v + sums) if constant is None else np.full(len(sums), constant)
 
 
-def evidence(rows: list, labels: np.ndarray) -> np.ndarray:
-    """How surely each slot tells the labels apart: the z-score of its log odds ratio beyond ``SURE``, else 0."""
+def evidence(rows: list, labels: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """How surely each slot tells the labels apart: the z-score of its log odds ratio beyond ``SURE``, else 0.
+
+    Weights shift the odds; how sure they are depends on the number of rows seen.
+    """
     yes, no = float(labels.sum()), float(len(labels) - labels.sum())
-    seen = [np.zeros(SLOTS), np.zeros(SLOTS)]
-    for r, y in zip(rows, labels, strict=True):
-        seen[int(y)][np.unique(r)] += 1
+    share = [weights / weights[labels == y].mean() for y in (0, 1)]
+    seen, weighed = ([np.zeros(SLOTS), np.zeros(SLOTS)] for _ in range(2))
+    for i, (r, y) in enumerate(zip(rows, labels, strict=True)):
+        slots = np.unique(r)
+        seen[int(y)][slots] += 1
+        weighed[int(y)][slots] += share[int(y)][i]
     n, p = seen
-    odds = np.log((p + 0.5) / (yes - p + 0.5)) - np.log((n + 0.5) / (no - n + 0.5))
+    wn, wp = np.minimum(weighed[0], no), np.minimum(weighed[1], yes)
+    odds = np.log((wp + 0.5) / (yes - wp + 0.5)) - np.log((wn + 0.5) / (no - wn + 0.5))
     z = odds / np.sqrt(1 / (p + 0.5) + 1 / (n + 0.5))
     return np.sign(z) * np.minimum(np.maximum(np.abs(z) - SURE, 0), 3.0)
 
@@ -89,12 +100,13 @@ def evidence(rows: list, labels: np.ndarray) -> np.ndarray:
 class LinearModel:
     """Logistic regression over slots, weighed by their evidence, and a few dense inputs; AdaGrad on small batches."""
 
-    def __init__(self, rows: list, dense: np.ndarray, labels: np.ndarray):
+    def __init__(self, rows: list, dense: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None):
         self.w, self.v, self.b = np.zeros(SLOTS), np.zeros(dense.shape[1]), 0.0
         self.constant = float(labels[0]) if len(labels) and len(set(labels.tolist())) == 1 else (None if len(labels) else 0.0)
         if self.constant is not None:
             return
-        scale = evidence(rows, labels)
+        weights = np.ones(len(labels)) if weights is None else weights / weights.mean()
+        scale = evidence(rows, labels, weights)
         rows = [r[scale[r] != 0] for r in rows]
         gw, gv, gb = np.full(SLOTS, 1e-6), np.full(dense.shape[1], 1e-6), 1e-6
         rng = np.random.default_rng(0)
@@ -104,7 +116,7 @@ class LinearModel:
                 index = np.concatenate([rows[i] for i in batch])
                 owner = np.repeat(np.arange(len(batch)), [len(rows[i]) for i in batch])
                 z = self.b + dense[batch] @ self.v + np.bincount(owner, self.w[index] * scale[index], len(batch))
-                error = _sigmoid(z) - labels[batch]
+                error = (_sigmoid(z) - labels[batch]) * weights[batch]
                 used, at = np.unique(index, return_inverse=True)
                 grad = np.bincount(at, error[owner], len(used)) * scale[used] / len(batch) + 1e-5 * self.w[used]
                 gw[used] += grad**2
@@ -122,51 +134,60 @@ class LinearModel:
         return _probability(sums, dense, self.v, self.b, self.constant)
 
 
-def fit_chain(rows: list, labels: np.ndarray, folds: np.ndarray) -> tuple[list, np.ndarray]:
+def fit_chain(rows: list, labels: np.ndarray, folds: np.ndarray, weights: np.ndarray | None = None) -> tuple[list, np.ndarray]:
     """The models in chain order and all out-of-fold probabilities (rows x categories)."""
+    weights = np.ones(len(rows)) if weights is None else weights
     dense, models = np.zeros((len(rows), 0)), []
     for c in range(labels.shape[1]):
         y, out = labels[:, c], np.zeros(len(rows))
         for fold in range(FOLDS):
             train, test = np.flatnonzero(folds != fold), np.flatnonzero(folds == fold)
             if len(test):
-                m = LinearModel([rows[i] for i in train], dense[train], y[train])
+                m = LinearModel([rows[i] for i in train], dense[train], y[train], weights[train])
                 out[test] = m.probability(np.array([m.w[rows[i]].sum() for i in test]), dense[test])
-        models.append(LinearModel(rows, dense, y))
+        models.append(LinearModel(rows, dense, y, weights))
         dense = np.column_stack([dense, out])
     return models, dense
 
 
 def _featurise(batches):
-    schema = pa.schema([("slots", pa.list_(pa.int32())), ("fold", pa.int32()), ("marks", pa.list_(pa.float64()))])
+    schema = pa.schema([("slots", pa.list_(pa.int32())), ("fold", pa.int32()), ("marks", pa.list_(pa.float64())), ("weight", pa.float64())])
     for batch in batches:
         texts = [t or "" for t in batch.column("text").to_pylist()]
         folds = [zlib.crc32(t.encode("utf-8", "surrogatepass")) // 7 % FOLDS for t in texts]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([features(t) for t in texts], schema[0].type), pa.array(folds, pa.int32()), batch.column("marks").cast(schema[2].type)], schema=schema
+            [pa.array([features(t) for t in texts], schema[0].type), pa.array(folds, pa.int32()), batch.column("marks").cast(schema[2].type), batch.column("weight")], schema=schema
         )
 
 
-def sampled(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[list, np.ndarray, np.ndarray]:
-    """Features, labels and folds of the bounded sample of labelled documents."""
+def weighed_sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
+    """Features, labels, folds of the bounded sample of labelled documents, and how many labelled rows each stands for."""
     marks = F.array(*[F.expr(f"CAST({test} AS DOUBLE)") for _, test in CATEGORIES])
-    known = labels.where("doc_id is not null and quality is not null and toxic is not null")
+    known = labels.where("doc_id is not null and quality is not null and toxic is not null").select("doc_id", "quality", "toxic").distinct()
+    known = stored(known.join(docs.where("doc_id is not null").select("doc_id"), "doc_id", "left_semi"), "toxicity-labelled")
+    counts = known.groupBy("quality", "toxic").agg(F.count(F.lit(1)).alias("labelled"))
     by_hash = Window.partitionBy("quality", "toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
-        known.select("doc_id", "quality", "toxic").distinct()
-        .withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= size)
-        .select("doc_id", marks.alias("marks"))
+        known.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= size)
+        .join(F.broadcast(counts), ["quality", "toxic"])  # a row for each combination of labels
+        .select("doc_id", marks.alias("marks"), (F.col("labelled") / F.least(F.col("labelled"), F.lit(size))).alias("weight"))
     )
     # at most ``size`` rows of each combination of labels: small enough to send to every task
-    texts = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id").select("text", "marks")
-    got = texts.mapInArrow(_featurise, "slots array<int>, fold int, marks array<double>").toArrow()
+    texts = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id").select("text", "marks", "weight")
+    got = texts.mapInArrow(_featurise, "slots array<int>, fold int, marks array<double>, weight double").toArrow()
     slots = got.column("slots").combine_chunks()
     values, ends = slots.values.to_numpy().astype(np.int64), slots.offsets.to_numpy()
     rows = [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
     order = sorted(range(len(rows)), key=lambda i: rows[i].tobytes())  # the same whatever the partitions
     marks = np.array(got.column("marks").to_pylist(), float).reshape(len(rows), len(CATEGORIES))
     folds = np.array(got.column("fold").to_pylist(), np.int64)
-    return [rows[i] for i in order], marks[order], folds[order]
+    weights = np.array(got.column("weight").to_pylist(), float)
+    return [rows[i] for i in order], marks[order], folds[order], weights[order]
+
+
+def sampled(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[list, np.ndarray, np.ndarray]:
+    """Features, labels and folds of the bounded sample of labelled documents."""
+    return weighed_sample(docs, labels, size)[:3]
 
 
 def _scorer(models: list):
@@ -211,19 +232,20 @@ def _by_batch(shared, column: int, run):
     return each
 
 
-def best_limit(p: np.ndarray, y: np.ndarray) -> float:
+def best_limit(p: np.ndarray, y: np.ndarray, weights: np.ndarray | None = None) -> float:
     """The limit with the best F1 of out-of-fold probabilities; of equal ones that nearest to a half."""
+    w = np.ones(len(p)) if weights is None else weights
     tried = np.arange(1, 20) / 20
-    f1 = [2 * y[p >= t].sum() / max(1.0, (p >= t).sum() + y.sum()) for t in tried]
+    f1 = [2 * (w * y)[p >= t].sum() / max(1.0, w[p >= t].sum() + (w * y).sum()) for t in tried]
     return float(min(zip(tried, f1, strict=True), key=lambda x: (-x[1], abs(x[0] - 0.5)))[0])
 
 
 def fit(docs: DataFrame, labels: DataFrame):
     """The chain fitted on the labelled rows of ``docs`` and the limit of rejection, as a broadcast."""
-    rows, marks, folds = sampled(docs, labels)
-    models, out_of_fold = fit_chain(rows, marks, folds)
+    rows, marks, folds, weights = weighed_sample(docs, labels)
+    models, out_of_fold = fit_chain(rows, marks, folds, weights)
     decides = [name for name, _ in CATEGORIES].index(DECIDES)
-    limit = best_limit(out_of_fold[:, decides], marks[:, decides])
+    limit = best_limit(out_of_fold[:, decides], marks[:, decides], weights)
     return docs.sparkSession.sparkContext.broadcast(([(m.w, m.v, m.b, m.constant) for m in models], limit))
 
 

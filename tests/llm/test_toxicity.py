@@ -69,3 +69,17 @@ def test_sample_is_bounded(make):
     docs, labels = planted(4, 200)
     rows, marks, folds = T.sampled(make(docs, DOCS), make(labels, LABELS), 10)
     assert len(rows) == len(marks) == len(folds) <= 40
+
+
+def test_sampled_rows_stand_for_all_labelled_documents(make):
+    docs, labels = planted(5, 300)
+    without = [(i, q, t) for i in range(1000, 3000) for q, t in [((i >> 1) & 1, i & 1)]]
+    rows, marks, _ = T.sampled(make(docs, DOCS), make(labels + without, LABELS), 10)
+    assert len(rows) == 40  # labels without a document take no places
+    *_, marks, _, weights = T.weighed_sample(make(docs, DOCS), make(labels + without, LABELS), 10)
+    for quality in (0, 1):
+        for toxic in (0, 1):
+            there = (marks[:, 0] == 1 - quality) & (marks[:, 1] == toxic)
+            assert round(weights[there].sum(), 6) == sum((q, t) == (quality, toxic) for _, q, t in labels)
+    p, y, w = np.array([0.3, 0.3, 0.7, 0.9]), np.array([0.0, 1.0, 0.0, 1.0]), np.array([40.0, 1.0, 40.0, 1.0])
+    assert T.best_limit(p, y) <= 0.3 and T.best_limit(p, y, w) > 0.7
