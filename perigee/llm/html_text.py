@@ -80,6 +80,7 @@ class _Blocks:
         self.parts: list = []
         self.linked = 0
         self.open: list = []  # (tag, region before, boilerplate before) of open elements that matter
+        self.places: dict = {}  # tag to its places in ``open``
         self.region = self.regions = self.links = 0
         self.never = False
         self.read(page)
@@ -114,6 +115,7 @@ class _Blocks:
             self.flush()
         if tag in ("p", "li", "tr") and not never:
             return  # often left open; nothing depends on where they end
+        self.places.setdefault(tag, []).append(len(self.open))
         self.open.append((tag, self.region, self.never))
         self.never |= never
         if tag in _REGION and not self.never and not self.region:
@@ -126,14 +128,15 @@ class _Blocks:
             self.links = 0
         if tag == "a":
             self.links = 0
-        for i in range(len(self.open) - 1, max(-1, len(self.open) - 200), -1):
-            name, region, never = self.open[i]
-            if name == tag:
-                if never != self.never:
-                    self.flush()
-                self.region, self.never = region, never
-                del self.open[i:]
-                return
+        if not self.places.get(tag):
+            return
+        at = self.places[tag][-1]
+        _, region, never = self.open[at]
+        if never != self.never:
+            self.flush()
+        self.region, self.never = region, never
+        while len(self.open) > at:
+            self.places[self.open.pop()[0]].pop()
 
     def read(self, page: str):
         at, size = 0, len(page)

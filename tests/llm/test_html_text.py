@@ -44,3 +44,7 @@ def test_rows_and_long_pages(make):
         [(1, "u", len(LONG) - 1), (1, "u", len(LONG) - 1), (None, None, 0), (2, "v", 3000 * len(LONG) - 1)], key=str
     )
     assert H.extracted(make([], "page_id long, url string, html string")).collect() == []
+
+
+def test_closing_tags_find_their_element_at_any_depth():
+    assert H.main_text(f"<nav>{'<div><span>' * 500}Menu</nav><article><p>{LONG}</article>") == LONG.strip()
