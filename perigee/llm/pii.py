@@ -1,4 +1,4 @@
-"""Personal data: patterns propose spans, checksums confirm them, words before them adjust the score.
+"""Personal data: patterns propose spans, checksums confirm them, words around them adjust the score.
 
 Base kinds (email, ip, card, phone) are the leftmost non-overlapping matches of their pattern
 that pass their test, whatever their score. Further kinds (iban by mod 97, ssn by its number
@@ -25,7 +25,7 @@ BASE = ("email", "ip", "card", "phone")
 ADDED = ("iban", "ssn", "local")
 ADD_FROM = 0.7
 CONTEXT_CHARS = 40
-#: Words that speak for a kind when they stand shortly before a span.
+#: Words that speak for a kind when they stand shortly before or behind a span.
 CONTEXT = {
     "email": {"email", "mail", "contact", "write", "correo", "courriel"},
     "ip": {"ip", "address", "server", "host", "login"},
@@ -35,6 +35,7 @@ CONTEXT = {
     "ssn": {"ssn", "social", "security", "taxpayer"},
     "local": {"phone", "call", "tel", "mobile", "fax", "telefon"},
 }
+_LONGEST = max(len(w) for words in CONTEXT.values() for w in words)
 _LOCAL_PART = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
@@ -113,19 +114,29 @@ def _added(text: str):
         yield "local", *m.span(), False
 
 
-def score(text: str, kind: str, start: int, confirmed: bool) -> float:
-    """0.5 for the pattern, 0.3 for a checksum, 0.2 for a word of its context shortly before."""
-    before = _WORD.findall(text[max(0, start - CONTEXT_CHARS) : start].lower())
-    return 0.5 + 0.3 * confirmed + 0.2 * (not CONTEXT[kind].isdisjoint(before))
+def _around(text: str, start: int, end: int):
+    """Words that lie, or begin or end, within ``CONTEXT_CHARS`` of a span; whole, unless longer than any word of context."""
+    first = max(0, start - CONTEXT_CHARS - _LONGEST - 1)
+    for m in _WORD.finditer(text[first:start]):
+        if m.end() + first > start - CONTEXT_CHARS:
+            yield m[0].lower()
+    for m in _WORD.finditer(text[end : end + CONTEXT_CHARS + _LONGEST + 1]):
+        if m.start() < CONTEXT_CHARS:
+            yield m[0].lower()
+
+
+def score(text: str, kind: str, start: int, end: int, confirmed: bool) -> float:
+    """0.5 for the pattern, 0.3 for a checksum, 0.2 for a word of its context shortly before or behind."""
+    return 0.5 + 0.3 * confirmed + 0.2 * (not CONTEXT[kind].isdisjoint(_around(text, start, end)))
 
 
 def spans(text: str) -> list:
     """(kind, start, end, score), base kinds in their order, then added ones, each by start."""
-    found = [(k, a, b, score(text, k, a, c)) for k, a, b, c in base_spans(text)]
+    found = [(k, a, b, score(text, k, a, b, c)) for k, a, b, c in base_spans(text)]
     taken = sorted((a, b) for _, a, b, _ in found)
     if _DIGIT.search(text):
         for k, a, b, c in _added(text):
-            s = score(text, k, a, c)
+            s = score(text, k, a, b, c)
             if s >= ADD_FROM - 1e-9 and not any(x < b and a < y for x, y in taken):
                 found.append((k, a, b, s))
     return found

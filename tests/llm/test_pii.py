@@ -69,3 +69,10 @@ def test_redacted_keeps_columns_and_masks_everything(make):
 
 def test_overlapping_spans_are_masked_once():
     assert pii.masked("ab12345cd", [("ip", 2, 5, 1), ("card", 4, 7, 1)]) == "ab<IP>cd"
+
+
+def test_context_behind_a_span_and_whole_words():
+    assert [s[0] for s in pii.spans("078-05-1120 (SSN)")] == ["ssn"] and [s[0] for s in pii.spans("555-123-4567 (mobile)")] == ["local"]
+    assert [s[0] for s in pii.spans("telefon " + "x " * 18 + "555-123-4567")] == ["local"]  # the window cuts the word
+    assert pii.spans("hotel " + ". " * 18 + " 555-123-4567") == []  # nor is "tel" a word of its own
+    assert pii.spans("555-123-4567" + " ." * 25 + " mobile") == [] and pii.spans("mobile" + " ." * 25 + " 555-123-4567") == []
