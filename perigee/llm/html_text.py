@@ -9,6 +9,12 @@ the label of its nearest decided neighbour in the same region, text if two are e
 differ; in a region without decided blocks, article elements hold text and others don't. On a
 page with an article element nothing outside of it is text.
 
+Where hardly any long block has enough stop words, the page's language is taken as unknown, and long
+blocks are text unless made of links. Without any long text outside articles, short blocks that
+aren't links are text if together they are long. A class or id doesn't remove an article (or main)
+that is the page's text: articles inside elements so named, or so named themselves, count only if
+fewer such names give no long text, so comments that are articles stay out beside the real one.
+
 Defined results. Null or empty html, or a page without text: an empty text. Unclosed comments,
 tags and elements run to the end of what encloses them. Null page_id or url: kept. Repeated
 rows are each extracted. An empty table gives an empty result. Extra columns are ignored. Pages
@@ -28,6 +34,8 @@ from pyspark.sql import functions as F
 SHORT = 70
 #: Share of stop words from which a long block is text.
 STOP_SHARE = 0.2
+#: Share of the long blocks' characters in blocks with enough stop words below which a page's language is unknown.
+KNOWN_SHARE = 0.1
 #: Share of a block's characters inside links from which it is boilerplate.
 LINK_SHARE = 0.5
 
@@ -41,6 +49,8 @@ _REGION = frozenset("article main".split())
 _NAMES = frozenset("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
                    "footer login masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo promoted related respond "
                    "reviews search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
+#: Words after which a name in a class or id tells how an element looks: "has-sidebar".
+_LOOKS = frozenset("has hide no with without".split())
 _ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 _STOP = frozenset((
     "a an and are as at be but by for from had has have he her his i in is it its not of on or she that the their they this to was we were which with you "
@@ -55,21 +65,33 @@ _WORD = re.compile(r"[^\W\d_]+")
 _NAME = re.compile(r"[a-z0-9]+")
 
 
-def _boilerplate(tag: str, attributes: str, in_region: bool) -> bool:
-    """Whether an element is marked up as something that is never article text."""
+def _named(value: str) -> bool:
+    """Whether a class or id holds a name of a region that is never article text."""
+    for one in value.split():
+        before = ""
+        for part in _NAME.findall(one):
+            if part in _NAMES and before not in _LOOKS:
+                return True
+            before = part
+    return False
+
+
+def _boilerplate(tag: str, attributes: str, in_region: bool) -> tuple[bool, bool]:
+    """Whether an element is marked up as something that is never article text, and whether it only has such a name."""
     if tag in _NEVER or (tag == "header" and not in_region):
-        return True
+        return True, False
     if not attributes:
-        return False
+        return False, False
+    named = False
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name in ("class", "id") and tag not in ("html", "body") and not _NAMES.isdisjoint(_NAME.findall(value)):
-            return True
+        if name in ("class", "id") and tag not in ("html", "body") and _named(value):
+            named = True
         if (name == "role" and value in _ROLES) or name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return True, False
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
+            return True, False
+    return False, named
 
 
 class _Blocks:
@@ -79,20 +101,32 @@ class _Blocks:
         self.blocks: list = []
         self.parts: list = []
         self.linked = 0
-        self.open: list = []  # (tag, region before, boilerplate before) of open elements that matter
+        self.named = 0  # open elements that have a name of boilerplate
+        self.depths = [0]  # of each region, how many of them enclose it
+        self.open: list = []  # (tag, region before, boilerplate before, named before) of open elements that matter
         self.places: dict = {}  # tag to its places in ``open``
         self.region = self.regions = self.links = 0
         self.never = False
         self.read(page)
         self.flush()
+        self.choose()
 
     def flush(self):
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.blocks.append((text, self.linked, self.region, self.never))
+                self.blocks.append((text, self.linked, self.region, self.never or self.named > self.depths[self.region]))
         self.parts, self.linked = [], 0
 
+    def choose(self):
+        """Regions inside more named elements than it takes to have long text are boilerplate."""
+        if not any(self.depths):
+            return
+        depths = [self.depths[b[2]] for b in self.blocks if not b[3] and (b[2] or _enough(b[0]))]
+        long = [self.depths[b[2]] for b in self.blocks if not b[3] and _first_pass(*b, False)]
+        most = min(long or depths, default=0)
+        self.blocks = [b if self.depths[b[2]] <= most else (b[0], b[1], 0, True) for b in self.blocks]
+
     def text(self, piece: str):
         if piece:
             piece = html.unescape(piece) if "&" in piece else piece
@@ -110,17 +144,19 @@ class _Blocks:
             self.links = 1
         if tag in _VOID or (tag not in _BLOCK and tag not in _NEVER and tag not in ("span", "ins", "center")):
             return
-        never = _boilerplate(tag, attributes, self.region > 0)
-        if never and tag not in _BLOCK:
+        never, named = _boilerplate(tag, attributes, self.region > 0)
+        if (never or named) and tag not in _BLOCK:
             self.flush()
-        if tag in ("p", "li", "tr") and not never:
+        if tag in ("p", "li", "tr") and not never and not named:
             return  # often left open; nothing depends on where they end
         self.places.setdefault(tag, []).append(len(self.open))
-        self.open.append((tag, self.region, self.never))
+        self.open.append((tag, self.region, self.never, self.named))
         self.never |= never
-        if tag in _REGION and not self.never and not self.region:
+        self.named += named
+        if tag in _REGION and not self.never and (not self.region or self.named > self.depths[self.region]):
             self.regions += 1
             self.region = self.regions
+            self.depths.append(self.named)
 
     def end(self, tag: str):
         if tag in _BLOCK:
@@ -131,10 +167,10 @@ class _Blocks:
         if not self.places.get(tag):
             return
         at = self.places[tag][-1]
-        _, region, never = self.open[at]
-        if never != self.never:
+        _, region, never, named = self.open[at]
+        if (never, named) != (self.never, self.named):
             self.flush()
-        self.region, self.never = region, never
+        self.region, self.never, self.named = region, never, named
         while len(self.open) > at:
             self.places[self.open.pop()[0]].pop()
 
@@ -178,6 +214,11 @@ class _Blocks:
                 self.start(tag, m[2])
 
 
+def _enough(text: str) -> bool:
+    words = _WORD.findall(text.lower())
+    return sum(w in _STOP for w in words) / max(1, len(words)) >= STOP_SHARE
+
+
 def _first_pass(text: str, linked: int, region: int, never: bool, has_region: bool) -> bool | None:
     if never or (has_region and not region):
         return False
@@ -185,9 +226,7 @@ def _first_pass(text: str, linked: int, region: int, never: bool, has_region: bo
         return False
     if len(text) < SHORT:
         return None
-    words = _WORD.findall(text.lower())
-    share = sum(w in _STOP for w in words) / max(1, len(words))
-    if share >= STOP_SHARE:
+    if _enough(text):
         return True
     return None if region else False
 
@@ -196,6 +235,14 @@ def labels(blocks: list) -> list:
     """Whether each block is text."""
     has_region = any(region for _, _, region, _ in blocks)
     first = [_first_pass(*b, has_region) for b in blocks]
+    if not has_region:
+        plain = [i for i, b in enumerate(blocks) if not b[3] and b[1] <= LINK_SHARE * len(b[0].replace(" ", ""))]
+        long = [i for i in plain if len(blocks[i][0]) >= SHORT]
+        size = lambda which: sum(len(blocks[i][0]) for i in which)
+        unknown = size(i for i in long if first[i]) < KNOWN_SHARE * size(long)
+        if unknown or (not long and size(plain) >= SHORT):
+            for i in long or plain:
+                first[i] = True
     out = list(first)
     decided: dict = {}
     before = []

@@ -48,3 +48,25 @@ def test_rows_and_long_pages(make):
 
 def test_closing_tags_find_their_element_at_any_depth():
     assert H.main_text(f"<nav>{'<div><span>' * 500}Menu</nav><article><p>{LONG}</article>") == LONG.strip()
+
+
+def test_other_languages_and_short_paragraphs():
+    italian = "Quando arrivammo al villaggio trovammo gli abitanti raccolti davanti alla chiesa, mentre le campane suonavano ancora."
+    russian = "Когда мы приехали в деревню, жители уже собрались перед церковью, и колокола всё ещё звонили над рекой."
+    for text in (italian, russian):
+        assert H.main_text(f"<div><p>{text}</p></div><p><a href=x>link link link</a></p>") == text
+    short = "".join(f"<p>Short paragraph {i}.</p>" for i in range(6))
+    assert H.main_text(short).count("\n") == 5
+    assert H.main_text(f"<p>{LONG * 2}</p><p><a href=x>link link</a></p><p>{ODD}</p>") == (LONG * 2).strip()
+
+
+def test_names_do_not_remove_the_article():
+    comments = f"<div class=comments><article class=comment><p>{LONG * 2}</p></article></div>"
+    for page in (
+        f"<div class='layout has-sidebar'><article><p>{LONG}</p></article></div>", f"<article class='post no-comments'><p>{LONG}</p></article>",
+        f"<div class=share><main><p>{LONG}</p></main></div>", f"<article class='post search'><p>{LONG}</p></article>",
+        f"<main><div class=sidebar><article><p>{LONG}</p></article></div></main>",
+        f"<article><p>{LONG}</p>{comments}</article>", f"<article><p>{LONG}</p></article>{comments}", f"<p>{LONG}</p>{comments}",
+        f"<div class=social><article><p>{LONG}</p>{comments}</article></div>",
+    ):
+        assert H.main_text(page) == LONG.strip(), page
