@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from perigee.llm import chat, decontamination, html_text, neighbours, ngram_join, packing, pii, token_counts, toxicity, warc
+from perigee.llm import chat, clustering, decontamination, html_text, neighbours, ngram_join, packing, pii, token_counts, toxicity, warc
 from perigee.llm.common import table
 from perigee.session import scratch_dir
 
@@ -121,6 +121,36 @@ def op10_nearest_neighbours(spark, sf_dir):
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), 100, 10)
 
 
+def op11_centroid_clustering(spark, sf_dir):
+    """Forty clusters of all embeddings after five rounds."""
+    return clustering.clustered(table(spark, sf_dir, "embeddings"))
+
+
+def _sql_op11(k: int = 40, rounds: int = 5) -> str:
+    """Rounds written out: distances by list functions, sums by component."""
+    parts = [
+        """e AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v AS m FROM (
+  SELECT sha256('2:' || CAST(vec_id AS VARCHAR)) AS h, v FROM e WHERE vec_id IS NOT NULL ORDER BY h, v LIMIT {k}))""",
+    ]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} AS MATERIALIZED (SELECT rid, min({{'d': list_sum(list_transform(list_zip(v, m), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), 'c': c}}) AS best
+  FROM e, c{r} GROUP BY rid)""")
+        if r < rounds:
+            parts.append(f"""s{r} AS (SELECT c, i, sum(x) AS total, count(*) AS n FROM (
+  SELECT a{r}.best.c AS c, unnest(v) AS x, unnest(range(64)) AS i FROM e JOIN a{r} USING (rid)) GROUP BY c, i)""")
+            parts.append(f"""c{r + 1} AS MATERIALIZED (SELECT c{r}.c, coalesce(w.m, c{r}.m) AS m FROM c{r} LEFT JOIN (
+  SELECT c, list(CAST((total - ((total % n) + n) % n) // n AS BIGINT) ORDER BY i) AS m FROM s{r} GROUP BY c) w ON w.c = c{r}.c)""")
+    last = f"a{rounds}"
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT e.vec_id, CAST({last}.best.c AS INTEGER) AS cluster, CAST({last}.best.d AS BIGINT) AS distance,
+  CAST(sum({last}.best.d) OVER (PARTITION BY {last}.best.c) AS BIGINT) AS cluster_inertia, CAST(sum({last}.best.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM e JOIN {last} USING (rid) JOIN c{rounds} ON c{rounds}.c = {last}.best.c
+"""
+
+
 _ESCAPED = "replace(replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '#', '&num;'), ':', '&colon;')"
 
 _SQL_OP8 = f"""
@@ -150,6 +180,7 @@ def queries():
         "op8_chat_formatting": op8_chat_formatting,
         "op9_token_counts": op9_token_counts,
         "op10_nearest_neighbours": op10_nearest_neighbours,
+        "op11_centroid_clustering": op11_centroid_clustering,
     }
 
 
@@ -158,4 +189,5 @@ def oracle_sql():
         "op4_ngram_jaccard_join": _SQL_OP4,
         "op6_warc": _SQL_OP6,
         "op8_chat_formatting": _SQL_OP8,
+        "op11_centroid_clustering": _sql_op11(),
     }
