@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from perigee.llm import chat, clustering, decontamination, html_text, neighbours, ngram_join, packing, pii, token_counts, toxicity, warc
+from perigee.llm import alignment, chat, clustering, decontamination, html_text, neighbours, ngram_join, packing, pii, token_counts, toxicity, warc
 from perigee.llm.common import table
 from perigee.session import scratch_dir
 
@@ -126,6 +126,12 @@ def op11_centroid_clustering(spark, sf_dir):
     return clustering.clustered(table(spark, sf_dir, "embeddings"))
 
 
+def op13_tokenizer_alignment(spark, sf_dir):
+    """Groups and links of two tokenizers over every document."""
+    paths = [public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.alignments(table(spark, sf_dir, "documents"), *paths)
+
+
 def _sql_op11(k: int = 40, rounds: int = 5) -> str:
     """Rounds written out: distances by list functions, sums by component."""
     parts = [
@@ -181,6 +187,7 @@ def queries():
         "op9_token_counts": op9_token_counts,
         "op10_nearest_neighbours": op10_nearest_neighbours,
         "op11_centroid_clustering": op11_centroid_clustering,
+        "op13_tokenizer_alignment": op13_tokenizer_alignment,
     }
 
 

@@ -69,5 +69,5 @@ def test_query_equals_its_sql(spark, name):
 
 def test_every_operator_is_registered():
     names = [n for n in contract.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 12)) and "pipeline" in contract.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in contract.queries()
     assert set(contract.oracle_sql()) <= set(contract.queries())
