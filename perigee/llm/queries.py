@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from perigee.llm import alignment, chat, clustering, decontamination, html_text, neighbours, ngram_join, packing, pii, token_counts, toxicity, warc
+from perigee.llm import alignment, chat, clustering, decontamination, html_text, neighbours, ngram_join, packing, pii, quality, token_counts, toxicity, warc
 from perigee.llm.common import table
 from perigee.session import scratch_dir
 
@@ -126,6 +126,12 @@ def op11_centroid_clustering(spark, sf_dir):
     return clustering.clustered(table(spark, sf_dir, "embeddings"))
 
 
+def op12_quality_classifier(spark, sf_dir):
+    """Quality of every document by dictionaries of labelled good and bad texts."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.scores(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op13_tokenizer_alignment(spark, sf_dir):
     """Groups and links of two tokenizers over every document."""
     paths = [public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
@@ -187,6 +193,7 @@ def queries():
         "op9_token_counts": op9_token_counts,
         "op10_nearest_neighbours": op10_nearest_neighbours,
         "op11_centroid_clustering": op11_centroid_clustering,
+        "op12_quality_classifier": op12_quality_classifier,
         "op13_tokenizer_alignment": op13_tokenizer_alignment,
     }
 
