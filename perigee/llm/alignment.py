@@ -32,6 +32,7 @@ import hashlib
 import json
 import os
 import re
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -110,17 +111,19 @@ class PieceTokens:
         return self.model.encode(texts, num_threads=1)
 
 
-def aligned(a: list, b: list, len_a, len_b) -> tuple[str, int, list]:
-    """Groups as text, their number, and the links of one window whose two sides cover the same bytes."""
+def aligned(a: list, b: list, len_a: list, len_b: list) -> tuple[list, list]:
+    """Groups, as (ids of A, ids of B), and links, as (id of A, id of B), of a window whose two sides cover the same bytes."""
+    if len(a) == len(b) == 1:
+        return [(a, b)], [(a[0], b[0])]
     groups, links, i, j, start_i, start_j = [], [], 0, 0, 0, 0
     end_a, end_b = len_a[a[0]], len_b[b[0]]
     while True:
         links.append((a[i], b[j]))
         if end_a == end_b:
-            groups.append(",".join(map(str, a[start_i : i + 1])) + "|" + ",".join(map(str, b[start_j : j + 1])))
+            groups.append((a[start_i : i + 1], b[start_j : j + 1]))
             i, j = i + 1, j + 1
             if i == len(a):
-                return ";".join(groups), len(groups), links
+                return groups, links
             start_i, start_j = i, j
             end_a, end_b = end_a + len_a[a[i]], end_b + len_b[b[j]]
         elif end_a < end_b:
@@ -139,24 +142,22 @@ class Aligner:
         self.sizes = [np.array([len(t) for t in side.bytes], np.int64) for side in (self.a, self.b)]
         self.lengths = [s.tolist() for s in self.sizes]
         self.spaced = [np.array([t[:1] == b" " for t in side.bytes]) for side in (self.a, self.b)]
-        self.width = len(self.a.bytes)
+        self.names = [[str(i) for i in range(len(side.bytes))] for side in (self.a, self.b)]
+        self.width, self.height = len(self.a.bytes), len(self.b.bytes)
+        self.kind = np.dtype("<u2" if max(self.width, self.height) < 1 << 16 else "<u4")
         self.forget()
 
     def forget(self) -> None:
         self.known: dict = {}
         self.text: list = []
-        self.groups: list = []
-        self.codes: list = []  # arrays
-        self.met = np.zeros(0, np.int64)
+        # of each window: groups, where its codes start, their number, and how often it was met
+        self.groups, self.start, self.size, self.met, self.codes = (np.zeros(0, np.int64) for _ in range(5))
 
     def sums(self) -> tuple[np.ndarray, np.ndarray]:
         """Codes and numbers of the links of all windows met since the last :meth:`forget`, which follows."""
-        if not self.codes:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        sizes = np.array([len(c) for c in self.codes])
-        codes, at = np.unique(np.concatenate(self.codes), return_inverse=True)
+        codes, at = np.unique(self.codes, return_inverse=True)
         n = np.zeros(len(codes), np.int64)
-        np.add.at(n, at, np.repeat(self.met, sizes))
+        np.add.at(n, at, np.repeat(self.met, self.size))
         self.forget()
         return codes, n
 
@@ -176,51 +177,62 @@ class Aligner:
             out_b.append(b)
         return out_a, out_b
 
-    def window(self, a: np.ndarray, b: np.ndarray) -> int:
-        text, n, links = aligned(a.tolist(), b.tolist(), *self.lengths)
-        pairs = np.array(links, np.int64)
-        self.text.append(text)
-        self.groups.append(n)
-        self.codes.append(pairs[:, 1] * self.width + pairs[:, 0])
-        return len(self.text) - 1
+    def learn(self, keys: list, numbers: list, a: list, b: list, cut_a: list, cut_b: list) -> None:
+        """Aligns the windows whose number is still None, and fills it in."""
+        known, text, width = self.known, self.text, self.width
+        names_a, names_b = self.names
+        groups, size, codes = [], [], []
+        for k in [k for k, w in enumerate(numbers) if w is None]:
+            w = known.get(keys[k])
+            if w is None:
+                w = len(text)
+                found, links = aligned(a[cut_a[k] : cut_a[k + 1]], b[cut_b[k] : cut_b[k + 1]], *self.lengths)
+                text.append(";".join([",".join([names_a[i] for i in x]) + "|" + ",".join([names_b[i] for i in y]) for x, y in found]))
+                groups.append(len(found))
+                size.append(len(links))
+                codes += [j * width + i for i, j in links]
+                if cut_a[k + 1] - cut_a[k] <= LONG and cut_b[k + 1] - cut_b[k] <= LONG:
+                    known[keys[k]] = w
+            numbers[k] = w
+        size = np.array(size, np.int64)
+        grown = {"groups": np.array(groups, np.int64), "start": len(self.codes) + np.cumsum(size) - size, "size": size, "met": np.zeros(len(size), np.int64), "codes": np.array(codes, np.int64)}
+        for name, more in grown.items():
+            setattr(self, name, np.concatenate([getattr(self, name), more]))
 
     def documents(self, texts: list[str]) -> dict:
         """Figures, digests and links of some documents; their windows are met."""
         lists = self.tokens(texts)
         counts = [np.array([len(x) for x in side], np.int64) for side in lists]
-        ids = [np.array([i for x in side for i in x], np.int64) for side in lists]
+        flat = [list(chain.from_iterable(side)) for side in lists]
+        ids = [np.array(x, np.int64) for x in flat]
         starts = [np.cumsum(s := size[i]) - s for size, i in zip(self.sizes, ids, strict=True)]
         marks = [np.flatnonzero(spaced[i]) for spaced, i in zip(self.spaced, ids, strict=True)]
         # verified shared ends: a token of either side starts with a space at the same byte
         _, at_a, at_b = np.intersect1d(starts[0][marks[0]], starts[1][marks[1]], assume_unique=True, return_indices=True)
-        cut_a, cut_b = ([*m[at].tolist(), len(i)] for m, at, i in zip(marks, (at_a, at_b), ids, strict=True))
-        packed = [i.astype("<u4").tobytes() for i in ids]
-        known, numbers = self.known, []
-        for k in range(len(cut_a) - 1):
-            a0, a1, b0, b1 = cut_a[k], cut_a[k + 1], cut_b[k], cut_b[k + 1]
-            key = (packed[0][4 * a0 : 4 * a1], packed[1][4 * b0 : 4 * b1])
-            w = known.get(key)
-            if w is None:
-                w = self.window(ids[0][a0:a1], ids[1][b0:b1])
-                if a1 - a0 <= LONG and b1 - b0 <= LONG:
-                    known[key] = w
-            numbers.append(w)
-        numbers = np.array(numbers, np.int64)
-        if len(self.text) > len(self.met):
-            self.met = np.concatenate([self.met, np.zeros(len(self.text) - len(self.met), np.int64)])
-        np.add.at(self.met, numbers, 1)
+        cut_a, cut_b = (np.append(m[at], len(i)) for m, at, i in zip(marks, (at_a, at_b), ids, strict=True))
+        # a window's key: its ids of A, a mark, its ids of B
+        n = len(cut_a) - 1
+        own_a, own_b = np.repeat(np.arange(n), np.diff(cut_a)), np.repeat(np.arange(n), np.diff(cut_b))
+        packed = np.full(len(ids[0]) + len(ids[1]) + n, np.iinfo(self.kind).max, self.kind)
+        packed[np.arange(len(ids[0])) + cut_b[own_a] + own_a] = ids[0]
+        packed[np.arange(len(ids[1])) + cut_a[own_b + 1] + own_b + 1] = ids[1]
+        packed, edges = packed.tobytes(), ((cut_a + cut_b + np.arange(n + 1)) * self.kind.itemsize).tolist()
+        keys = [packed[start:stop] for start, stop in pairwise(edges)]
+        numbers = list(map(self.known.get, keys))
+        self.learn(keys, numbers, *flat, cut_a.tolist(), cut_b.tolist())
+        met = np.array(numbers, np.int64)
+        self.met += np.bincount(met, minlength=len(self.met))
         # documents start at an anchor, as both sides start with a space
-        first = np.searchsorted(np.array(cut_a[:-1], np.int64), np.concatenate([[0], np.cumsum(counts[0])]))
-        groups = np.concatenate([[0], np.cumsum(np.array(self.groups, np.int64)[numbers] if len(numbers) else [])]).astype(np.int64)
-        chosen = [self.codes[w] for w in numbers]
-        sizes = np.array([len(c) for c in chosen], np.int64)
-        links = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        first = np.searchsorted(cut_a[:-1], np.concatenate([[0], np.cumsum(counts[0])]))
+        groups = np.concatenate([[0], np.cumsum(self.groups[met])])
+        size = self.size[met]
+        links = np.concatenate([[0], np.cumsum(size)])
+        codes = self.codes[np.repeat(self.start[met] - links[:-1], size) + np.arange(links[-1])]
         digests = []
-        for start, stop in zip(first[:-1], first[1:], strict=True):
+        for start, stop in pairwise(first.tolist()):
             digests.append(hashlib.sha256(";".join([self.text[w] for w in numbers[start:stop]]).encode()).hexdigest() if stop > start else "")
         n_links = links[first[1:]] - links[first[:-1]]
-        every = self.width * len(self.b.bytes)
-        codes = np.concatenate(chosen) if chosen else np.zeros(0, np.int64)
+        every = self.width * self.height
         keyed, times = np.unique(np.repeat(np.arange(len(texts)), n_links) * every + codes, return_counts=True)
         offsets = np.searchsorted(keyed // every, np.arange(len(texts) + 1))
         return {
