@@ -1,25 +1,27 @@
 """Jaccard self-join of documents over word n-grams, with prefix filters under several orders.
 
 Two sets that are similar enough share a token among the first few of each, whatever order all
-sets are sorted by. Three global orders are used at once: by frequency (frequent last), by
-ascending hash and by descending hash. Buckets of the first order propose pairs; a pair must
-then also share a prefix token under the other two; only then are whole sets compared, exactly.
+sets are sorted by. Three global orders are used at once: by frequency (frequent last), and by two
+hashes of the tokens. Buckets of the first order propose pairs; a pair must then also share a
+prefix token under the other two; only then are whole sets compared.
 
 1. Documents with equal sets form a class; classes are what is joined.
 2. How frequent a token is comes from a sketch of fixed size that counts the tokens of all
    documents. Any function of the token gives a valid order, so only speed depends on it.
-3. In a bucket of a rare token all pairs are proposed whose sizes, positions and parity bitmaps
-   allow the required overlap: every token that only one of two sets has flips one bit, so more
-   differing bits than tokens may differ rule a pair out. In a bucket of a frequent token,
-   members pair with the bucket's leader, the member in which that token stands first, so a
-   group of near copies costs its size, not its square.
+3. In a bucket of up to ``BUCKET`` members all pairs are proposed whose sizes, positions and parity
+   bitmaps allow the required overlap: every token that only one of two sets has flips one bit, so
+   more differing bits than tokens may differ rule a pair out. In a larger bucket, members pair
+   with the bucket's leader, the member in which that token stands first, so a group of near copies
+   costs its size, not its square.
 4. For every class one proposed pair is compared first, and components are formed from the
-   links. Then follow the proposed pairs between components, and members of frequent buckets
-   that are not in their leader's component, paired with all members of other components. Pairs
-   inside a component can't change it, so no link that matters is lost.
+   links. Then follow the proposed pairs between components, and the members of large buckets
+   that are not in their leader's component: blocks of them meet blocks of all members, and only
+   pairs of different components whose wide parities allow a link leave the task. Pairs inside a
+   component can't change it, so no link that matters is lost.
 
 Tokens are 64-bit hashes of n-grams and a class is known by a 64-bit hash of its set; two of
-10**8 different sets get the same hash with probability 0.0003.
+10**8 different sets get the same hash with probability 0.0003. Whole sets are compared by the upper
+48 bits of their tokens, see :func:`_packed`.
 
 Defined results. Null or blank text: no n-grams, linked with nothing. Fewer words than n: the
 whole sequence is the one n-gram. Null doc_id: the row is kept; its component is the smallest
@@ -52,9 +54,17 @@ PARITY = [f"p{i}" for i in range(6)]
 WIDE_PARITY = 2048
 #: Rows of one frequent token that go to one task while buckets are looked through.
 ROWS_PER_SALT = 1 << 16
-#: Size of the filter of ids by which documents are chosen for comparison where they lie, as a
-#: power of two: 2 MB broadcast. It only saves work; ids it lets through wrongly are joined away.
-FILTER_BITS = 24
+#: Members up to which a bucket is compared all with all at once; larger ones go by their leader first.
+BUCKET = 64
+#: Members of a large bucket on either side of one block, and pairs looked at together.
+SIDE = 2048
+CELLS = 1 << 17
+#: Least and largest size of the filter of ids by which documents are chosen for comparison where
+#: they lie, as powers of two: 32 MB broadcast at most, eight places an id up to 32 M ids. It only
+#: saves work; ids it lets through wrongly are joined away.
+FILTER_BITS = (20, 28)
+#: Seeds of the hashes by which the second and third order sort tokens.
+ORDERS = (11, 12)
 
 
 def token_sets(texts: list, n: int):
@@ -104,6 +114,14 @@ def _parity(tokens: np.ndarray, places: int) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def _prefix(tokens: np.ndarray, p: int, seed: int) -> np.ndarray:
+    """The first p tokens by a hash of their own, as 32 bits of it."""
+    hashed = mix64(tokens, seed)
+    if p < len(hashed):
+        hashed = np.partition(hashed, p - 1)[:p]
+    return hashed.astype(np.uint32).view(np.int32)
+
+
 def _signatures(n: int, num: int, den: int):
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sid", pa.int64()), ("low", pa.list_(pa.int32())), ("high", pa.list_(pa.int32()))]
                        + [(p, pa.int64()) for p in PARITY] + [("wide", pa.list_(pa.int64())), ("block", pa.int32()), ("counts", pa.binary())])
@@ -117,8 +135,7 @@ def _signatures(n: int, num: int, den: int):
                 sid = set_id(s) if len(s) else None
                 new = sid is not None and sid not in seen
                 p = prefix_length(len(s), num, den)
-                fold = s.astype(np.uint32).view(np.int32)
-                for c, v in zip(schema.names, (doc_id, len(s), sid, fold[:p] if new else None, fold[-p:] if new else None,
+                for c, v in zip(schema.names, (doc_id, len(s), sid, *(_prefix(s, p, seed) if new else None for seed in ORDERS),
                                                *(_parity(s, 64 * len(PARITY)).tolist() if new else [None] * len(PARITY)),
                                                _parity(s, WIDE_PARITY) if new else None, None, None), strict=True):
                     rows[c].append(v)
@@ -170,17 +187,13 @@ def _postings(n: int, num: int, den: int, frequent):
                 seen.add(sid)
                 p = prefix_length(len(s), num, den)
                 level = sketch[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-                hot = level >= often
-                rare = s[~hot][:p]
-                salt = np.full(len(rare), -1, np.int32)
-                if len(rare) < p:
-                    level = level[hot]
-                    order = np.lexsort((s[hot], level))[: p - len(rare)]
-                    rare = np.concatenate([rare, s[hot][order]])
-                    split = level[order].astype(np.int64) // ROWS_PER_SALT + 1
-                    salt = np.concatenate([salt, np.where(split > 1, 1 + sid % split, 0).astype(np.int32)])
-                k = len(rare)
-                for x, v in zip(out, (rare.view(np.int64), salt, np.full(k, sid, np.int64), np.arange(k, dtype=np.int32)), strict=True):
+                # by counted frequency, then by hash: s ascends, and sorting keeps equal ones in place
+                within = np.flatnonzero(level <= np.partition(level, p - 1)[p - 1])
+                first = within[np.argsort(level[within], kind="stable")[:p]]
+                split = level[first].astype(np.int64) // ROWS_PER_SALT + 1
+                salt = np.where(level[first] < often, -1, np.where(split > 1, 1 + sid % split, 0)).astype(np.int32)
+                k = len(first)
+                for x, v in zip(out, (s[first].view(np.int64), salt, np.full(k, sid, np.int64), np.arange(k, dtype=np.int32)), strict=True):
                     x.append(v)
                 rows += k
                 if rows > 200_000:
@@ -221,6 +234,98 @@ def _shared(batches):
             yield from part.filter(pa.array(live)).combine_chunks().to_batches()
 
 
+class _Members:
+    """Postings as arrays, and which pairs of them may be linked and are not proposed in an earlier bucket."""
+
+    def __init__(self, table: pa.Table, num: int, den: int, parity):
+        take = lambda c: table[c].to_numpy()
+        self.token, self.sid, self.n, self.pos = take("token"), take("sid"), take("n"), take("pos").astype(np.int64)
+        previous = table["previous"]
+        self.first, self.previous = previous.is_null().to_numpy(), previous.fill_null(0).to_numpy()
+        self.num, self.den = num, den
+        if isinstance(parity, str):
+            flat = table[parity].combine_chunks()
+            self.parity = flat.flatten().to_numpy().reshape(table.num_rows, -1)
+        else:
+            self.parity = np.column_stack([take(c) for c in parity])
+
+    def may_link(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        both = self.n[i] + self.n[j]
+        most = np.minimum(self.n[i] - self.pos[i], self.n[j] - self.pos[j])
+        fits = most * (self.num + self.den) >= both * self.num
+        fits &= (self.previous[i] != self.previous[j]) | self.first[i] | self.first[j]
+        i, j, both = i[fits], j[fits], both[fits]
+        differ = np.bitwise_count(self.parity[i] ^ self.parity[j]).sum(axis=1, dtype=np.int64)
+        fits = (both - differ) * (self.num + self.den) >= both * (2 * self.num)
+        return i[fits], j[fits]
+
+
+_PAIR = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+
+def _pairs_of(members: _Members, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+    a, b = members.sid[i], members.sid[j]
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], schema=_PAIR)
+
+
+def _whole_groups(batches, key: str):
+    """The rows of a sorted partition in tables that never cut a group of equal keys."""
+    kept = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        part = pa.Table.from_batches([batch])
+        if kept is not None:
+            part = pa.concat_tables([kept, part])
+        values = part[key].to_numpy()
+        last = int(np.searchsorted(values == values[-1], True))  # where the last group starts, as it may go on
+        kept = part.slice(last)
+        if last:
+            yield part.slice(0, last).combine_chunks()
+    if kept is not None:
+        yield kept.combine_chunks()
+
+
+def _near(num: int, den: int):
+    """Of buckets of up to ``BUCKET`` members, sorted by token, all pairs that may be linked."""
+
+    def run(batches):
+        for table in _whole_groups(batches, "token"):
+            members = _Members(table, num, den, PARITY)
+            start = np.arange(len(members.token))
+            step = 1
+            while len(start):  # pairs of rows that lie step apart in one bucket
+                start = start[start + step < len(members.token)]
+                start = start[members.token[start] == members.token[start + step]]
+                for at in range(0, len(start), CELLS):
+                    i = start[at : at + CELLS]
+                    yield _pairs_of(members, *members.may_link(i, i + step))
+                step += 1
+
+    return run
+
+
+def _across(num: int, den: int):
+    """Of blocks of a large bucket: pairs of a member left of the block and one right of it, in different components."""
+
+    def run(batches):
+        for table in _whole_groups(batches, "block"):
+            members = _Members(table, num, den, "wide")
+            root, head, left, block = (table[c].to_numpy(zero_copy_only=False) for c in ("root", "head", "is_left", "block"))
+            edges = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]]))
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                x, y = a + np.flatnonzero(left[a:b]), a + np.flatnonzero(~left[a:b])
+                rows = max(1, CELLS // max(1, len(y)))
+                for at in range(0, len(x), rows):
+                    i = np.repeat(x[at : at + rows], len(y))
+                    j = np.tile(y, len(x[at : at + rows]))
+                    # both may stand outside the leader's component: then each is left of the other once
+                    apart = (root[i] != root[j]) & ((root[j] == head[j]) | (members.sid[i] < members.sid[j]))
+                    yield _pairs_of(members, *members.may_link(i[apart], j[apart]))
+
+    return run
+
+
 def _packed(tokens: np.ndarray) -> bytes:
     """Tokens by their upper 48 bits, six bytes each. Two sets of 1 000 tokens show a wrong common one once in 10**8 pairs."""
     return np.ascontiguousarray(tokens.view(np.uint8).reshape(-1, 8)[:, 2:]).tobytes()
@@ -242,19 +347,23 @@ def _overlaps(batches):
         yield pa.RecordBatch.from_arrays([u, v, pa.array([len(x) for x in a], pa.int64()), pa.array([len(x) for x in b], pa.int64()), pa.array(common, pa.int64())], schema=schema)
 
 
-def _places(ids: np.ndarray) -> np.ndarray:
-    return (mix64(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+def _places(ids: np.ndarray, size: int) -> np.ndarray:
+    return (mix64(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - size)).astype(np.int64)
 
 
-def _marked(batches):
+def _marked(size: int):
     """For the filter of ids: words of 63 bits with the bits of the ids that are not null."""
     schema = pa.schema([("word", pa.int64()), ("bits", pa.int64())])
-    for batch in batches:
-        at = _places(batch.column("id").drop_null().to_numpy(zero_copy_only=False))
-        yield pa.RecordBatch.from_arrays([pa.array(at // 63), pa.array(np.int64(1) << (at % 63))], schema=schema)
+
+    def run(batches):
+        for batch in batches:
+            at = _places(batch.column("id").drop_null().to_numpy(zero_copy_only=False), size)
+            yield pa.RecordBatch.from_arrays([pa.array(at // 63), pa.array(np.int64(1) << (at % 63))], schema=schema)
+
+    return run
 
 
-def _sets(n: int, wanted):
+def _sets(n: int, wanted, size: int):
     """The sets of the documents whose ids the filter lets through, and of those without an id."""
     schema = pa.schema([("doc_id", pa.int64()), ("found", pa.int64()), ("tokens", pa.binary())])
 
@@ -262,7 +371,7 @@ def _sets(n: int, wanted):
         bits = wanted.value
         for batch in batches:
             ids = batch.column("doc_id")
-            at = _places(ids.fill_null(0).to_numpy(zero_copy_only=False))
+            at = _places(ids.fill_null(0).to_numpy(zero_copy_only=False), size)
             passes = (bits[at // 63] >> (at % 63)) & 1 == 1
             batch = batch.filter(pa.array(passes | ids.is_null().to_numpy(zero_copy_only=False)))  # few are left
             ids, texts = batch.column("doc_id").to_pylist(), [t or "" for t in batch.column("text").to_pylist()]
@@ -332,11 +441,13 @@ class _Join:
     def sets_of(self, sids: DataFrame, classes: DataFrame) -> DataFrame:
         need = classes.join(sids.distinct(), "sid", "left_semi").select("sid", F.col("first_id").alias("id"))
         need = stored(need, "ngram-needed")
-        marked = need.mapInArrow(_marked, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-        bits = np.zeros((1 << FILTER_BITS) // 63 + 1, np.int64)
+        size = min(max(8 * need.count(), 1).bit_length(), FILTER_BITS[1])
+        size = max(size, FILTER_BITS[0])
+        marked = need.mapInArrow(_marked(size), "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+        bits = np.zeros((1 << size) // 63 + 1, np.int64)
         bits[marked.column("word").to_numpy()] = marked.column("bits").to_numpy()
         wanted = self.spark.sparkContext.broadcast(bits)
-        found = self.docs.mapInArrow(_sets(self.n, wanted), "doc_id long, found long, tokens binary")
+        found = self.docs.mapInArrow(_sets(self.n, wanted, size), "doc_id long, found long, tokens binary")
         back = found.join(need, found["found"] == need["sid"]).where(F.col("doc_id").eqNullSafe(F.col("id")))
         return stored(back.select("sid", "tokens").dropDuplicates(["sid"]), "ngram-sets", release=True)
 
@@ -348,14 +459,12 @@ class _Join:
         # the shared token before: two sets with the same one are proposed there already
         previous = F.lag("token").over(Window.partitionBy("sid").orderBy("pos", "token"))
         live = stored(live.join(parity, "sid").withColumn("previous", previous), "ngram-postings", release=True)
-        rare, often = live.where("salt < 0"), live.where("salt >= 0")
-        same = (F.col("x.token") == F.col("y.token")) & ~F.coalesce(F.col("x.previous") == F.col("y.previous"), F.lit(False))
-        led_by = F.col("x.token") == F.col("y.token")
-        x, y = rare.alias("x"), rare.alias("y")
-        near = self.pairs(x.join(y, same & (F.col("x.sid") < F.col("y.sid")) & self.feasible("x", "y")))
-        lead = often.groupBy("token").agg(F.min(F.struct("pos", "n", "sid", *PARITY)).alias("lead")).select("token", "lead.*")
+        large = stored(live.groupBy("token").count().where(F.col("count") > BUCKET), "ngram-large")
+        rare, often = live.join(large, "token", "left_anti"), live.join(large.select("token"), "token")
+        near = rare.repartition("token").sortWithinPartitions("token").mapInArrow(_near(self.num, self.den), "u long, v long")
+        lead = stored(often.groupBy("token").agg(F.min(F.struct("pos", "n", "sid", *PARITY)).alias("lead")).select("token", "lead.*"), "ngram-leaders")
         x, y = often.alias("x"), lead.alias("y")
-        led = self.pairs(x.join(y, led_by & (F.col("x.sid") != F.col("y.sid")) & self.feasible("x", "y")))
+        led = self.pairs(x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.sid") != F.col("y.sid")) & self.feasible("x", "y")))
         proposed = stored(self.agree(near.unionByName(led).distinct()), "ngram-pairs")
         first = stored(proposed.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"), "ngram-first")
         links = stored(self.linked(first, classes), "ngram-links", release=True)
@@ -363,15 +472,32 @@ class _Join:
         of = lambda name: root.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
         between = proposed.join(of("u"), "u", "left").join(of("v"), "v", "left")
         between = between.where(F.coalesce("root_u", "u") != F.coalesce("root_v", "v")).select("u", "v")
-        rooted = lambda rows: rows.join(of("sid"), "sid", "left").withColumn("root", F.coalesce("root_sid", "sid")).drop("root_sid")
-        heads = rooted(lead.select("token", "sid")).select("token", F.col("root").alias("head"))
-        marked = stored(rooted(often).join(heads, "token"), "ngram-frequent")
-        x, y = marked.where("root <> head").alias("x"), marked.alias("y")
-        apart = (F.col("x.root") != F.col("y.root")) & ((F.col("y.root") == F.col("y.head")) | (F.col("x.sid") < F.col("y.sid")))
-        rest = self.agree(self.pairs(x.join(y, same & apart & self.feasible("x", "y"))).join(proposed, ["u", "v"], "left_anti"))
-        rest = stored(rest.unionByName(between).join(first, ["u", "v"], "left_anti"), "ngram-rest", release=True)
+        rest = self.agree(self.strays(often, lead, of("sid")).distinct())
+        rest = stored(rest.unionByName(between).distinct().join(first, ["u", "v"], "left_anti"), "ngram-rest", release=True)
         return links.unionByName(self.linked(rest, classes))
 
+    def strays(self, often: DataFrame, lead: DataFrame, roots: DataFrame) -> DataFrame:
+        """Pairs that may be linked of a large bucket's members outside its leader's component with all members of other components.
+
+        The members outside (left) and all members (right) are dealt into parts of about ``SIDE``;
+        each part of one meets each of the other in a block, whose wide parities are compared as
+        matrices. Only pairs that pass leave the block.
+        """
+        rooted = lambda rows: rows.join(roots, "sid", "left").withColumn("root", F.coalesce("root_sid", "sid")).drop("root_sid")
+        heads = rooted(lead.select("token", "sid")).select("token", F.col("root").alias("head"))
+        marked = stored(rooted(often.select("token", "sid", "pos", "previous")).join(heads, "token"), "ngram-frequent")
+        outside = F.col("root") != F.col("head")
+        sizes = marked.groupBy("token").agg(F.ceil(F.count_if(outside) / SIDE).cast("int").alias("lefts"), F.ceil(F.count(F.lit(1)) / SIDE).cast("int").alias("rights"))
+        marked = marked.join(stored(sizes.where("lefts > 0"), "ngram-blocks"), "token")
+        part = lambda seed, n: F.pmod(F.xxhash64("sid", F.lit(seed)), F.col(n)).cast("int")
+        each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        left = marked.where(outside).withColumn("i", part(1, "lefts")).withColumn("j", each("rights")).withColumn("is_left", F.lit(True))
+        right = marked.withColumn("j", part(2, "rights")).withColumn("i", each("lefts")).withColumn("is_left", F.lit(False))
+        known = self.signed.where("low is not null").select("sid", "n", "wide").dropDuplicates(["sid"])
+        rows = left.unionByName(right).join(known, "sid").withColumn("block", F.xxhash64("token", "i", "j"))
+        rows = rows.select("block", "token", "sid", "n", "pos", "previous", "root", "head", "is_left", "wide")
+        return rows.repartition("block").sortWithinPartitions("block").mapInArrow(_across(self.num, self.den), "u long, v long")
+
 
 def ngram_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -> DataFrame:
     """doc_id, n_shingles, component_id of every document of ``docs`` (doc_id, text).

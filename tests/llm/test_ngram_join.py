@@ -51,6 +51,8 @@ def near_copies(seed):
 @pytest.mark.parametrize(("seed", "rule", "often", "salt"), [(1, (4, 85, 100), 8, 1 << 16), (2, (5, 80, 100), 3, 20)])
 def test_equals_all_pairs(make, monkeypatch, seed, rule, often, salt):
     monkeypatch.setattr(ngram_join, "FREQUENT_FROM", often)
+    monkeypatch.setattr(ngram_join, "BUCKET", often)
+    monkeypatch.setattr(ngram_join, "SIDE", salt)
     monkeypatch.setattr(ngram_join, "ROWS_PER_SALT", salt)
     rows = near_copies(seed)
     got = [tuple(r) for r in ngram_join.ngram_components(make(rows, SCHEMA), *rule).collect()]
