@@ -1,8 +1,15 @@
 """A corpus in five stages: toxicity, near duplicates, decontamination, personal data, packing.
 
 Every stage works on all rows that its predecessor kept and returns the columns of documents;
-the last returns the packed pieces. Rows without a doc_id can't be named by a decision about
-duplicates and stay.
+the last returns the packed pieces.
+
+Defined results. Null and empty texts pass all filters: they are neither toxic nor copies nor hold
+a passage. Null doc_id: such rows are decided on like others; of copies without a doc_id one stays.
+Repeated rows: one stays, if they have words. A doc_id on rows with different texts: each text is
+decided on by itself, and of near copies under one doc_id one stays. Ties: of near copies the smallest
+doc_id stays. Texts are used whole, whatever their length. Empty tables give an empty result;
+without labels nothing is toxic. Extra columns are kept by all stages but the last, which returns
+its own.
 """
 
 from __future__ import annotations
@@ -21,15 +28,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group of near duplicates: five-word shingles, similarity 0.8 or more."""
-    found = stored(ngram_join.ngram_components(docs, 5, 80, 100), "pipeline-groups")
-    # stored, so that Spark knows its size before it plans the join
-    others = stored(found.where("component_id < doc_id").select("doc_id").distinct(), "pipeline-others", release=True)
-    kept = docs.join(others, "doc_id", "left_anti")
-    repeated = stored(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "pipeline-repeated")
-    if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(once)
+    return ngram_join.without_near_duplicates(docs, 5, 80, 100)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

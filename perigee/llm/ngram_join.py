@@ -38,6 +38,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from perigee.llm.common import chunks_by_length, mix64, stored
@@ -499,17 +500,77 @@ class _Join:
         return rows.repartition("block").sortWithinPartitions("block").mapInArrow(_across(self.num, self.den), "u long, v long")
 
 
-def ngram_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document of ``docs`` (doc_id, text).
+def ngram_groups(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -> DataFrame:
+    """Every row of ``docs`` (doc_id, text) as doc_id, n_shingles, component_id, sid (class, null without n-grams), stays.
 
     Documents link when den * intersection >= num * union of their n-gram sets; component_id is
-    the smallest doc_id reachable by links.
+    the smallest doc_id reachable by links. Of each component stay the rows of one doc_id and
+    class: the smallest doc_id, null last, and of its classes the smallest.
     """
     join = _Join(docs, n, num, den)
     classes = stored(join.signed.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("first_id")), "ngram-classes")
     root = components(join.links(classes))
     linked = classes.join(root.select(F.col("node").alias("sid"), "root"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    smallest = linked.groupBy("root").agg(F.min("first_id").alias("component"))
-    of_class = linked.join(smallest, "root").select("sid", "component")
+    smallest = linked.groupBy("root").agg(
+        F.min("first_id").alias("component"), F.min(F.struct(F.col("first_id").isNull().alias("unnamed"), "first_id", "sid")).alias("first")
+    )
+    of_class = linked.join(smallest, "root").select("sid", "component", "first_id", (F.col("first.sid") == F.col("sid")).alias("leads"))
     rows = join.signed.select("doc_id", "n", "sid").join(of_class, "sid", "left")
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
+    alone = F.col("sid").isNull()
+    return rows.select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
+        "sid", (alone | (F.col("leads") & F.col("doc_id").eqNullSafe(F.col("first_id")))).alias("stays"),
+    )
+
+
+def ngram_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -> DataFrame:
+    """doc_id, n_shingles, component_id of every document of ``docs`` (doc_id, text)."""
+    return ngram_groups(docs, n, num, den).select("doc_id", "n_shingles", "component_id")
+
+
+def _with_class(n: int, text: int, schema):
+    """Rows with the class of their text as one more column."""
+
+    def run(batches):
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        wanted = to_arrow_schema(schema)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                sets = token_sets([t or "" for t in part.column(text).to_pylist()], n)
+                sids = pa.array([set_id(s) if len(s) else None for s in sets], pa.int64())
+                yield pa.RecordBatch.from_arrays([*part.columns, sids], names=wanted.names)
+
+    return run
+
+
+def without_near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of ``docs`` that stay when one document of each component is kept, with all their columns.
+
+    A doc_id that stands once names its row, so its decision is one on the doc_id. Rows without a
+    doc_id, or whose doc_id stands on several rows, are told apart by the class of their text: of
+    those with equal doc_id and class one stays, if that class leads its component. Rows without
+    n-grams are no copies of anything and all stay.
+    """
+    found = stored(ngram_groups(docs, n, num, den), "near-groups")
+    named = found.where("doc_id is not null")
+    repeated = stored(named.groupBy("doc_id").count().where("count > 1").select("doc_id"), "near-repeated")
+    # stored, so that Spark knows their size before it plans the joins
+    others = stored(named.where("not stays").select("doc_id").join(repeated, "doc_id", "left_anti"), "near-others", release=True)
+    kept = docs.where("doc_id is not null").join(others, "doc_id", "left_anti")
+    if repeated.isEmpty() and found.where("doc_id is null").isEmpty():
+        return kept.select(docs.columns)
+    kept = kept.join(repeated, "doc_id", "left_anti").select(docs.columns)
+    several = docs.where("doc_id is null").unionByName(docs.join(repeated, "doc_id", "left_semi").select(docs.columns))
+    sid = "class_of_text"
+    while sid in docs.columns:
+        sid += "_"
+    schema = T.StructType([*docs.schema.fields, T.StructField(sid, T.LongType())])
+    several = several.mapInArrow(_with_class(n, docs.columns.index("text"), schema), schema)
+    blank = several.where(F.col(sid).isNull()).select(docs.columns)
+    lead = found.where("stays and sid is not null").select(F.col("doc_id").alias("lead_id"), F.col("sid").alias("lead_sid")).distinct()
+    several = several.join(lead, F.col("doc_id").eqNullSafe(F.col("lead_id")) & (F.col(sid) == F.col("lead_sid")), "left_semi")
+    row = F.struct(*docs.columns)
+    one = several.groupBy("doc_id", sid).agg(F.min_by(row, F.sha2(F.to_json(row), 256)).alias("row")).select("row.*")
+    return kept.unionByName(blank).unionByName(one)

@@ -74,3 +74,50 @@ def test_components_of_chains_stars_and_loops(spark):
     links = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 140)] + [(200, 200), (7, 7), (139, 300), (None, 3)]
     got = dict(components(spark.createDataFrame(links, "u long, v long")).collect())
     assert got == {i: 0 for i in range(51)} | {i: 100 for i in [*range(100, 140), 300]} | {200: 200}
+
+
+WORDS = [f"word{i}" for i in range(400)]
+
+
+def prose(start, size=60, change=()):
+    words = WORDS[start : start + size]
+    for at in change:
+        words[at] = f"other{start}{at}"
+    return " ".join(words)
+
+
+def test_one_of_each_component_stays_and_nothing_else_goes(spark):
+    a, b, c, d = prose(0), prose(100), prose(200), prose(300)
+    rows = [(1, a), (2, a), (2, b), (3, c), (4, d), (4, prose(300, change=[30])), (5, ""), (5, ""), (6, None), (None, prose(60)), (None, prose(60)), (None, prose(60, change=[0])), (None, c), (7, prose(160)), (7, prose(160))]
+    df = spark.createDataFrame([(*r, "x", None) for r in rows], "doc_id int, text string, class_of_text string, stays int").repartition(3)
+    kept = ngram_join.without_near_duplicates(df)
+    assert kept.columns == df.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    fours = [t for i, t in got if i == 4]
+    nulls = [t for i, t in got if i is None]
+    assert len(fours) == 1 and len(nulls) == 1 and nulls[0] != c
+    assert [g for g in got if g[0] not in (4, None)] == sorted([(1, a), (2, b), (3, c), (5, ""), (5, ""), (6, None), (7, prose(160))], key=str)
+
+
+def test_all_ids_alike_and_empty_table(spark):
+    df = spark.createDataFrame([(i, prose(i % 3 * 70)) for i in range(30)], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in ngram_join.without_near_duplicates(df).collect()) == [0, 1, 2]
+    assert ngram_join.without_near_duplicates(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("size", [100, 200, 400])
+def test_pairs_just_under_the_limit_cost_the_size_of_their_group(spark, monkeypatch, size):
+    """Near copies with one or two words changed: similar to the text they come from, mostly not to each other."""
+    rnd = random.Random(size)
+    rows = [(i, prose(0, 150, rnd.sample(range(4, 140), rnd.choice([1, 2, 2, 2])))) for i in range(size)]
+    emitted = []
+    agree = ngram_join._Join.agree
+
+    def counted(self, pairs):
+        emitted.append(pairs.count())
+        return agree(self, pairs)
+
+    monkeypatch.setattr(ngram_join._Join, "agree", counted)
+    got = [tuple(r) for r in ngram_join.ngram_components(spark.createDataFrame(rows, SCHEMA), 4, 85, 100).collect()]
+    assert sorted(got, key=str) == by_pairs(rows, 4, 85, 100)
+    assert sum(emitted) < 30 * size
