@@ -16,8 +16,9 @@ prefix token under the other two; only then are whole sets compared.
 4. For every class one proposed pair is compared first, and components are formed from the
    links. Then follow the proposed pairs between components, and the members of large buckets
    that are not in their leader's component: blocks of them meet blocks of all members, and only
-   pairs of different components whose wide parities allow a link leave the task. Pairs inside a
-   component can't change it, so no link that matters is lost.
+   pairs of different components whose wide parities allow a link leave the task: first one pair
+   for each such member, which joins most of what belongs together, then, with the components that
+   these made, all others. Pairs inside a component can't change it, so no link that matters is lost.
 
 Tokens are 64-bit hashes of n-grams and a class is known by a 64-bit hash of its set; two of
 10**8 different sets get the same hash with probability 0.0003. Whole sets are compared by the upper
@@ -306,8 +307,12 @@ def _near(num: int, den: int):
     return run
 
 
-def _across(num: int, den: int):
-    """Of blocks of a large bucket: pairs of a member left of the block and one right of it, in different components."""
+def _across(num: int, den: int, one: bool):
+    """Of blocks of a large bucket: pairs of a member left of the block and one right of it, in different components.
+
+    ``one``: of each left member only the pair with the first right one, by place of the token, so
+    that many of them choose the same.
+    """
 
     def run(batches):
         for table in _whole_groups(batches, "block"):
@@ -316,13 +321,19 @@ def _across(num: int, den: int):
             edges = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]]))
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 x, y = a + np.flatnonzero(left[a:b]), a + np.flatnonzero(~left[a:b])
+                y = y[np.lexsort((members.sid[y], members.pos[y]))]
                 rows = max(1, CELLS // max(1, len(y)))
                 for at in range(0, len(x), rows):
                     i = np.repeat(x[at : at + rows], len(y))
                     j = np.tile(y, len(x[at : at + rows]))
-                    # both may stand outside the leader's component: then each is left of the other once
-                    apart = (root[i] != root[j]) & ((root[j] == head[j]) | (members.sid[i] < members.sid[j]))
-                    yield _pairs_of(members, *members.may_link(i[apart], j[apart]))
+                    apart = root[i] != root[j]
+                    if not one:  # both may stand outside the leader's component: then each is left of the other once
+                        apart &= (root[j] == head[j]) | (members.sid[i] < members.sid[j])
+                    i, j = members.may_link(i[apart], j[apart])
+                    if one:
+                        i, first = np.unique(i, return_index=True)
+                        j = j[first]
+                    yield _pairs_of(members, i, j)
 
     return run
 
@@ -473,16 +484,20 @@ class _Join:
         of = lambda name: root.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
         between = proposed.join(of("u"), "u", "left").join(of("v"), "v", "left")
         between = between.where(F.coalesce("root_u", "u") != F.coalesce("root_v", "v")).select("u", "v")
-        rest = self.agree(self.strays(often, lead, of("sid")).distinct())
-        rest = stored(rest.unionByName(between).distinct().join(first, ["u", "v"], "left_anti"), "ngram-rest", release=True)
+        untried = lambda pairs, name: stored(pairs.distinct().join(tried, ["u", "v"], "left_anti"), name, release=True)
+        tried = first
+        one = untried(self.agree(self.strays(often, lead, of("sid"), one=True).distinct()).unionByName(between), "ngram-one")
+        links = stored(links.unionByName(self.linked(one, classes)), "ngram-links", release=True)
+        root, tried = components(links), first.unionByName(one)
+        rest = untried(self.agree(self.strays(often, lead, of("sid"), one=False).distinct()), "ngram-rest")
         return links.unionByName(self.linked(rest, classes))
 
-    def strays(self, often: DataFrame, lead: DataFrame, roots: DataFrame) -> DataFrame:
+    def strays(self, often: DataFrame, lead: DataFrame, roots: DataFrame, one: bool) -> DataFrame:
         """Pairs that may be linked of a large bucket's members outside its leader's component with all members of other components.
 
         The members outside (left) and all members (right) are dealt into parts of about ``SIDE``;
         each part of one meets each of the other in a block, whose wide parities are compared as
-        matrices. Only pairs that pass leave the block.
+        matrices. Only pairs that pass leave the block, or ``one`` of them for each member outside.
         """
         rooted = lambda rows: rows.join(roots, "sid", "left").withColumn("root", F.coalesce("root_sid", "sid")).drop("root_sid")
         heads = rooted(lead.select("token", "sid")).select("token", F.col("root").alias("head"))
@@ -497,7 +512,7 @@ class _Join:
         known = self.signed.where("low is not null").select("sid", "n", "wide").dropDuplicates(["sid"])
         rows = left.unionByName(right).join(known, "sid").withColumn("block", F.xxhash64("token", "i", "j"))
         rows = rows.select("block", "token", "sid", "n", "pos", "previous", "root", "head", "is_left", "wide")
-        return rows.repartition("block").sortWithinPartitions("block").mapInArrow(_across(self.num, self.den), "u long, v long")
+        return rows.repartition("block").sortWithinPartitions("block").mapInArrow(_across(self.num, self.den, one), "u long, v long")
 
 
 def ngram_groups(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -> DataFrame:

@@ -105,7 +105,7 @@ def test_all_ids_alike_and_empty_table(spark):
     assert ngram_join.without_near_duplicates(df.limit(0)).collect() == []
 
 
-@pytest.mark.parametrize("size", [100, 200, 400])
+@pytest.mark.parametrize("size", [100, 300])
 def test_pairs_just_under_the_limit_cost_the_size_of_their_group(spark, monkeypatch, size):
     """Near copies with one or two words changed: similar to the text they come from, mostly not to each other."""
     rnd = random.Random(size)
