@@ -61,12 +61,10 @@ def _r_as(expr: str, name: str) -> str:
 
 
 def _mean(expr: str, name: str) -> str:
-    """A mean by whole numbers and billionths, which does not depend on the order of rows."""
-    whole = f"CASE WHEN isfinite({expr}) THEN CAST(floor({expr}) AS BIGINT) END"
-    part = f"CASE WHEN isfinite({expr}) THEN CAST(floor((({expr}) - floor({expr})) * 1e9::double + 0.5::double) AS BIGINT) END"
+    """The mean by a compensated sum; values that are not finite make it if there are any."""
     return (
         f"CASE WHEN bool_or(NOT isfinite({expr})) THEN sum(CASE WHEN NOT isfinite({expr}) THEN {expr} END) "
-        f"ELSE (sum({whole})::double + sum({part})::double / 1e9::double) / count({expr})::double END AS {name}"
+        f"ELSE fsum({expr}) / count({expr})::double END AS {name}"
     )
 
 

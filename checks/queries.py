@@ -98,8 +98,8 @@ def _raw(spark, sf_dir):
     return staging.raw_telemetry(_telemetry(spark, sf_dir))
 
 
-def _rollup(spark, sf_dir):
-    return marts.sat_minute_rollup(_raw(spark, sf_dir))
+def _rollup(spark, sf_dir, measures=marts.ROLLUP_MEASURES):
+    return marts.sat_minute_rollup(_raw(spark, sf_dir), measures)
 
 
 _stored: dict[tuple, DataFrame] = {}
@@ -268,22 +268,22 @@ def fleet_view(spark, sf_dir):
 
 @query
 def sat_series_soc(spark, sf_dir):
-    return edge(dashboards.soc_series(_rollup(spark, sf_dir), SERIES_SAT))
+    return edge(dashboards.soc_series(_rollup(spark, sf_dir, ["battery_soc_mean"]), SERIES_SAT))
 
 
 @query
 def sat_series_temp_c(spark, sf_dir):
-    return edge(dashboards.temperature_series(_rollup(spark, sf_dir), SERIES_SAT))
+    return edge(dashboards.temperature_series(_rollup(spark, sf_dir, ["bus_temperature_k_mean"]), SERIES_SAT))
 
 
 @query
 def sat_series_net_power(spark, sf_dir):
-    return edge(dashboards.net_power_series(_rollup(spark, sf_dir), SERIES_SAT))
+    return edge(dashboards.net_power_series(_rollup(spark, sf_dir, ["net_power_w_mean"]), SERIES_SAT))
 
 
 @query
 def sat_series_eclipse(spark, sf_dir):
-    return edge(dashboards.eclipse_series(_rollup(spark, sf_dir), SERIES_SAT))
+    return edge(dashboards.eclipse_series(_rollup(spark, sf_dir, ["eclipse_fraction"]), SERIES_SAT))
 
 
 @query
@@ -298,14 +298,14 @@ def sat_series_annotated(spark, sf_dir):
 @query
 def sat_series_recent(spark, sf_dir):
     """Charge series restricted to the panel's time range: the newest two hours."""
-    rollup = materialize(_rollup(spark, sf_dir), "rollup")
+    rollup = materialize(_rollup(spark, sf_dir, ["battery_soc_mean"]), "rollup")
     series = dashboards.soc_series(rollup, SERIES_SAT)
     return edge(store.within_last(series, "time", F.expr("interval 2 hours")))
 
 
 @query
 def sat_picker(spark, sf_dir):
-    return dashboards.satellite_names(_rollup(spark, sf_dir))
+    return dashboards.satellite_names(_rollup(spark, sf_dir, []))
 
 
 @query
@@ -323,7 +323,7 @@ def sat_events_top20(spark, sf_dir):
 
 @query
 def rolling_max_soc(spark, sf_dir):
-    out = Q.rolling_max(_rollup(spark, sf_dir), "battery_soc_mean", 90, "rolling_max")
+    out = Q.rolling_max(_rollup(spark, sf_dir, ["battery_soc_mean"]), "battery_soc_mean", 90, "rolling_max")
     return edge(out.select("sat_id", "minute_bucket", "seq", "rolling_max"))
 
 
@@ -348,7 +348,7 @@ def residual_run_length(spark, sf_dir):
 @query
 def eclipse_run_length(spark, sf_dir):
     """Consecutive fully eclipsed minutes up to each minute."""
-    rollup = _rollup(spark, sf_dir).select(
+    rollup = _rollup(spark, sf_dir, ["eclipse_fraction"]).select(
         "sat_id", "minute_bucket", (F.col("eclipse_fraction") == 1.0).alias("dark")
     )
     out = Q.run_length(rollup, "dark", "dark_minutes")
@@ -357,13 +357,13 @@ def eclipse_run_length(spark, sf_dir):
 
 @query
 def temp_step(spark, sf_dir):
-    out = Q.step_change(_rollup(spark, sf_dir), "bus_temperature_k_mean", "step_k")
+    out = Q.step_change(_rollup(spark, sf_dir, ["bus_temperature_k_mean"]), "bus_temperature_k_mean", "step_k")
     return edge(out.select("sat_id", "minute_bucket", "step_k"))
 
 
 @query
 def temp_slope(spark, sf_dir):
-    out = Q.endpoint_slope(_rollup(spark, sf_dir), "bus_temperature_k_mean", 5, "slope")
+    out = Q.endpoint_slope(_rollup(spark, sf_dir, ["bus_temperature_k_mean"]), "bus_temperature_k_mean", 5, "slope")
     return edge(out.select("sat_id", "minute_bucket", "slope"))
 
 
@@ -402,7 +402,7 @@ def latest_time(spark, sf_dir):
 
 @query
 def sim_start(spark, sf_dir):
-    return edge(aggregates.sim_start(_rollup(spark, sf_dir)))
+    return edge(aggregates.sim_start(_rollup(spark, sf_dir, [])))
 
 
 @query

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from perigee.functions import exact
 from perigee.functions import scalars as X
 from perigee.operators.staging import add_eps, add_geometry
 
@@ -28,55 +31,7 @@ MEANS = {
 }
 SHARES = {"charging_fraction": "is_charging", "eclipse_fraction": "eclipsed"}
 EXTREMES = ("battery_soc", "bus_temperature_k")
-# Parts of a value below one are summed in these units.
-UNITS = 1e9
-
-
-def rollup_sums() -> list[Column]:
-    """Mergeable sums behind the 15 measures: see :func:`merged_sums` and :func:`from_sums`.
-
-    Values are split into a whole number and billionths, and both are summed as integers, so
-    a mean does not depend on the order of its rows. Values that are not finite are summed
-    apart; if there are any, they make the mean.
-    """
-    out = [F.count(F.lit(1)).alias("n_rows")]
-    for name, column in MEANS.items():
-        x = F.col(column)
-        finite = ~F.isnan(x) & (F.abs(x) < float("inf"))
-        out += [
-            F.sum(F.when(finite, F.floor(x))).alias(f"{name}_whole"),
-            F.sum(F.when(finite, F.floor((x - F.floor(x)) * UNITS + 0.5))).alias(f"{name}_part"),
-            F.count(x).alias(f"{name}_n"),
-            F.sum(F.when(~finite, x)).alias(f"{name}_odd"),
-        ]
-    out += [F.count(F.when(_holds(c), 1)).alias(f"{name}_n") for name, c in SHARES.items()]
-    out += [f(c).alias(f"{c}_{n}") for c in EXTREMES for n, f in (("min", F.min), ("max", F.max))]
-    return out
-
-
-def merged_sums() -> list[Column]:
-    """Sums of sums: what several parts of the rows of a minute add up to."""
-    out = [F.sum("n_rows").alias("n_rows")]
-    for name in MEANS:
-        out += [F.sum(f"{name}_{part}").alias(f"{name}_{part}") for part in ("whole", "part", "n", "odd")]
-    out += [F.sum(f"{name}_n").alias(f"{name}_n") for name in SHARES]
-    out += [f(f"{c}_{n}").alias(f"{c}_{n}") for c in EXTREMES for n, f in (("min", F.min), ("max", F.max))]
-    return out
-
-
-def from_sums(sums: DataFrame) -> DataFrame:
-    """The rollup of a table of sums, one row per satellite and minute."""
-    measures = {}
-    for name in MEANS:
-        whole, part, n = (F.col(f"{name}_{p}") for p in ("whole", "part", "n"))
-        mean = (whole.cast("double") + part.cast("double") / UNITS) / n
-        measures[name] = F.when(F.col(f"{name}_odd").isNotNull(), F.col(f"{name}_odd")).when(n > 0, mean)
-    for name in SHARES:
-        measures[name] = F.col(f"{name}_n") / F.col("n_rows")
-    columns = [measures.get(m, F.col(m)).alias(m) for m in ROLLUP_MEASURES]
-    return sums.select("sat_id", "minute_bucket", *columns)
-
-
+BOUNDS = {"min": F.min, "max": F.max}
 ROLLUP_MEASURES = [
     "battery_soc_mean",
     "battery_soc_min",
@@ -101,21 +56,75 @@ def rollup_input(raw: DataFrame) -> DataFrame:
     return add_geometry(add_eps(raw.where(F.col("sat_id").isNotNull())))
 
 
-def sat_minute_rollup(raw: DataFrame) -> DataFrame:
+def rollup_sums(rows: DataFrame, measures: Sequence[str] = ROLLUP_MEASURES) -> DataFrame:
+    """Exact, mergeable sums behind the measures: see :func:`merged_sums` and :func:`from_sums`.
+
+    Groups are (sat_id, minute_bucket, slot): slot is null for the minute's own row; other rows
+    hold digits of far values (see :mod:`perigee.functions.exact`). Values that are not finite are
+    summed apart; if there are any, they make the mean. Rows without a time belong to no minute:
+    their group is dropped by its count, since a null filter would be pushed down to the scan and
+    parse every time text once more.
+    """
+    means = [m for m in measures if m in MEANS]
+    minute = F.date_trunc("minute", F.col("sim_time"))
+    split = exact.with_digits(rows.withColumn("minute_bucket", minute), {m: MEANS[m] for m in means}, list(MEANS).index)
+    own = F.col("slot").isNull()
+    out = [F.count_if(own).alias("n_rows"), F.sum("amount").alias("amount"), F.count("minute_bucket").alias("_timed")]
+    for m in means:
+        x = F.col(MEANS[m])
+        odd = F.isnan(x) | (F.abs(x) == float("inf"))
+        out += [F.sum(F.when(own, F.col(f"{m}_{d}"))).alias(f"{m}_{d}") for d in exact.DIGITS]
+        out += [F.count(F.when(own, x)).alias(f"{m}_n"), F.sum(F.when(own & odd, x)).alias(f"{m}_odd")]
+    out += [F.count(F.when(own & _holds(c), 1)).alias(f"{m}_n") for m, c in SHARES.items() if m in measures]
+    out += [f(F.when(own, F.col(c))).alias(f"{c}_{n}") for c in EXTREMES for n, f in BOUNDS.items() if f"{c}_{n}" in measures]
+    return split.groupBy("sat_id", "minute_bucket", "slot").agg(*out).where(F.col("_timed") > 0).drop("_timed")
+
+
+def merged_sums(sums: DataFrame) -> DataFrame:
+    """Sums of sums: what several parts of the rows of a minute add up to, in whatever order."""
+    lowest = {f"{c}_min" for c in EXTREMES}
+    highest = {f"{c}_max" for c in EXTREMES}
+    merge = lambda c: F.min(c) if c in lowest else F.max(c) if c in highest else F.sum(c)
+    names = [c for c in SUMS_COLUMNS if c in sums.columns]
+    return sums.groupBy("sat_id", "minute_bucket", "slot").agg(*[merge(c).alias(c) for c in names])
+
+
+SUMS_COLUMNS = ["n_rows", "amount"]
+for _m in ROLLUP_MEASURES:
+    SUMS_COLUMNS += [f"{_m}_{d}" for d in (*exact.DIGITS, "n", "odd")] if _m in MEANS else [f"{_m}_n"] if _m in SHARES else [_m]
+
+
+def from_sums(sums: DataFrame, measures: Sequence[str] = ROLLUP_MEASURES) -> DataFrame:
+    """The rollup of a table of sums, one row per satellite and minute.
+
+    The rows of far values, usually none, join their minute's row. Both come from one
+    aggregation: they are told apart by a count, as a filter on the slot would be pushed below it
+    and have the input read twice.
+    """
+    keys = ["sat_id", "minute_bucket"]
+    far = sums.where(F.col("n_rows") == 0).groupBy(*keys).agg(F.collect_list(F.struct("slot", "amount")).alias("far"))
+    means = [m for m in measures if m in MEANS]
+    rows, found = sums.where(F.col("n_rows") > 0), {}
+    if means:
+        rows, found = exact.means_of_digits(rows.drop("slot", "amount").join(far, keys, "left"), means, "far", list(MEANS).index)
+    columns = []
+    for m in measures:
+        if m in MEANS:
+            columns.append(F.when(F.col(f"{m}_odd").isNotNull(), F.col(f"{m}_odd")).otherwise(found[m]).alias(m))
+        else:
+            columns.append((F.col(f"{m}_n") / F.col("n_rows")).alias(m) if m in SHARES else F.col(m))
+    return rows.select(*keys, *columns)
+
+
+def sat_minute_rollup(raw: DataFrame, measures: Sequence[str] = ROLLUP_MEASURES) -> DataFrame:
     """Per-satellite, per-minute aggregates in a single pass over the raw view.
 
     The three subsystem views are projections of the same rows, so joining them back on
     (sat_id, sim_time) would only rebuild what one row already holds. Aggregation is
     partial on the map side, so a satellite with a large share of the rows is reduced to
-    its minutes before the shuffle.
-
-    Rows without a time belong to no minute. Their group is dropped by its count, since a
-    null filter would be pushed down to the scan and parse every time text once more.
+    its minutes before the shuffle. ``measures`` may name those wanted; only their columns are read.
     """
-    minute = F.date_trunc("minute", F.col("sim_time")).alias("minute_bucket")
-    timed = F.count("sim_time").alias("_timed")
-    rolled = rollup_input(raw).groupBy("sat_id", minute).agg(*rollup_sums(), timed)
-    return from_sums(rolled.where(F.col("_timed") > 0))
+    return from_sums(rollup_sums(rollup_input(raw), measures), measures)
 
 
 def rollup_from_subsystems(eps: DataFrame, thermal: DataFrame, geometry: DataFrame) -> DataFrame:
@@ -136,8 +145,7 @@ def rollup_from_subsystems(eps: DataFrame, thermal: DataFrame, geometry: DataFra
             keys,
         )
     )
-    minute = F.date_trunc("minute", F.col("sim_time")).alias("minute_bucket")
-    return from_sums(joined.groupBy("sat_id", minute).agg(*rollup_sums()))
+    return from_sums(rollup_sums(joined))
 
 
 SNAPSHOT_COLUMNS = [

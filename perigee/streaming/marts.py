@@ -8,9 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from perigee.operators.marts import (
     EXTREMES,
-    MEANS,
-    SHARES,
     SNAPSHOT_COLUMNS,
+    SUMS_COLUMNS,
     fleet_health_snapshot,
     from_sums,
     merged_sums,
@@ -21,11 +20,10 @@ from perigee.operators.marts import (
 from perigee.streaming.ingest import with_trigger
 from perigee.streaming.versions import newest_version, publish, read_version
 
+_DOUBLE_SUMS = {f"{c}_{n}" for c in EXTREMES for n in ("min", "max")}
 SUMS_SCHEMA = ", ".join(
-    ["sat_id string", "minute_bucket timestamp", "n_rows bigint"]
-    + [f"{n}_{p} {'double' if p == 'odd' else 'bigint'}" for n in MEANS for p in ("whole", "part", "n", "odd")]
-    + [f"{n}_n bigint" for n in SHARES]
-    + [f"{c}_{n} double" for c in EXTREMES for n in ("min", "max")]
+    ["sat_id string", "minute_bucket timestamp", "slot int"]
+    + [f"{c} {'double' if c in _DOUBLE_SUMS or c.endswith('_odd') else 'bigint'}" for c in SUMS_COLUMNS]
 )
 _STATE = [c for c in SNAPSHOT_COLUMNS if not c.endswith("_band")]
 SNAPSHOT_SCHEMA = ", ".join(
@@ -36,9 +34,7 @@ SNAPSHOT_SCHEMA = ", ".join(
 
 def add_sums(batch: DataFrame, batch_id: int, path: str) -> None:
     """Store the sums of a batch's minutes under its number; a repeated batch replaces its own."""
-    minute = F.date_trunc("minute", F.col("sim_time")).alias("minute_bucket")
-    timed = batch.where(F.col("sat_id").isNotNull() & F.col("sim_time").isNotNull())
-    sums = rollup_input(timed).groupBy("sat_id", minute).agg(*rollup_sums())
+    sums = rollup_sums(rollup_input(batch))
     (
         sums.withColumn("date", F.to_date("minute_bucket"))
         .repartition("date", "sat_id")
@@ -64,7 +60,7 @@ def start_rollup(raw: DataFrame, path: str, checkpoint: str, every: str | None =
 def read_rollup(spark: SparkSession, path: str) -> DataFrame:
     """The rollup of all batches so far: the sums of each minute merged."""
     parts = spark.read.schema(SUMS_SCHEMA + ", date date, batch bigint").option("basePath", path).parquet(path)
-    return from_sums(parts.groupBy("sat_id", "minute_bucket").agg(*merged_sums()))
+    return from_sums(merged_sums(parts))
 
 
 def start_snapshot(raw: DataFrame, root: str, checkpoint: str, every: str | None = None) -> StreamingQuery:

@@ -1,3 +1,4 @@
+import math
 import random
 import re
 from datetime import timedelta
@@ -101,9 +102,64 @@ def test_rollup_ignores_rows_without_keys(spark):
     assert marts.fleet_health_snapshot(raw).count() == 2
 
 
-def test_rollup_shuffles_once_after_partial_aggregation(spark):
-    plan = plan_of(marts.sat_minute_rollup(raw_of(spark, fleet())))
-    assert plan.count("Exchange") == 1 and "partial_sum" in plan
+def test_rollup_reads_its_input_once_and_aggregates_before_the_shuffle(spark, tmp_path):
+    path = f"{tmp_path}/raw"
+    raw_of(spark, fleet()).write.parquet(path)
+    rollup = marts.sat_minute_rollup(spark.read.parquet(path))
+    rollup.collect()
+    plan = plan_of(rollup)
+    assert "partial_sum" in plan
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1, final
+
+
+def test_only_the_columns_of_the_wanted_measures_are_read(spark, tmp_path):
+    path = f"{tmp_path}/raw"
+    raw_of(spark, fleet()).write.parquet(path)
+    plan = plan_of(marts.sat_minute_rollup(spark.read.parquet(path), ["battery_soc_mean", "battery_soc_max"]))
+    read = set(re.search(r"ReadSchema: struct<([^>]*)>", plan).group(1).split(","))
+    assert {c.split(":")[0] for c in read} == {"sat_id", "sim_time", "battery_soc"}
+
+
+def _any_double(rng, kind):
+    if kind == 0:
+        return rng.uniform(-1, 1) * 10 ** rng.uniform(-300, 300)
+    if kind == 1:
+        return rng.choice([5e18, -5e18, 1e-10, 0.0, -0.0, 1.7e308, 5e-324, -1e-310, 2.0**31, -(2.0**-64), 2.0**-65])
+    if kind == 2:
+        return rng.uniform(-7000, 7000)
+    return rng.choice([1e16, 1.0, -1e16, 0.1, -0.1, 1e-10])
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_means_equal_the_correctly_rounded_sum_over_the_count(spark, parts):
+    rng = random.Random(5)
+    groups = {f"S{g}": [_any_double(rng, g % 4) for _ in range(rng.choice([1, 2, 9, 40]))] for g in range(48)}
+    groups |= {"two large": [5e18, 5e18], "two small": [1e-10, 1e-10], "cancels": [1e300, 1e-300, -1e300]}
+    rows = [(sat, x, None if i % 5 == 0 else x) for sat, xs in groups.items() for i, x in enumerate(xs)]
+    df = spark.createDataFrame(rows, "sat_id string, battery_soc double, net_heat_w double").repartition(parts)
+    df = df.withColumn("sim_time", F.lit("2031-03-09 05:00:10").cast("timestamp"))
+    measures = ["battery_soc_mean", "battery_soc_min", "net_heat_w_mean"]
+    halves = [marts.rollup_sums(df.where(c), measures) for c in (F.abs("battery_soc") < 1, F.abs("battery_soc") >= 1)]
+    for rollup in (marts.from_sums(marts.rollup_sums(df, measures), measures), marts.from_sums(marts.merged_sums(halves[0].unionByName(halves[1])), measures)):
+        got = {r["sat_id"]: r for r in rollup.collect()}
+        assert len(got) == len(groups)
+        for sat, xs in groups.items():
+            some = [x for i, x in enumerate(xs) if i % 5]
+            for name, values in (("battery_soc_mean", xs), ("net_heat_w_mean", some)):
+                try:
+                    wanted = math.fsum(values) / len(values) if values else None
+                except OverflowError:
+                    continue
+                assert got[sat][name] == wanted, (sat, name)
+            assert got[sat]["battery_soc_min"] == min(xs)
+
+
+def test_values_that_are_no_finite_numbers_make_the_mean(spark):
+    df = spark.createDataFrame([("A", 1.0), ("A", math.inf), ("B", math.nan), ("B", 1e300), ("C", None)], "sat_id string, battery_soc double")
+    df = df.withColumn("sim_time", F.lit("2031-03-09 05:00:10").cast("timestamp"))
+    got = {r["sat_id"]: r["battery_soc_mean"] for r in marts.from_sums(marts.rollup_sums(df, ["battery_soc_mean"]), ["battery_soc_mean"]).collect()}
+    assert got["A"] == math.inf and math.isnan(got["B"]) and got["C"] is None
 
 
 def test_snapshot_keeps_ties_and_sorts_no_scan(spark):
