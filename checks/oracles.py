@@ -728,6 +728,8 @@ def oracle_sql() -> dict[str, str]:
         "files_per_partition": _with() + """SELECT sat_id, cast(sim_time AS date) AS date,
           extract(hour FROM sim_time) AS hour, count(*) AS n_rows, true AS has_files FROM raw GROUP BY ALL""",
         "stream_detectors_events": _detected(faults) + _EVENT_OUT,
+        "stream_detectors_carried": _detected(faults) + _EVENT_OUT,
+        "stream_detectors_late_rows": _detected(faults) + _EVENT_OUT,
     }
     for name, (rows, columns) in inject_columns.items():
         sql[name] = (

@@ -854,23 +854,27 @@ def stream_rollup(spark, sf_dir):
     return edge(stream_marts.read_rollup(spark, f"{base}/sums"))
 
 
-def _in_two_batches(spark, sf_dir):
-    """Raw-view stream of the telemetry in two batches, each with about half of the rows of every minute."""
+def _in_batches(spark, telemetry, parts, start):
+    """Telemetry of each part of the rows arrives after the one before: the stream runs once for each, on one checkpoint."""
     base = scratch_dir(spark, "batches")
-    telemetry = _telemetry(spark, sf_dir)
+    for part in parts:
+        telemetry.where(part).write.mode("append").parquet(f"{base}/in")
+        source = spark.readStream.schema(S.TELEMETRY_SCHEMA).parquet(f"{base}/in")
+        stream_ingest.drain([start(staging.raw_telemetry(source), base)])
+    return base
+
+
+def _halves():
+    """Two parts, each with about half of the rows of every minute."""
     early = F.pmod(F.xxhash64("sim_time_iso"), F.lit(2)) == 0
-    for part in (early, ~early):
-        telemetry.where(part).coalesce(1).write.mode("append").parquet(f"{base}/in")
-    source = spark.readStream.schema(S.TELEMETRY_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
-    return base, staging.raw_telemetry(source)
+    return [early, ~early]
 
 
 @query
 def stream_rollup_late_rows(spark, sf_dir):
     """Rollup when half of the rows of every minute arrive after all others, in a batch of their own."""
-    base, raw = _in_two_batches(spark, sf_dir)
-    started = stream_marts.start_rollup(raw, f"{base}/sums", f"{base}/checkpoint")
-    stream_ingest.drain([started])
+    start = lambda raw, base: stream_marts.start_rollup(raw, f"{base}/sums", f"{base}/checkpoint")
+    base = _in_batches(spark, _telemetry(spark, sf_dir), _halves(), start)
     return edge(stream_marts.read_rollup(spark, f"{base}/sums"))
 
 
@@ -887,20 +891,45 @@ def stream_snapshot(spark, sf_dir):
 @query
 def stream_snapshot_ties(spark, sf_dir):
     """Snapshot over times cut to the hour, in two batches: all rows tied on the latest hour stay."""
-    base, raw = _in_two_batches(spark, sf_dir)
-    hourly = raw.withColumn("sim_time", F.date_trunc("hour", F.col("sim_time")))
-    started = stream_marts.start_snapshot(hourly, f"{base}/snapshot", f"{base}/checkpoint")
-    stream_ingest.drain([started])
+
+    def start(raw, base):
+        hourly = raw.withColumn("sim_time", F.date_trunc("hour", F.col("sim_time")))
+        return stream_marts.start_snapshot(hourly, f"{base}/snapshot", f"{base}/checkpoint")
+
+    base = _in_batches(spark, _telemetry(spark, sf_dir), _halves(), start)
     return edge(stream_marts.read_snapshot(spark, f"{base}/snapshot"))
 
 
+def _observed_telemetry(spark, sf_dir):
+    return labels.inject(_raw(spark, sf_dir), _bound(spark, sf_dir)).select(*S.TELEMETRY_COLUMNS)
+
+
+def _start_detectors(raw, base):
+    return stream_detectors.start_detectors(raw, f"{base}/out", f"{base}/checkpoint")
+
+
 @query
 def stream_detectors_events(spark, sf_dir):
-    """Observed telemetry stream to rollup sums and events."""
-    base = scratch_dir(spark, "detector_stream")
-    observed = labels.inject(_raw(spark, sf_dir), _bound(spark, sf_dir))
-    observed.select(*S.TELEMETRY_COLUMNS).write.parquet(f"{base}/observed")
-    source = spark.readStream.schema(S.TELEMETRY_SCHEMA).parquet(f"{base}/observed")
-    started = stream_detectors.start_detectors(staging.raw_telemetry(source), f"{base}/out", f"{base}/checkpoint")
-    stream_ingest.drain([started])
+    """Observed telemetry stream to rollup sums, state and events."""
+    base = _in_batches(spark, _observed_telemetry(spark, sf_dir), [F.lit(True)], _start_detectors)
+    return edge(stream_detectors.read_stream_events(spark, f"{base}/out"))
+
+
+@query
+def stream_detectors_carried(spark, sf_dir):
+    """Events when the telemetry arrives in three parts, one after the other in time: state goes on from part to part."""
+    observed = materialize(_observed_telemetry(spark, sf_dir), "observed")
+    t = X.parse_iso(F.col("sim_time_iso"))
+    first, last = observed.agg(F.min(t), F.max(t)).first()
+    cuts = [first + (last - first) * share for share in (0.3, 0.6)]
+    parts = [t < F.lit(cuts[0]), (t >= F.lit(cuts[0])) & (t < F.lit(cuts[1])), t >= F.lit(cuts[1])]
+    base = _in_batches(spark, observed, parts, _start_detectors)
+    return edge(stream_detectors.read_stream_events(spark, f"{base}/out"))
+
+
+@query
+def stream_detectors_late_rows(spark, sf_dir):
+    """Events when half of the rows of every minute arrive after all others: all satellites are scored anew."""
+    observed = materialize(_observed_telemetry(spark, sf_dir), "observed")
+    base = _in_batches(spark, observed, _halves(), _start_detectors)
     return edge(stream_detectors.read_stream_events(spark, f"{base}/out"))

@@ -106,15 +106,38 @@ def unusable_rows(mart: DataFrame) -> DataFrame:
     return rows.where((F.size("null_columns") > 0) | (F.size("nan_columns") > 0))
 
 
+# What a satellite's history leaves behind for the rows that follow: see :func:`detector_signals`.
+HISTORY_SCHEMA = (
+    "sat_id string, n bigint, tail array<struct<minute_bucket:timestamp,battery_soc_mean:double,"
+    "bus_temperature_k_mean:double,net_heat_w_mean:double>>, baseline double, total double, lowest double, last_reset bigint"
+)
+
+
+def look_back_rows(settings: DetectorSettings, detectors: Sequence[str] = S.DETECTORS) -> int:
+    """Rows before a row that its signals need."""
+    needed = {
+        "capacity_fade": settings.capacity_fade.window - 1,
+        "stuck_sensor": 1,
+        "thermal_runaway": settings.thermal_runaway.slope_window - 1,
+    }
+    return max([needed[d] for d in detectors], default=0)
+
+
 def detector_signals(
     mart: DataFrame,
     settings: DetectorSettings | None = None,
     detectors: Sequence[str] = S.DETECTORS,
+    history: DataFrame | None = None,
 ) -> DataFrame:
     """One row per usable mart row with the requested detectors' running signals.
 
     capacity_fade adds ``baseline``, ``rolling_max``, ``cusum``; stuck_sensor adds
     ``residual_k``, ``run_length``; thermal_runaway adds ``temp_c``, ``slope``.
+
+    ``history`` (HISTORY_SCHEMA, at most a row per satellite) stands for the rows before those of
+    ``mart``, all of them earlier: their number, the last of them that look-back windows need, and
+    the running values at their end. Signals then go on from there; running values are returned as
+    well (``total``, ``lowest``, ``last_reset``), for :func:`next_history`.
     """
     settings = settings or DetectorSettings()
     unknown = set(detectors) - set(S.DETECTORS)
@@ -125,12 +148,19 @@ def detector_signals(
     runaway = settings.thermal_runaway if "thermal_runaway" in detectors else None
 
     rows = detector_input(mart)
-    halo = max(
-        fade.window - 1 if fade else 0,
-        1 if stuck else 0,
-        runaway.slope_window - 1 if runaway else 0,
-    )
-    blocks = split_blocks(number_rows(rows, "sat_id", "minute_bucket"), halo, settings.block_rows)
+    halo = look_back_rows(settings, detectors)
+    if history is None:
+        numbered = number_rows(rows, "sat_id", "minute_bucket")
+        blocks = split_blocks(numbered, halo, settings.block_rows)
+    else:
+        seeds = history.select("sat_id", "n", *[F.col(c).alias(f"{c}_before") for c in ("baseline", "total", "lowest", "last_reset")])
+        counts = history.select("sat_id", F.col("n").alias("_n_before"))
+        numbered = number_rows(rows, "sat_id", "minute_bucket", per_key=counts)
+        numbered = numbered.withColumn("seq", F.col("seq") + F.coalesce("_n_before", F.lit(0))).drop("_n_before")
+        earlier_rows = history.select("sat_id", "n", F.size("tail").alias("_kept"), F.posexplode("tail").alias("_at", "_row"))
+        earlier_rows = earlier_rows.select("sat_id", "_row.*", (F.col("n") - F.col("_kept") + F.col("_at") + 1).alias("seq"), F.lit(True).alias("_old"))
+        everything = numbered.withColumn("_old", F.lit(False)).unionByName(earlier_rows)
+        blocks = split_blocks(everything, halo, settings.block_rows).withColumn("own", F.col("own") & ~F.col("_old")).drop("_old")
 
     # Look-back signals: need the halo, so they come before it is dropped. They are window
     # functions over stored columns only: the block summary below reads the same shuffled
@@ -156,6 +186,9 @@ def detector_signals(
         first_full = F.max(F.when(F.col("seq") == fade.window, F.col("rolling_max")))
         found = signals.groupBy("sat_id", "block").agg(first_full.alias("_found"))
         known = found.select("sat_id", "block", F.max("_found").over(W.partitionBy("sat_id")).alias("baseline"))
+        if history is not None:
+            known = known.join(seeds.select("sat_id", "baseline_before"), "sat_id", "left")
+            known = known.select("sat_id", "block", F.coalesce("baseline_before", "baseline").alias("baseline"))
         signals = signals.join(known, ["sat_id", "block"])
 
     # Running signals: inside the block first, then with what earlier blocks hand over.
@@ -184,13 +217,17 @@ def detector_signals(
     if handed_over:
         earlier = before("sat_id", "block")
         per_block = signals.groupBy("sat_id", "block").agg(*handed_over)
+        at_start = {"total": F.lit(0.0), "lowest": F.lit(0.0), "last_reset": F.lit(None).cast("bigint")}
+        if history is not None:
+            per_block = per_block.join(seeds, "sat_id", "left")
+            at_start = {c: F.coalesce(F.col(f"{c}_before"), v) for c, v in at_start.items()}
         if fade:
-            carried["_sum_in"] = F.coalesce(F.sum("_total").over(earlier), F.lit(0.0))
+            carried["_sum_in"] = F.coalesce(F.sum("_total").over(earlier), F.lit(0.0)) + at_start["total"]
             # Lowest running sum of each block on the whole-history scale.
             per_block = per_block.withColumn("_low_abs", F.col("_lowest") + carried["_sum_in"])
-            carried["_low_in"] = F.coalesce(F.min("_low_abs").over(earlier), F.lit(0.0))
+            carried["_low_in"] = F.least(F.coalesce(F.min("_low_abs").over(earlier), F.lit(0.0)), at_start["lowest"])
         if stuck:
-            carried["_reset_in"] = F.max("_last_reset").over(earlier)
+            carried["_reset_in"] = F.coalesce(F.max("_last_reset").over(earlier), at_start["last_reset"])
         carry = per_block.select("sat_id", "block", *[c.alias(n) for n, c in carried.items()])
         signals = signals.join(carry, ["sat_id", "block"])
 
@@ -201,9 +238,13 @@ def detector_signals(
         lowest = F.least(F.lit(0.0), F.col("_low_in"), F.col("_sum_in") + F.col("_low"))
         final["cusum"] = F.when(F.col("seq") > fade.window, total - lowest)
         out += ["baseline", "rolling_max", "cusum"]
+        if history is not None:
+            final |= {"total": total, "lowest": lowest}
     if stuck:
         final["run_length"] = F.col("seq") - F.coalesce("_reset", "_reset_in", F.lit(0))
         out += ["residual_k", "run_length"]
+        if history is not None:
+            final["last_reset"] = F.coalesce("_reset", "_reset_in")
     if runaway:
         temp_c = X.kelvin_to_celsius(F.col("bus_temperature_k_mean"))
         final["temp_c"] = temp_c
@@ -211,9 +252,28 @@ def detector_signals(
             runaway.slope_window - 1
         )
         out += ["temp_c", "slope"]
+    if history is not None:
+        out += [c for c in (*INPUT_COLUMNS[2:], "total", "lowest", "last_reset") if c in final or c in INPUT_COLUMNS]
     return signals.withColumns(final).select(*out)
 
 
+def next_history(signals: DataFrame, history: DataFrame, settings: DetectorSettings | None = None) -> DataFrame:
+    """The history after ``signals``, which went on from ``history``; satellites without new rows keep theirs."""
+    keep = look_back_rows(settings or DetectorSettings())
+    ends = signals.groupBy("sat_id").agg(
+        F.max("seq").alias("n"), F.max("baseline").alias("baseline"), F.max_by("total", "seq").alias("total"),
+        F.min("lowest").alias("lowest"), F.max("last_reset").alias("last_reset"),
+    )
+    row = F.struct("minute_bucket", *INPUT_COLUMNS[2:])
+    last = signals.join(ends.select("sat_id", F.col("n").alias("_end")), "sat_id").where(F.col("seq") > F.col("_end") - keep)
+    tails = last.groupBy("sat_id").agg(F.collect_list(row).alias("new"))  # at most ``keep`` rows
+    made = ends.join(tails, "sat_id").alias("new").join(history.alias("old"), "sat_id", "full")
+    tail = F.concat(F.coalesce(F.col("old.tail"), F.array()), F.coalesce(F.array_sort(F.col("new.new")), F.array()))
+    kept = F.slice(tail, F.greatest(F.size(tail) - keep + 1, F.lit(1)), keep)
+    values = [F.coalesce(F.col(f"new.{c}"), F.col(f"old.{c}")).alias(c) for c in ("n", "baseline", "total", "lowest", "last_reset")]
+    return made.select("sat_id", values[0], kept.alias("tail"), *values[1:])
+
+
 def _firing(name: str, settings: DetectorSettings) -> Column:
     """Whether a row satisfies a detector's rule."""
     if name == "capacity_fade":
@@ -256,7 +316,13 @@ def detect(
     One aggregation picks all detectors' first rows, so the signal plan runs once.
     """
     settings = settings or DetectorSettings()
-    signals = detector_signals(mart, settings, detectors)
+    return first_events(detector_signals(mart, settings, detectors), settings, detectors)
+
+
+def first_events(
+    signals: DataFrame, settings: DetectorSettings, detectors: Sequence[str] = S.DETECTORS
+) -> DataFrame:
+    """The first firing row of each (satellite, detector) among rows with signals, as events."""
     fires = {name: _firing(name, settings) for name in detectors}
     any_fire = F.lit(False)
     for c in fires.values():

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from perigee.operators.marts import (
     EXTREMES,
+    ROLLUP_MEASURES,
     SNAPSHOT_COLUMNS,
     SUMS_COLUMNS,
     fleet_health_snapshot,
@@ -18,7 +22,7 @@ from perigee.operators.marts import (
     with_bands,
 )
 from perigee.streaming.ingest import with_trigger
-from perigee.streaming.versions import newest_version, publish, read_version
+from perigee.streaming.keyed import KeyedTable
 
 _DOUBLE_SUMS = {f"{c}_{n}" for c in EXTREMES for n in ("min", "max")}
 SUMS_SCHEMA = ", ".join(
@@ -32,9 +36,9 @@ SNAPSHOT_SCHEMA = ", ".join(
 )
 
 
-def add_sums(batch: DataFrame, batch_id: int, path: str) -> None:
+def add_sums(batch: DataFrame, batch_id: int, path: str, measures: Sequence[str] = ROLLUP_MEASURES) -> None:
     """Store the sums of a batch's minutes under its number; a repeated batch replaces its own."""
-    sums = rollup_sums(rollup_input(batch))
+    sums = rollup_sums(rollup_input(batch), measures)
     (
         sums.withColumn("date", F.to_date("minute_bucket"))
         .repartition("date", "sat_id")
@@ -57,28 +61,39 @@ def start_rollup(raw: DataFrame, path: str, checkpoint: str, every: str | None =
     return with_trigger(writer, every).start()
 
 
+def read_sums(spark: SparkSession, path: str, batch_id: int | None = None, upto: int | None = None) -> DataFrame:
+    """Stored sums of all batches, of one (only its files are listed), or of those up to one."""
+    folder = path if batch_id is None else f"{path}/batch={batch_id}"
+    parts = spark.read.schema(SUMS_SCHEMA + ", date date, batch bigint").option("basePath", path).parquet(folder)
+    return parts if upto is None else parts.where(F.col("batch") <= upto)
+
+
 def read_rollup(spark: SparkSession, path: str) -> DataFrame:
     """The rollup of all batches so far: the sums of each minute merged."""
-    parts = spark.read.schema(SUMS_SCHEMA + ", date date, batch bigint").option("basePath", path).parquet(path)
-    return from_sums(merged_sums(parts))
+    return from_sums(merged_sums(read_sums(spark, path)))
+
+
+def snapshot_table(spark: SparkSession, root: str) -> KeyedTable:
+    return KeyedTable(spark, root, "sat_id", SNAPSHOT_SCHEMA)
 
 
 def start_snapshot(raw: DataFrame, root: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Publish the whole snapshot after each batch as a new version; ties on the latest time all stay.
+    """Keep the snapshot up to date after each batch; ties on the latest time all stay.
 
-    A version is made of the one before and the batch's own latest rows.
+    The rows of a batch's own satellites are made of those before and the batch's latest ones;
+    only their buckets are written (see :mod:`perigee.streaming.keyed`).
     """
 
     def update(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = newest_version(spark, root)
-        if before is not None and before >= batch_id:  # this batch was published already
-            before = batch_id - 1 if batch_id else None
-        old = spark.createDataFrame([], SNAPSHOT_SCHEMA) if before is None else read_version(spark, root, SNAPSHOT_SCHEMA, before)
-        rows = old.select(*_STATE).unionByName(fleet_health_snapshot(batch).select(*_STATE))
-        newest = rows.groupBy("sat_id").agg(F.max("latest_sim_time").alias("latest_sim_time"))
-        latest = rows.join(newest, ["sat_id", "latest_sim_time"])
-        publish(with_bands(latest).select(*SNAPSHOT_COLUMNS), root, batch_id)
+        table = snapshot_table(batch.sparkSession, root)
+        new = fleet_health_snapshot(batch).select(*_STATE).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rows = table.read(new, before=batch_id).select(*_STATE).unionByName(new)
+            newest = rows.groupBy("sat_id").agg(F.max("latest_sim_time").alias("latest_sim_time"))
+            latest = rows.join(newest, ["sat_id", "latest_sim_time"])
+            table.replace(with_bands(latest).select(*SNAPSHOT_COLUMNS), new, batch_id)
+        finally:
+            new.unpersist()
 
     writer = raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(update)
     return with_trigger(writer, every).start()
@@ -86,4 +101,4 @@ def start_snapshot(raw: DataFrame, root: str, checkpoint: str, every: str | None
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
     """The newest published version of the streaming snapshot."""
-    return read_version(spark, root, SNAPSHOT_SCHEMA)
+    return snapshot_table(spark, root).read()
