@@ -7,7 +7,8 @@ text; what is long but has few stop words outside an article is boilerplate; the
 blocks and unusual ones inside an article, stay undecided. Second pass: an undecided block takes
 the label of its nearest decided neighbour in the same region, text if two are equally near and
 differ; in a region without decided blocks, article elements hold text and others don't. On a
-page with an article element nothing outside of it is text.
+page with an article element nothing outside of it is text, unless more long text stands outside
+of all of them than inside (teasers beside a story): then they are no regions.
 
 Where hardly any long block has enough stop words, the page's language is taken as unknown, and long
 blocks are text unless made of links. Without any long text outside articles, short blocks that
@@ -231,8 +232,20 @@ def _first_pass(text: str, linked: int, region: int, never: bool, has_region: bo
     return None if region else False
 
 
+def _without_teasers(blocks: list) -> list:
+    """Blocks whose regions don't count if more long text stands outside of all of them, as beside a teaser."""
+    if not any(region for _, _, region, _ in blocks):
+        return blocks
+    size = [0, 0]
+    for text, linked, region, never in blocks:
+        if not never and len(text) >= SHORT and linked <= LINK_SHARE * len(text.replace(" ", "")) and (region or _enough(text)):
+            size[region > 0] += len(text)
+    return blocks if size[1] >= size[0] else [(text, linked, 0, never) for text, linked, _, never in blocks]
+
+
 def labels(blocks: list) -> list:
     """Whether each block is text."""
+    blocks = _without_teasers(blocks)
     has_region = any(region for _, _, region, _ in blocks)
     first = [_first_pass(*b, has_region) for b in blocks]
     if not has_region:

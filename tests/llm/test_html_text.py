@@ -70,3 +70,11 @@ def test_names_do_not_remove_the_article():
         f"<div class=social><article><p>{LONG}</p>{comments}</article></div>",
     ):
         assert H.main_text(page) == LONG.strip(), page
+
+
+def test_a_teaser_article_does_not_hide_the_main_text():
+    teaser = "<article><h3>Another story</h3><p>The other story of the town that was told to all of the people.</p></article>"
+    got = H.main_text(f"<nav>menu</nav><div id=content><p>{LONG * 2}</p><p>{LONG}</p></div>{teaser}<footer>end</footer>")
+    assert got.startswith(f"{(LONG * 2).strip()}\n{LONG.strip()}") and "menu" not in got and "end" not in got.split("\n")
+    got = H.main_text(f"<article><p>{LONG * 3}</p></article><div><p>{LONG}</p></div>")
+    assert got == (LONG * 3).strip()
