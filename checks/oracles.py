@@ -369,6 +369,15 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",".join([_TEL, *ctes]) + "\n"
 
 
+# Rows by hour and batch when telemetry arrives in three parts: see the query.
+_ARRIVALS = """
+us AS (SELECT sat_id, sim_time, epoch_us(sim_time) AS us FROM raw),
+span AS (SELECT min(us) AS lo, max(us) AS hi FROM us),
+arr AS (SELECT sat_id, date_trunc('hour', sim_time) AS hour_start,
+    cast(CASE WHEN us % 7 = 0 OR us >= lo + (hi - lo) // 3 * 2 THEN 2 WHEN us >= lo + (hi - lo) // 3 THEN 1 ELSE 0 END AS bigint) AS batch,
+    count(*) AS n_rows FROM us, span GROUP BY ALL)"""
+
+
 def _series(expr: str, name: str) -> str:
     return (
         _with(_rollup("raw"))
@@ -716,6 +725,19 @@ def oracle_sql() -> dict[str, str]:
         + "SELECT sat_id, detector_name, earliest_start, n_specs FROM wins",
         "unknown_detector_events": _detected(faults)
         + "SELECT sat_id, 'attitude' AS detector_name, sim_time_iso, severity FROM ev WHERE sat_id = 'SAT-13'",
+        "stream_closed_hours": _with(_ARRIVALS) + """SELECT o.sat_id, o.hour_start, cast(sum(o.n_rows) AS bigint) AS n_rows,
+          (SELECT CASE WHEN count(*) > 0 THEN greatest(min(l.batch), min(o.batch)) END FROM arr l WHERE l.sat_id = o.sat_id AND l.hour_start > o.hour_start) AS closed_by,
+          count(*) FILTER (o.batch > o.first_batch AND EXISTS (SELECT 1 FROM arr e WHERE e.sat_id = o.sat_id
+            AND e.batch < o.batch AND e.hour_start > o.hour_start)) AS reopened
+          FROM (SELECT *, min(batch) OVER (PARTITION BY sat_id, hour_start) AS first_batch FROM arr) o GROUP BY o.sat_id, o.hour_start""",
+        "stream_late_rows": _with(_ARRIVALS) + """SELECT sat_id, cast(hour_start AS date) AS date, batch, cast(sum(n_rows) AS bigint) AS n_late
+          FROM arr o WHERE EXISTS (SELECT 1 FROM arr e WHERE e.sat_id = o.sat_id AND e.batch < o.batch AND e.hour_start > o.hour_start)
+          GROUP BY ALL""",
+        "stream_bounded_files": _with() + "SELECT sat_id, count(*) AS n_rows, true AS bounded FROM raw GROUP BY sat_id",
+        "detect_with_own_detector": _detected(faults, """hot AS (SELECT sat_id, min(minute_bucket) AS t,
+            arg_min(bus_temperature_k_mean, minute_bucket) AS score FROM roll WHERE bus_temperature_k_mean - 273.15 > 20 GROUP BY sat_id)""")
+        + _EVENT_OUT + f""" UNION ALL SELECT sat_id, 'hot_minute' AS detector_name, strftime(t, '%Y-%m-%d %H:%M:%S') AS sim_time_iso,
+          'info' AS severity, {_r_as('score', 'score')}, 'hot' AS description FROM hot""",
         "stream_rollup_late_rows": _with(_rollup("raw")) + roll_out,
         "stream_snapshot": _with(_SNAPSHOT) + _SNAPSHOT_OUT,
         "stream_snapshot_ties": _with(

@@ -22,6 +22,7 @@ from perigee.session import configure, materialize, scratch_dir
 from perigee.sources import telemetry as store
 from perigee.sources import wire
 from perigee.sources.labels import labels_from_rows, load_labels
+from perigee.streaming import arrivals
 from perigee.streaming import detectors as stream_detectors
 from perigee.streaming import ingest as stream_ingest
 from perigee.streaming import marts as stream_marts
@@ -870,6 +871,60 @@ def _halves():
     return [early, ~early]
 
 
+def _arrivals(spark, sf_dir):
+    """Ingest in three parts by time, where every seventh microsecond arrives in the last part, late or not."""
+    telemetry = _telemetry(spark, sf_dir)
+    t = X.parse_iso(F.col("sim_time_iso"))
+    us = F.unix_micros(t)
+    first, last = telemetry.agg(F.min(us), F.max(us)).first()
+    part = F.when((us % 7 == 0) | (us >= first + (last - first) // 3 * 2), 2).when(us >= first + (last - first) // 3, 1).otherwise(0)
+
+    def start(base):
+        messages = wire.replay_directory(spark, f"{base}/in")
+        return stream_ingest.start_ingest(messages, f"{base}/table", f"{base}/rejects", f"{base}/checkpoint")
+
+    base = scratch_dir(spark, "arrivals")
+    for i in range(3):
+        wire.encoded(telemetry.where(part == i)).write.mode("append").parquet(f"{base}/in")
+        stream_ingest.drain([start(base)])
+    return arrivals.read_arrivals(spark, f"{base}/checkpoint/arrivals")
+
+
+@query
+def stream_closed_hours(spark, sf_dir):
+    """Every hour of each satellite: rows, the batch that completed it, and how often it was reopened."""
+    return edge(arrivals.hours(_arrivals(spark, sf_dir)))
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    """Late rows by satellite, day and batch."""
+    return edge(arrivals.late_rows(_arrivals(spark, sf_dir)))
+
+
+@query
+def stream_bounded_files(spark, sf_dir):
+    """Files of a stream that may hold fifty rows: rows of each satellite, and whether all files keep to that."""
+    base = scratch_dir(spark, "ingest")
+    messages = wire.encoded(adapter.telemetry_from_events(_event_stream(spark, sf_dir)))
+    stream_ingest.drain([stream_ingest.start_ingest(messages, f"{base}/table", f"{base}/rejects", f"{base}/checkpoint", max_rows_per_file=50)])
+    files = store.written_files(spark, f"{base}/table")
+    return files.groupBy("sat_id").agg(F.sum("n_rows").alias("n_rows"), F.bool_and(F.col("n_rows") <= 50).alias("bounded"))
+
+
+def _hot_minutes(mart):
+    """A detector of one's own: the first minute of a satellite above 20 degrees."""
+    hot = mart.where(X.kelvin_to_celsius(F.col("bus_temperature_k_mean")) > 20.0)
+    first = hot.groupBy("sat_id").agg(F.min("minute_bucket").alias("t"), F.min_by("bus_temperature_k_mean", "minute_bucket").alias("score"))
+    return first.select("sat_id", F.lit("hot_minute").alias("detector_name"), F.date_format("t", "yyyy-MM-dd HH:mm:ss").alias("sim_time_iso"), F.lit("info").alias("severity"), "score", F.lit("hot").alias("description"))
+
+
+@query
+def detect_with_own_detector(spark, sf_dir):
+    """The built-in detectors and a further one, run together."""
+    return edge(detectors.run_detectors(_observed_rollup(spark, sf_dir), {"hot_minute": _hot_minutes}))
+
+
 @query
 def stream_rollup_late_rows(spark, sf_dir):
     """Rollup when half of the rows of every minute arrive after all others, in a batch of their own."""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from perigee import schema as S
 from perigee.sources import telemetry as store
 from perigee.sources import wire
+from perigee.streaming.arrivals import hourly_counts
 
 
 def with_trigger(writer, every: str | None):
@@ -33,7 +34,8 @@ def start_ingest(
     number (directory level ``batch``, which readers don't see): a batch repeated after a
     failure replaces its own output. Bad messages never stop the stream. Directories come
     from event time, so a late row goes to its own hour and nothing already written is
-    replaced. ``every=None`` drains the source and stops. Counters: :func:`ingest_counters`.
+    replaced. ``every=None`` drains the source and stops. Counters: :func:`ingest_counters`;
+    closed hours and late rows: :mod:`perigee.streaming.arrivals` over ``checkpoint_root``/arrivals.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -50,6 +52,8 @@ def start_ingest(
             )
             bad = decoded.where(F.col("reject_reason").isNotNull()).select("key", "value", "reject_reason")
             bad.write.mode("overwrite").option("compression", "zstd").parquet(f"{dead_letter_root}/batch={batch_id}")
+            arrived = hourly_counts(store.with_partition_columns(good).withColumn("date", F.col("date").cast("date")))
+            arrived.write.mode("overwrite").parquet(f"{checkpoint_root}/arrivals/batch={batch_id}")
             counters = decoded.agg(*wire.counters())
             counters.write.mode("overwrite").parquet(f"{checkpoint_root}/counters/batch={batch_id}")
         finally:

@@ -2,7 +2,7 @@ import json
 import random
 from collections import Counter
 from dataclasses import replace
-from datetime import timedelta
+from datetime import UTC, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from perigee.operators import marts
 from perigee.operators.staging import raw_telemetry
 from perigee.sources import telemetry as store
 from perigee.sources import wire
+from perigee.streaming import arrivals
 from perigee.streaming import detectors as stream_detectors
 from perigee.streaming import ingest
 from perigee.streaming import marts as stream_marts
@@ -70,6 +71,19 @@ def test_ingest_splits_good_and_bad_and_resumes(spark, tmp_path):
     assert "batch=0/sat_id=BIRD-1/date=2031-03-09/hour=05" in parts
 
 
+def test_closed_hours_and_late_rows(spark):
+    hour_at = lambda h: T0.replace(minute=0) + timedelta(hours=h)
+    # satellite A: hours 0 and 1 at first, then hour 3, then late rows of 0 and a first late hour 2; B never moves on
+    seen = [("A", 0, 0, 5), ("A", 1, 0, 2), ("A", 3, 1, 4), ("A", 0, 2, 3), ("A", 2, 2, 1), ("A", 3, 2, 1), ("B", 5, 1, 9), ("B", 5, 3, 1)]
+    rows = spark.createDataFrame([(s, hour_at(h), b, n) for s, h, b, n in seen], "sat_id string, hour_start timestamp, batch bigint, n_rows bigint")
+    got = {(r["sat_id"], r["hour_start"].astimezone(UTC)): (r["n_rows"], r["closed_by"], r["reopened"]) for r in arrivals.hours(rows).collect()}
+    assert got == {("A", hour_at(0)): (8, 0, 1), ("A", hour_at(1)): (2, 1, 0), ("A", hour_at(2)): (1, 2, 0), ("A", hour_at(3)): (5, None, 0), ("B", hour_at(5)): (10, None, 0)}
+    late = {(r["sat_id"], r["batch"]): r["n_late"] for r in arrivals.late_rows(rows).collect()}
+    assert late == {("A", 2): 4}
+    empty = rows.limit(0)
+    assert arrivals.hours(empty).collect() == arrivals.late_rows(empty).collect() == []
+
+
 def test_ingest_bounds_file_size(spark, tmp_path):
     feed = Feed(tmp_path / "in")
     feed.add(message_rows(spark, [body(sim_time_iso=(T0 + timedelta(seconds=i)).isoformat())
