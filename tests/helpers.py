@@ -48,10 +48,10 @@ def mart(spark, samples: list[dict]):
     rows = [
         {
             "sat_id": s.get("sat", "SAT-1"),
-            "minute_bucket": datetime(2026, 5, 1, tzinfo=UTC) + timedelta(minutes=s["minute"]),
-            "battery_soc_mean": s.get("soc", 0.85),
-            "bus_temperature_k_mean": s.get("temp_k", 290.0),
-            "net_heat_w_mean": s.get("heat", 0.0),
+            "minute_bucket": datetime(2033, 2, 7, tzinfo=UTC) + timedelta(minutes=s["minute"]),
+            "battery_soc_mean": s.get("soc", 0.8),
+            "bus_temperature_k_mean": s.get("temp_k", 288.0),
+            "net_heat_w_mean": s.get("heat", 0.25),
         }
         for s in samples
     ]
