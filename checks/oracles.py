@@ -377,6 +377,12 @@ arr AS (SELECT sat_id, date_trunc('hour', sim_time) AS hour_start,
     cast(CASE WHEN us % 7 = 0 OR us >= lo + (hi - lo) // 3 * 2 THEN 2 WHEN us >= lo + (hi - lo) // 3 THEN 1 ELSE 0 END AS bigint) AS batch,
     count(*) AS n_rows FROM us, span GROUP BY ALL)"""
 
+# the telemetry without the second of the three parts
+_STAYED = """
+bounds AS (SELECT min(epoch_us(sim_time)) AS lo, max(epoch_us(sim_time)) AS hi FROM raw),
+stayed AS (SELECT raw.* FROM raw, bounds WHERE epoch_us(sim_time) % 7 = 0 OR epoch_us(sim_time) < lo + (hi - lo) // 3
+    OR epoch_us(sim_time) >= lo + (hi - lo) // 3 * 2)"""
+
 
 def _series(expr: str, name: str) -> str:
     return (
@@ -389,7 +395,8 @@ def _detected(rows: list[str], *more: str) -> str:
     return _with(_bound(rows), _INJECT, _rollup("inj"), _DETECT, *more)
 
 
-def _model_checks() -> str:
+def _model_checks(*models: str) -> str:
+    """The checks of all models, or of those named."""
     norm = "sqrt(position_eci_km_x * position_eci_km_x)"
     telemetry = {
         "raw_telemetry": [
@@ -412,6 +419,8 @@ def _model_checks() -> str:
     parts = []
 
     def add(model, column, check, count):
+        if models and model not in models:
+            return
         parts.append(
             f"SELECT '{model}' AS model, '{column}' AS column_name, '{check}' AS check_name, "
             f"({count}) AS violations"
@@ -733,6 +742,10 @@ def oracle_sql() -> dict[str, str]:
         "stream_late_rows": _with(_ARRIVALS) + """SELECT sat_id, cast(hour_start AS date) AS date, batch, cast(sum(n_rows) AS bigint) AS n_late
           FROM arr o WHERE EXISTS (SELECT 1 FROM arr e WHERE e.sat_id = o.sat_id AND e.batch < o.batch AND e.hour_start > o.hour_start)
           GROUP BY ALL""",
+        "rollup_refreshed_from_changes": _with(_rollup("raw")) + roll_out,
+        "rollup_after_withdrawal": _with(_STAYED, _rollup("stayed")) + roll_out,
+        "dq_checks_kept_by_day": _model_checks("raw_telemetry", "stg_geometry", "stg_eps", "stg_thermal"),
+        "distinct_times_from_sketches": _with() + "SELECT sat_id, count(*) AS n_rows, true AS close FROM raw GROUP BY sat_id",
         "stream_bounded_files": _with() + "SELECT sat_id, count(*) AS n_rows, true AS bounded FROM raw GROUP BY sat_id",
         "detect_with_own_detector": _detected(faults, """hot AS (SELECT sat_id, min(minute_bucket) AS t,
             arg_min(bus_temperature_k_mean, minute_bucket) AS score FROM roll WHERE bus_temperature_k_mean - 273.15 > 20 GROUP BY sat_id)""")

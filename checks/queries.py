@@ -17,7 +17,7 @@ from perigee import schema as S
 from perigee.functions import scalars as X
 from perigee.functions import sequence as Q
 from perigee.operators import aggregates, detectors, evaluation, labels, marts, quality, staging
-from perigee.plans import adapter, dashboards, pipeline
+from perigee.plans import adapter, daily, dashboards, pipeline
 from perigee.session import configure, materialize, scratch_dir
 from perigee.sources import telemetry as store
 from perigee.sources import wire
@@ -871,7 +871,7 @@ def _halves():
     return [early, ~early]
 
 
-def _arrivals(spark, sf_dir):
+def _ingested_in_parts(spark, sf_dir, after_part=lambda base: None):
     """Ingest in three parts by time, where every seventh microsecond arrives in the last part, late or not."""
     telemetry = _telemetry(spark, sf_dir)
     t = X.parse_iso(F.col("sim_time_iso"))
@@ -887,7 +887,49 @@ def _arrivals(spark, sf_dir):
     for i in range(3):
         wire.encoded(telemetry.where(part == i)).write.mode("append").parquet(f"{base}/in")
         stream_ingest.drain([start(base)])
-    return arrivals.read_arrivals(spark, f"{base}/checkpoint/arrivals")
+        after_part(base)
+    return base
+
+
+def _arrivals(spark, sf_dir):
+    return arrivals.read_arrivals(spark, f"{_ingested_in_parts(spark, sf_dir)}/checkpoint/arrivals")
+
+
+def _refreshed(spark, sf_dir):
+    """The tables by day, refreshed after each part of the stream."""
+    refresh = lambda base: daily.refresh(spark, f"{base}/table", f"{base}/checkpoint", f"{base}/daily")
+    return _ingested_in_parts(spark, sf_dir, refresh)
+
+
+@query
+def rollup_refreshed_from_changes(spark, sf_dir):
+    """Rollup by day, of which each refresh replaces the days that the log of arrivals names."""
+    rollup = daily.read_daily(spark, f"{_refreshed(spark, sf_dir)}/daily", "sat_minute_rollup")
+    return edge(rollup.drop("date"))
+
+
+@query
+def rollup_after_withdrawal(spark, sf_dir):
+    """The same when the second batch was withdrawn after the refreshes, and the tables refreshed once more."""
+    base = _refreshed(spark, sf_dir)
+    arrivals.withdraw_batch(spark, f"{base}/table", f"{base}/checkpoint", 1)
+    daily.refresh(spark, f"{base}/table", f"{base}/checkpoint", f"{base}/daily")
+    return edge(daily.read_daily(spark, f"{base}/daily", "sat_minute_rollup").drop("date"))
+
+
+@query
+def dq_checks_kept_by_day(spark, sf_dir):
+    """Checks of the raw and staging models, summed from counts by day that refreshes keep."""
+    return daily.model_checks(spark, f"{_refreshed(spark, sf_dir)}/daily")
+
+
+@query
+def distinct_times_from_sketches(spark, sf_dir):
+    """Rows and distinct times from stored sketches, the latter as whether within a tenth of the exact number."""
+    near = daily.distinct_times(spark, f"{_refreshed(spark, sf_dir)}/daily")
+    exact = aggregates.row_counts(_raw(spark, sf_dir)).select("sat_id", F.col("n_distinct_times").alias("exact"))
+    close = F.abs(F.col("n_distinct_times") - F.col("exact")) <= 0.1 * F.col("exact")
+    return near.join(exact, "sat_id").select("sat_id", "n_rows", close.alias("close"))
 
 
 @query

@@ -37,12 +37,12 @@ def within(model: str, column: str, name: str, ok: Column) -> Check:
     return Check(model, column, name, ~ok)
 
 
-def count_violations(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """One row per check: model, column_name, check_name, violations.
+def _counters(checks: list[Check]) -> list[Column]:
+    return [F.count_if(c.violated).alias(f"_{i}") for i, c in enumerate(checks)]
 
-    All counters are computed in the same scan and turned into rows afterwards.
-    """
-    totals = df.agg(*[F.count_if(c.violated).alias(f"_{i}") for i, c in enumerate(checks)])
+
+def _as_rows(checks: list[Check]) -> Column:
+    """The counters turned into one row per check."""
     entries = [
         F.struct(
             F.lit(c.model).alias("model"),
@@ -52,7 +52,30 @@ def count_violations(df: DataFrame, checks: list[Check]) -> DataFrame:
         )
         for i, c in enumerate(checks)
     ]
-    return totals.select(F.inline(F.array(*entries)))
+    return F.inline(F.array(*entries))
+
+
+def count_violations(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """One row per check: model, column_name, check_name, violations.
+
+    All counters are computed in the same scan and turned into rows afterwards.
+    """
+    return df.agg(*_counters(checks)).select(_as_rows(checks))
+
+
+def daily_violations(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """Violations of each day, one row per check and ``date``; days of one table add up (see :func:`summed`)."""
+    return df.groupBy("date").agg(*_counters(checks)).select("date", _as_rows(checks))
+
+
+def summed(daily: DataFrame) -> DataFrame:
+    """The report over all days of :func:`daily_violations`."""
+    return daily.groupBy("model", "column_name", "check_name").agg(F.sum("violations").alias("violations"))
+
+
+def staged(raw: DataFrame) -> DataFrame:
+    """Raw rows with the columns of all three staging models, for :func:`telemetry_checks`."""
+    return add_thermal(add_eps(add_geometry(raw)))
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -116,9 +139,8 @@ def snapshot_checks() -> list[Check]:
 
 def model_report(raw: DataFrame, rollup: DataFrame, snapshot: DataFrame) -> DataFrame:
     """The 31 model checks. Staging columns are derived on the raw rows: one scan for all."""
-    staged = add_thermal(add_eps(add_geometry(raw)))
     return (
-        count_violations(staged, telemetry_checks())
+        count_violations(staged(raw), telemetry_checks())
         .unionByName(count_violations(rollup, rollup_checks()))
         .unionByName(count_violations(snapshot, snapshot_checks()))
         .unionByName(unique_check(snapshot, "fleet_health_snapshot", ["sat_id"]))

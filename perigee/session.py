@@ -91,6 +91,13 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder, on whatever file system; none if it doesn't exist."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in files.listStatus(target)] if files.exists(target) else []
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to shared storage and read it back.
 

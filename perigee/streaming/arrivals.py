@@ -4,6 +4,9 @@ With the rows of a batch, ingest writes how many of them fell into each hour of
 under the batch's number, so a repeated batch counts once. An hour is complete once a later hour
 of its satellite arrives, in whatever batch; rows that come after that are late. They are in the table
 like all others; here they are counted, and their hour is marked as reopened.
+
+The same log says which days a batch touched, and so does a withdrawal, which takes a whole batch
+out of the table again: :mod:`perigee.plans.daily` brings tables by day up to date from them.
 """
 
 from __future__ import annotations
@@ -12,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from perigee.session import child_names, remove_path
+
 ARRIVALS_SCHEMA = "sat_id string, date date, hour string, n_rows bigint"
 
 
@@ -63,3 +68,50 @@ def hours(arrivals: DataFrame) -> DataFrame:
     again = again.join(first, ["sat_id", "hour_start"]).where(F.col("batch") > F.col("first_batch"))
     again = again.groupBy("sat_id", "hour_start").agg(F.count(F.lit(1)).alias("reopened"))
     return closed.join(again, ["sat_id", "hour_start"], "left").withColumn("reopened", F.coalesce("reopened", F.lit(0).cast("bigint")))
+
+
+# ---- changes --------------------------------------------------------------------------------
+
+
+def _logged(spark: SparkSession, path: str, after: int = -1) -> list[int]:
+    """Numbers, beyond ``after``, of the batches with a complete entry below a path."""
+    found = sorted(int(n.split("=")[1]) for n in child_names(spark, path) if n.startswith("batch="))
+    return [b for b in found if b > after and "_SUCCESS" in child_names(spark, f"{path}/batch={b}")]
+
+
+def batches(spark: SparkSession, checkpoint_root: str, after: int = -1) -> list[int]:
+    """Batches in the table, beyond ``after``: those with a complete log of arrivals."""
+    return _logged(spark, f"{checkpoint_root}/arrivals", after)
+
+
+def withdrawn(spark: SparkSession, checkpoint_root: str) -> list[int]:
+    """Batches that were taken out of the table."""
+    return _logged(spark, f"{checkpoint_root}/withdrawn")
+
+
+def withdraw_batch(spark: SparkSession, table_root: str, checkpoint_root: str, batch: int) -> None:
+    """Remove all rows that a finished batch brought, and log the days they were of.
+
+    The log is written first, so a call that fails half-way can be repeated. Dead letters and
+    counters stay: they say what was received. A batch that isn't in the table raises ValueError.
+    """
+    known = batches(spark, checkpoint_root)
+    if batch not in known and batch not in withdrawn(spark, checkpoint_root):
+        raise ValueError(f"no batch {batch} in {table_root}")
+    if batch in known:
+        days = read_arrivals(spark, f"{checkpoint_root}/arrivals").where(F.col("batch") == batch)
+        days = days.select(F.to_date("hour_start").alias("date")).distinct()
+        days.write.mode("overwrite").parquet(f"{checkpoint_root}/withdrawn/batch={batch}")
+    remove_path(spark, f"{table_root}/batch={batch}")
+    remove_path(spark, f"{checkpoint_root}/arrivals/batch={batch}")
+
+
+def touched_days(spark: SparkSession, checkpoint_root: str, arrived: list[int], gone: list[int]) -> DataFrame:
+    """``date``: the days with rows of the given batches, arrived or withdrawn."""
+    days = spark.createDataFrame([], "date date")
+    if arrived:
+        log = spark.read.schema(ARRIVALS_SCHEMA).parquet(*[f"{checkpoint_root}/arrivals/batch={b}" for b in arrived])
+        days = days.unionByName(log.select("date"))
+    if gone:
+        days = days.unionByName(spark.read.schema("date date").parquet(*[f"{checkpoint_root}/withdrawn/batch={b}" for b in gone]))
+    return days.where(F.col("date").isNotNull()).distinct()
