@@ -250,6 +250,7 @@ class _Members:
             self.parity = flat.flatten().to_numpy().reshape(table.num_rows, -1)
         else:
             self.parity = np.column_stack([take(c) for c in parity])
+        self.parity = self.parity.view(np.uint64)  # bits of a signed integer are counted of its absolute value
 
     def may_link(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         both = self.n[i] + self.n[j]

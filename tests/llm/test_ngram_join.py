@@ -105,6 +105,14 @@ def test_all_ids_alike_and_empty_table(spark):
     assert ngram_join.without_near_duplicates(df.limit(0)).collect() == []
 
 
+def test_pairs_whose_parities_differ_in_the_highest_place(spark):
+    """Each text has one copy with a word changed: whichever places the changed n-grams flip, it is found."""
+    texts = [[f"t{k}w{i}" for i in range(100)] for k in range(60)]
+    rows = [(2 * k + at, " ".join([*words[:50], f"new{k}", *words[51:]] if at else words)) for k, words in enumerate(texts) for at in (0, 1)]
+    got = [tuple(r) for r in ngram_join.ngram_components(spark.createDataFrame(rows, SCHEMA), 4, 85, 100).collect()]
+    assert sorted(got) == [(i, 97, i - i % 2) for i in range(120)]
+
+
 @pytest.mark.parametrize("size", [100, 300])
 def test_pairs_just_under_the_limit_cost_the_size_of_their_group(spark, monkeypatch, size):
     """Near copies with one or two words changed: similar to the text they come from, mostly not to each other."""
