@@ -462,16 +462,20 @@ class _Join:
         wanted = self.spark.sparkContext.broadcast(bits)
         found = self.docs.mapInArrow(_sets(self.n, wanted, size), "doc_id long, found long, tokens binary")
         back = found.join(need, found["found"] == need["sid"]).where(F.col("doc_id").eqNullSafe(F.col("id")))
-        return stored(back.select("sid", "tokens").dropDuplicates(["sid"]), "ngram-sets", release=True)
+        sets = stored(back.select("sid", "tokens").dropDuplicates(["sid"]), "ngram-sets", release=True)
+        wanted.destroy()
+        return sets
 
     def links(self, classes: DataFrame) -> DataFrame:
         """Links (u, v) between classes that span every component."""
-        made = self.docs.mapInArrow(_postings(self.n, self.num, self.den, self.frequent()), "token long, salt int, sid long, pos int")
+        frequent = self.frequent()
+        made = self.docs.mapInArrow(_postings(self.n, self.num, self.den, frequent), "token long, salt int, sid long, pos int")
         live = made.repartition("token", "salt").sortWithinPartitions("token", "salt").mapInArrow(_shared, made.schema)
         parity = self.signed.where("low is not null").select("sid", "n", *PARITY).dropDuplicates(["sid"])
         # the shared token before: two sets with the same one are proposed there already
         previous = F.lag("token").over(Window.partitionBy("sid").orderBy("pos", "token"))
         live = stored(live.join(parity, "sid").withColumn("previous", previous), "ngram-postings", release=True)
+        frequent.destroy()  # the driver holds its copies until then
         large = stored(live.groupBy("token").count().where(F.col("count") > BUCKET), "ngram-large")
         rare, often = live.join(large, "token", "left_anti"), live.join(large.select("token"), "token")
         near = rare.repartition("token").sortWithinPartitions("token").mapInArrow(_near(self.num, self.den), "u long, v long")
