@@ -28,11 +28,6 @@ def one_group(spark, tmp_path):
     queries._stored.clear()
 
 
-def largest_share(df):
-    counts = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
-    return max(counts) / sum(counts)
-
-
 def test_ingested_parts_are_dealt_to_all_tasks(spark, one_group):
     base = queries._ingested_in_parts(spark, one_group)
     messages = spark.read.parquet(f"{base}/in")
