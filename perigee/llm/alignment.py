@@ -1,14 +1,14 @@
-"""Alignment of two tokenizers over the same texts, through white-space anchors.
+"""Alignment of two tokenizers over the same texts, through anchors: bytes at which a token of each starts.
 
-A text is tokenised whole by both. Where a token of each starts with a space at the same byte, the
-tokens before end together there: such places cut a document into windows, each a tuple of token
-ids of either side. Inside a window a walk along both gives the groups (cut wherever both sides
-end) and the links (pairs of tokens that overlap). Windows are mostly words, so alignments are
-remembered by their id tuples, and a word met again costs a look-up.
+A text is tokenised whole by both, and both must spell it. The starts of either side's tokens are
+marked on a map of the text's bytes. Where both are marked (at nearly every space, and inside words)
+is an anchor: the tokens before it end together there. The window between an anchor and the next is
+a group, and every mark in it, its own anchor's included, starts one link: that of the two tokens
+that cover this byte. All texts of a chunk lie on one map, so nothing goes token by token.
 
 1. One scan tokenises, aligns, and stores for every document its figures, and its distinct links
-   with their numbers, ascending and as differences. Each task adds up the links of its windows
-   and stores those sums as well.
+   with their numbers, ascending and as differences. Each task adds up the links of its documents
+   and stores those sums as well, whenever it holds many.
 2. The sums of the tasks give the count of each id pair in the corpus, and the highest count of
    each id of B.
 3. The pair table is looked through in blocks of whole B ids, at most ``BLOCK`` pairs each unless a
@@ -23,7 +23,7 @@ Defined results. Texts that are null or empty, or whose tokens' joined bytes of
 from space and text (for example those with U+2581, or of characters B doesn't know), have no
 tokens: zeros and an empty digest. Null doc_id: kept. Repeated rows: each comes out and each
 counts. Ties for the highest count all count as highest. Empty table: no rows. Extra columns are
-ignored. Texts of any length are aligned whole; windows of over ``LONG`` tokens aren't remembered.
+ignored. Texts of any length are aligned whole.
 """
 
 from __future__ import annotations
@@ -43,9 +43,8 @@ from perigee.llm.common import chunks_by_length, stored
 
 #: Id pairs looked up at once: 17 bytes each, sent to all tasks.
 BLOCK = 1 << 20
-#: Windows remembered by a task, and tokens of one side up to which a window is.
-REMEMBERED = 150_000
-LONG = 64
+#: Links a task holds, of some chunks each, before it adds them up; with over half as many then left it stores the sums.
+REMEMBERED = 1 << 20
 #: Characters tokenised at once.
 CHARS = 1 << 19
 _PLAIN = re.compile("[\\t\\n\\r\\x20-\\x7e\\u00a1-\\u017f\\u2010-\\u2027\\u20ac]*")
@@ -111,56 +110,40 @@ class PieceTokens:
         return self.model.encode(texts, num_threads=1)
 
 
-def aligned(a: list, b: list, len_a: list, len_b: list) -> tuple[list, list]:
-    """Groups, as (ids of A, ids of B), and links, as (id of A, id of B), of a window whose two sides cover the same bytes."""
-    if len(a) == len(b) == 1:
-        return [(a, b)], [(a[0], b[0])]
-    groups, links, i, j, start_i, start_j = [], [], 0, 0, 0, 0
-    end_a, end_b = len_a[a[0]], len_b[b[0]]
-    while True:
-        links.append((a[i], b[j]))
-        if end_a == end_b:
-            groups.append((a[start_i : i + 1], b[start_j : j + 1]))
-            i, j = i + 1, j + 1
-            if i == len(a):
-                return groups, links
-            start_i, start_j = i, j
-            end_a, end_b = end_a + len_a[a[i]], end_b + len_b[b[j]]
-        elif end_a < end_b:
-            i += 1
-            end_a += len_a[a[i]]
-        else:
-            j += 1
-            end_b += len_b[b[j]]
+def _decimals(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each number below n: its decimal digits, at most seven, as the low bytes of a word, and how many bits these fill."""
+    if n > 10**7:
+        raise ValueError(f"{n} ids don't fit seven digits")
+    digits = np.array([int.from_bytes(str(i).encode(), "little") for i in range(n)], np.uint64)
+    return digits, np.array([8 * len(str(i)) for i in range(n)], np.uint64)
 
 
 class Aligner:
-    """Both tokenizers and the windows met so far. A link is known by code = b * (ids of A) + a."""
+    """Both tokenizers and the links met so far. A link is known by code = b * (ids of A) + a."""
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = ByteTokens(path_a), PieceTokens(path_b)
         self.sizes = [np.array([len(t) for t in side.bytes], np.int64) for side in (self.a, self.b)]
-        self.lengths = [s.tolist() for s in self.sizes]
-        self.spaced = [np.array([t[:1] == b" " for t in side.bytes]) for side in (self.a, self.b)]
-        self.names = [[str(i) for i in range(len(side.bytes))] for side in (self.a, self.b)]
         self.width, self.height = len(self.a.bytes), len(self.b.bytes)
-        self.kind = np.dtype("<u2" if max(self.width, self.height) < 1 << 16 else "<u4")
+        self.names = [_decimals(n) for n in (self.width, self.height)]
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict = {}
-        self.text: list = []
-        # of each window: groups, where its codes start, their number, and how often it was met
-        self.groups, self.start, self.size, self.met, self.codes = (np.zeros(0, np.int64) for _ in range(5))
+        self.met: list = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        self.held = 0
 
     def sums(self) -> tuple[np.ndarray, np.ndarray]:
-        """Codes and numbers of the links of all windows met since the last :meth:`forget`, which follows."""
-        codes, at = np.unique(self.codes, return_inverse=True)
-        n = np.zeros(len(codes), np.int64)
-        np.add.at(n, at, np.repeat(self.met, self.size))
+        """Codes and numbers of all links met since the last :meth:`forget`, which follows."""
+        self.merge()
+        ((codes, n),) = self.met
         self.forget()
         return codes, n
 
+    def merge(self) -> None:
+        """Adds up the links of the chunks met."""
+        self.met = [_added(*map(np.concatenate, zip(*self.met, strict=True)))]
+        self.held = len(self.met[0][0])
+
     def tokens(self, texts: list[str]) -> tuple[list, list]:
         """Ids of both sides, none where the joined bytes of either differ from space and text."""
         given = [t for t in texts if t]
@@ -177,69 +160,72 @@ class Aligner:
             out_b.append(b)
         return out_a, out_b
 
-    def learn(self, keys: list, numbers: list, a: list, b: list, cut_a: list, cut_b: list) -> None:
-        """Aligns the windows whose number is still None, and fills it in."""
-        known, text, width = self.known, self.text, self.width
-        names_a, names_b = self.names
-        groups, size, codes = [], [], []
-        for k in [k for k, w in enumerate(numbers) if w is None]:
-            w = known.get(keys[k])
-            if w is None:
-                w = len(text)
-                found, links = aligned(a[cut_a[k] : cut_a[k + 1]], b[cut_b[k] : cut_b[k + 1]], *self.lengths)
-                text.append(";".join([",".join([names_a[i] for i in x]) + "|" + ",".join([names_b[i] for i in y]) for x, y in found]))
-                groups.append(len(found))
-                size.append(len(links))
-                codes += [j * width + i for i, j in links]
-                if cut_a[k + 1] - cut_a[k] <= LONG and cut_b[k + 1] - cut_b[k] <= LONG:
-                    known[keys[k]] = w
-            numbers[k] = w
-        size = np.array(size, np.int64)
-        grown = {"groups": np.array(groups, np.int64), "start": len(self.codes) + np.cumsum(size) - size, "size": size, "met": np.zeros(len(size), np.int64), "codes": np.array(codes, np.int64)}
-        for name, more in grown.items():
-            setattr(self, name, np.concatenate([getattr(self, name), more]))
-
     def documents(self, texts: list[str]) -> dict:
-        """Figures, digests and links of some documents; their windows are met."""
+        """Figures, digests and links of some documents; their links are met."""
         lists = self.tokens(texts)
         counts = [np.array([len(x) for x in side], np.int64) for side in lists]
-        flat = [list(chain.from_iterable(side)) for side in lists]
-        ids = [np.array(x, np.int64) for x in flat]
-        starts = [np.cumsum(s := size[i]) - s for size, i in zip(self.sizes, ids, strict=True)]
-        marks = [np.flatnonzero(spaced[i]) for spaced, i in zip(self.spaced, ids, strict=True)]
-        # verified shared ends: a token of either side starts with a space at the same byte
-        _, at_a, at_b = np.intersect1d(starts[0][marks[0]], starts[1][marks[1]], assume_unique=True, return_indices=True)
-        cut_a, cut_b = (np.append(m[at], len(i)) for m, at, i in zip(marks, (at_a, at_b), ids, strict=True))
-        # a window's key: its ids of A, a mark, its ids of B
-        n = len(cut_a) - 1
-        own_a, own_b = np.repeat(np.arange(n), np.diff(cut_a)), np.repeat(np.arange(n), np.diff(cut_b))
-        packed = np.full(len(ids[0]) + len(ids[1]) + n, np.iinfo(self.kind).max, self.kind)
-        packed[np.arange(len(ids[0])) + cut_b[own_a] + own_a] = ids[0]
-        packed[np.arange(len(ids[1])) + cut_a[own_b + 1] + own_b + 1] = ids[1]
-        packed, edges = packed.tobytes(), ((cut_a + cut_b + np.arange(n + 1)) * self.kind.itemsize).tolist()
-        keys = [packed[start:stop] for start, stop in pairwise(edges)]
-        numbers = list(map(self.known.get, keys))
-        self.learn(keys, numbers, *flat, cut_a.tolist(), cut_b.tolist())
-        met = np.array(numbers, np.int64)
-        self.met += np.bincount(met, minlength=len(self.met))
-        # documents start at an anchor, as both sides start with a space
-        first = np.searchsorted(cut_a[:-1], np.concatenate([[0], np.cumsum(counts[0])]))
-        groups = np.concatenate([[0], np.cumsum(self.groups[met])])
-        size = self.size[met]
-        links = np.concatenate([[0], np.cumsum(size)])
-        codes = self.codes[np.repeat(self.start[met] - links[:-1], size) + np.arange(links[-1])]
-        digests = []
-        for start, stop in pairwise(first.tolist()):
-            digests.append(hashlib.sha256(";".join([self.text[w] for w in numbers[start:stop]]).encode()).hexdigest() if stop > start else "")
-        n_links = links[first[1:]] - links[first[:-1]]
-        every = self.width * self.height
-        keyed, times = np.unique(np.repeat(np.arange(len(texts)), n_links) * every + codes, return_counts=True)
-        offsets = np.searchsorted(keyed // every, np.arange(len(texts) + 1))
+        ids = [np.fromiter(chain.from_iterable(side), np.int64, int(n.sum())) for side, n in zip(lists, counts, strict=True)]
+        starts = [np.cumsum(n := size[i]) - n for size, i in zip(self.sizes, ids, strict=True)]
+        n_bytes = int(self.sizes[0][ids[0]].sum())
+        marks = [np.zeros(n_bytes, bool) for _ in starts]
+        for mark, start in zip(marks, starts, strict=True):
+            mark[start] = True
+        anchors, links = marks[0] & marks[1], np.flatnonzero(marks[0] | marks[1])
+        group = [np.cumsum(anchors[start]) - 1 for start in starts]
+        n_groups = np.count_nonzero(anchors)
+        token_a, token_b = (np.cumsum(mark[links]) - 1 for mark in marks)
+        codes = ids[1][token_b] * self.width + ids[0][token_a]
+        # a document's first token of either side, first byte, link and group, and after the last document their numbers
+        first = [np.concatenate([[0], np.cumsum(n)]) for n in counts]
+        first_link = np.searchsorted(links, np.append(starts[0], n_bytes)[first[0]])
+        first_group = np.append(group[0], n_groups)[first[0]]
+        text, edges = self.spelled(ids, group, n_groups, first)
+        digests = [hashlib.sha256(text[start:stop]).hexdigest() if stop > start else "" for start, stop in pairwise(edges)]
+        n_links = np.diff(first_link)
+        owner = np.arange(len(texts) + 1) * (self.width * self.height)
+        keyed, times = _runs(np.sort(np.repeat(owner[:-1], n_links) + codes))
+        offsets = np.searchsorted(keyed, owner)
+        keyed -= np.repeat(owner[:-1], np.diff(offsets))
+        self.met.append(_added(keyed, times))
+        self.held += len(self.met[-1][0])
         return {
-            "n_a": counts[0], "n_b": counts[1], "n_groups": groups[first[1:]] - groups[first[:-1]], "n_links": n_links,
-            "groups_sha256": digests, "offsets": offsets, "codes": keyed % every, "times": times,
+            "n_a": counts[0], "n_b": counts[1], "n_groups": np.diff(first_group), "n_links": n_links,
+            "groups_sha256": digests, "offsets": offsets, "codes": keyed, "times": times,
         }
 
+    def spelled(self, ids: list, group: list, n_groups: int, first: list) -> tuple[bytes, list]:
+        """Groups as text, documents one after the other, and where the text of each starts and that of the last ends."""
+        size = [np.bincount(g, minlength=n_groups) for g in group]
+        upto = [np.cumsum(n) for n in size]
+        # tokens stand group by group, those of A before those of B
+        places = (np.arange(len(ids[0])) + (upto[1] - size[1])[group[0]], np.arange(len(ids[1])) + upto[0][group[1]])
+        words = np.zeros(len(ids[0]) + len(ids[1]), np.uint64)
+        for side, last in enumerate("|;"):
+            mark = np.full(len(ids[side]), ord(","), np.uint64)
+            mark[upto[side] - 1] = ord(last)
+            if last == ";":
+                mark[first[1][1:][np.diff(first[1]) > 0] - 1] = 0
+            digits, bits = (column[ids[side]] for column in self.names[side])
+            words[places[side]] = digits | mark << bits
+        letters = words.astype("<u8").view(np.uint8)
+        used = letters != 0
+        length = np.count_nonzero(used.reshape(-1, 8), axis=1)
+        return letters[used].tobytes(), np.concatenate([[0], np.cumsum(length)])[first[0] + first[1]].tolist()
+
+
+def _runs(ascending: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of an ascending array and how often each stands there."""
+    start = np.flatnonzero(np.diff(ascending, prepend=-1))
+    return ascending[start], np.diff(start, append=len(ascending))
+
+
+def _added(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes, ascending, and the sum of n of each."""
+    order = np.argsort(codes, kind="stable")
+    codes = codes[order]
+    start = np.flatnonzero(np.diff(codes, prepend=-1))
+    return codes[start], np.add.reduceat(n[order], start) if len(start) else n[:0]
+
 
 def _differences(codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Codes that ascend within each document as the first and the steps from one to the next."""
@@ -268,7 +254,7 @@ _aligners: dict = {}
 
 
 def _aligning(path_a: str, path_b: str):
-    """Documents with their links, and rows with the code and number of links of all windows of the task."""
+    """Documents with their links, and rows with the codes and numbers of all links of the task."""
     schema = pa.schema([*_DOCUMENT, ("code", pa.int64()), ("n", pa.int64())])
 
     def sums(aligner):
@@ -291,8 +277,10 @@ def _aligning(path_a: str, path_b: str):
                 columns = [batch.column("doc_id").slice(start, rows), *(pa.array(found[c]) for c in _FIGURES), pa.array(np.zeros(rows, np.int64)), pa.array(np.zeros(rows, np.int64))]
                 columns += [pa.array(found["groups_sha256"], pa.string()), _lists(_differences(found["codes"], offsets), offsets, pa.int64()), _lists(found["times"], offsets, pa.int32())]
                 yield pa.RecordBatch.from_arrays([*columns, pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64())], schema=schema)
-                if len(aligner.text) > REMEMBERED:
-                    yield from sums(aligner)
+                if aligner.held > REMEMBERED:
+                    aligner.merge()
+                    if aligner.held > REMEMBERED // 2:
+                        yield from sums(aligner)
         yield from sums(aligner)
 
     return run

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 from collections import Counter
 
 import public_tokenizers
@@ -88,3 +89,18 @@ def test_very_long_text_without_spaces():
     (_, n_a, n_b, n_groups, *_), (_, short, *_) = plain([(1, text[:400])])[0], plain([(2, "short one")])[0]
     assert n_a > 0 and found["n_a"][0] > n_a and found["n_groups"][0] > n_groups and found["n_b"][0] > n_b and found["n_a"][2] == short
     assert found["n_links"][0] == found["n_a"][0] + found["n_b"][0] - found["n_groups"][0]
+
+
+def test_words_not_met_before_cost_little_beside_the_tokenizers():
+    aligner, rnd = alignment.Aligner(A, B), random.Random(4)
+    letters = [chr(c) for c in range(ord("a"), ord("z") + 1)]
+    words = lambda: " ".join("".join(rnd.choices(letters, k=rnd.randrange(4, 12))) for _ in range(2000))
+    chunks = [[words() for _ in range(10)] for _ in range(4)]
+    aligner.documents(chunks[0])
+    spent = []
+    for work in (aligner.tokens, aligner.documents):
+        start = time.process_time()
+        for chunk in chunks[1:]:
+            work(chunk)
+        spent.append(time.process_time() - start)
+    assert spent[1] < 2 * spent[0]
