@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +14,9 @@ from perigee.functions import scalars as X
 
 # Rows per file of the telemetry table: about 200 MB of compressed telemetry.
 MAX_ROWS_PER_FILE = 2_000_000
+# Files that one task is meant to write, and bytes of a row on its way there.
+FILES_PER_TASK = 256
+ROW_BYTES = 128
 
 
 def object_store_conf(
@@ -109,6 +115,24 @@ def gathered_by_partition(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in S.PARTITION_COLUMNS])
 
 
+@contextmanager
+def tasks_of_few_files(spark: SparkSession, max_rows_per_file: int) -> Iterator[None]:
+    """Adaptive execution makes tasks of about ``FILES_PER_TASK`` files while this is open.
+
+    By bytes alone it makes little more tasks than there are cores. With small files the time
+    goes by their number, and a stage would wait for a task that starts when all others end.
+    """
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key, None)
+    wanted = FILES_PER_TASK * max_rows_per_file * ROW_BYTES
+    usual = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+    spark.conf.set(key, str(min(wanted, usual)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before) if before else spark.conf.unset(key)
+
+
 def write_telemetry(
     telemetry: DataFrame,
     root: str,
@@ -119,14 +143,15 @@ def write_telemetry(
 
     Appending never replaces files already there, so late rows of an hour are kept.
     """
-    (
-        gathered_by_partition(with_partition_columns(S.require_schema(telemetry)))
-        .write.mode(mode)
-        .partitionBy(*S.PARTITION_COLUMNS)
-        .option("compression", "zstd")
-        .option("maxRecordsPerFile", max_rows_per_file)
-        .parquet(root)
-    )
+    gathered = gathered_by_partition(with_partition_columns(S.require_schema(telemetry)))
+    with tasks_of_few_files(telemetry.sparkSession, max_rows_per_file):
+        (
+            gathered.write.mode(mode)
+            .partitionBy(*S.PARTITION_COLUMNS)
+            .option("compression", "zstd")
+            .option("maxRecordsPerFile", max_rows_per_file)
+            .parquet(root)
+        )
 
 
 def select_fleet(

@@ -72,6 +72,24 @@ def test_file_size_bound(spark, tmp_path):
     assert store.read_telemetry(spark, str(root)).count() == 7
 
 
+def test_small_files_are_spread_over_more_tasks_than_cores(spark, tmp_path):
+    random = [(F.rand(i) if c not in ("eclipsed", "sat_id", "sim_time_iso") else F.lit(False)).alias(c) for i, c in enumerate(S.TELEMETRY_COLUMNS)]
+    named = {"sat_id": F.expr("concat('S', id % 60)"), "sim_time_iso": F.lit(T0.isoformat())}
+    table = spark.range(60_000).select("*", *[c for n, c in zip(S.TELEMETRY_COLUMNS, random, strict=True) if n not in named]).withColumns(named)
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set(key, "32m")
+    try:
+        store.write_telemetry(table.select(*S.TELEMETRY_COLUMNS), str(tmp_path / "t"), max_rows_per_file=50)
+        assert spark.conf.get(key) == "32m"
+        tasks = {p.name[:10] for p in (tmp_path / "t").rglob("*.parquet")}
+        stored = store.written_files(spark, str(tmp_path / "t")).agg(F.sum("n_rows"), F.max("n_rows")).first()
+        assert tuple(stored) == (60_000, 50) and len(tasks) >= 8
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset(key)
+
+
 def test_round_trip_keeps_rows_ids_and_schema(spark, tmp_path):
     root = str(tmp_path / "t")
     recs = [record("007", T0 + timedelta(minutes=i)) for i in range(50)]
