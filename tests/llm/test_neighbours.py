@@ -89,3 +89,64 @@ def test_a_query_far_in_direction_still_gets_k(make, monkeypatch):
     d = np.sqrt(((x - x[0]) ** 2).sum(axis=1))
     assert len(got[0]) == 10 and {i for _, i in got[0]} <= set(range(1, 300))
     assert [i for _, i in got[0]] == np.argsort(np.where(d > 0, d, np.inf), kind="stable")[:10].tolist()
+
+
+def test_nothing_of_the_inputs_size_passes_the_driver(make, monkeypatch):
+    """Stored rows repeat little on disk, so Spark took the visited buckets, 384 rows a query, for small and broadcast them."""
+    plans, rows, real = {}, {}, N.stored
+
+    def kept(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        out = real(df, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(N, "stored", kept)
+    x = np.random.default_rng(5).normal(size=(1200, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    got = by_query(N.nearest(make([(i, v.tolist()) for i, v in enumerate(x)], SCHEMA), 20, 10))
+    assert len(got) == 60 and all(len(best) == 10 for best in got.values())
+    assert not [name for name, plan in plans.items() if "Broadcast" in plan]
+    assert max(rows.values()) <= 1200 and rows["lsh-visits-own"] == 60
+
+
+def test_blocks_of_vectors_and_of_queries_change_nothing(make, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(1500, 8)))]
+    rows += [(1500 + i, rows[7][1]) for i in range(60)]  # equal vectors meet in one block
+    monkeypatch.setattr(N, "WHOLE", 100)
+    whole = by_query(N.nearest(make(rows, SCHEMA), 10, 10))
+    monkeypatch.setattr(N, "BLOCK", 8 * 20)
+    assert by_query(N.nearest(make(rows, SCHEMA, 7), 10, 10)) == whole
+
+
+def test_visited_buckets_are_those_of_the_probe_order():
+    x = np.random.default_rng(7).normal(size=(5, 8))
+    hashes = N.Hashes(8)
+    cells, offsets = hashes.cells(x)
+    visited = hashes.visited(x)
+    assert np.array_equal(hashes.buckets(x), cells @ hashes.PLACES)
+    for i in range(5):
+        for t in range(N.TABLES):
+            moved = [cells[i, t] + sum((s * np.eye(N.K, dtype=int)[j] for j, s in moves), np.zeros(N.K, int)) for moves in N.probe_order(offsets[i, t], N.PROBES)]
+            assert {int(c @ hashes.PLACES) for c in moved} == set(visited[i, t].tolist())
+
+
+def test_single_precision_leaves_out_none_of_the_nearest():
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(3000, 8))
+    shapes = {"plain": x, "far from the origin": 1 + x / 1e4, "almost equal": 1 + x / 1e9, "huge": x * 1e300, "tiny": x * 1e-200, "apart": np.where(np.arange(3000)[:, None] < 1500, 1 + x / 100, -1 + x / 100)}
+    for name, y in shapes.items():
+        for v in (y[:70:7], y[:64] * 3, -y[:3], y[:2] * 1e16 if name != "huge" else y[:1]):
+            block = N.Block(y, np.arange(3000)[::-1].copy(), 11)
+            whole = np.arange(len(v)) % 2 == 0
+            found_by = block.candidates(v, whole)
+            for q, (rows, far) in enumerate(block.nearest(v, whole)):
+                of = np.flatnonzero(found_by >> np.uint64(q) & np.uint64(1))
+                assert len(of) == 3000 or not whole[q]
+                with np.errstate(over="ignore"):
+                    d = np.sqrt(((y[of] - v[q]) ** 2).sum(axis=1))
+                best = np.lexsort((block.gid[of], d))[:11]
+                assert rows == of[best].tolist() and far == d[best].tolist(), name
+    block = N.Block(np.eye(8)[:1] + x[:50] / 1e3, np.arange(50), 11)
+    assert [rows for rows, _ in block.nearest(-np.eye(8)[[0, 0]], np.zeros(2, bool))] == [[], []]
